@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, jaccard_join, mixing, toxicity
+from . import exact_dedup, fingerprint, jaccard_join, mixing, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_document_fingerprints": fingerprint.op6_document_fingerprints,
         "op10_ngram_jaccard": jaccard_join.op10_ngram_jaccard,
