@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, jaccard_join, mixing, substring_dedup, toxicity
+from . import exact_dedup, fingerprint, jaccard_join, langid, mixing, sentencepieces, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sentencepiece": sentencepieces.op1_sentencepiece,
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op3_language_id": langid.op3_language_id,
         "op4_substring_dedup": substring_dedup.op4_substring_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_document_fingerprints": fingerprint.op6_document_fingerprints,
