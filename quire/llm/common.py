@@ -83,15 +83,6 @@ def words(text: Column) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE_RUN))
 
 
-def word_hashes(text: Column) -> Column:
-    """A 64-bit hash of each word, in order."""
-    return F.transform(words(text), lambda w: F.xxhash64(w))
-
-
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % n
@@ -100,11 +91,66 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 # numpy kernels
 
 
-def flat(column) -> tuple[np.ndarray, np.ndarray]:
-    """Values and offsets (from 0) of an Arrow list column."""
-    column = column.combine_chunks() if hasattr(column, "combine_chunks") else column
-    off = column.offsets.to_numpy().astype(np.int64)
-    return column.values.to_numpy(zero_copy_only=False)[off[0] : off[-1]], off - off[0]
+#: Bytes of text that are hashed at a time; a longer text makes a part of its own.
+PART_BYTES = 4 << 20
+_ODD = 0x9E3779B97F4A7C15 | 1
+
+
+def text_parts(batch, columns: tuple[str, ...] = ("text",)):
+    """Parts of an Arrow batch with about PART_BYTES of text each."""
+    ends = np.zeros(batch.num_rows + 1, np.int64)
+    for c in columns:
+        size = batch.column(c).cast("large_binary")
+        off = np.frombuffer(size.buffers()[1], np.int64)[size.offset : size.offset + len(size) + 1]
+        ends += off - off[0]
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + PART_BYTES, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def hash_words(column, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts of an Arrow string column, in order, and each text's first word; null is empty.
+
+    Works on the bytes of the whole column at once: each byte has a random 64-bit value, and a word's hash is the polynomial
+    of its bytes' values (differences of prefix sums, freed of their place by inverse powers), mixed with its length.
+    lower: A-Z count as a-z.
+    """
+    column = column.cast("large_binary")
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    n = int(off[-1] - off[0])
+    if not n:
+        return np.empty(0, np.uint64), np.zeros(len(column) + 1, np.int64)
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[off[0] : off[-1]]
+    off = off - off[0]
+    if column.null_count:
+        # the bytes of a null row, if any, count as white space
+        raw = raw.copy()
+        for i in np.flatnonzero(np.asarray(column.is_null())):
+            raw[off[i] : off[i + 1]] = 32
+    ink = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    start = ink.copy()
+    start[1:] &= ~ink[:-1]
+    edge = off[(off > 0) & (off < n)]
+    start[edge] = ink[edge]
+    stop = np.zeros(n + 1, bool)  # after a word's last byte
+    stop[1:n] = ink[:-1] & (~ink[1:] | start[1:])
+    stop[n] = ink[-1]
+    begin, end = np.flatnonzero(start), np.flatnonzero(stop)
+    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
+    if lower:
+        values[65:91] = values[97:123]
+    power = np.full(n, np.uint64(_ODD))
+    power[0] = 1
+    power = np.cumprod(power, dtype=np.uint64)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values[raw] * power, dtype=np.uint64, out=sums[1:])
+    inverse = np.full(n, np.uint64(pow(_ODD, -1, 1 << 64)))
+    inverse[0] = 1
+    inverse = np.cumprod(inverse, dtype=np.uint64)
+    h = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    return h, np.searchsorted(begin, off, "left")
 
 
 def mix(h: np.ndarray) -> np.ndarray:
