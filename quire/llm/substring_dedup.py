@@ -2,9 +2,10 @@
 
 Each window is counted under its seed, the least of its 5-word hashes: equal windows have equal seeds, so a seed's count is
 never below the window's, and there are five times fewer of them. Partitions make sparse sketches that are summed slice by
-slice; one bit a cell (two documents or more) goes to the executors. The second pass emits only windows whose cell is set and
-groups them exactly by a 96-bit hash, with partial minima before the shuffle. Whole copies are found beforehand by digest and
-emit no windows. The sketch's width follows the input up to a bound; beyond it more windows pass and none is lost.
+slice; two bits a cell (two documents or more, very many) go to the executors. The second pass emits only windows whose cell is
+set and groups them exactly by a 96-bit hash. Windows of one seed travel together, to where all equal ones meet; those of a
+seed that very many documents have are grouped with partial minima before the shuffle instead. Whole copies are found
+beforehand by digest and emit no windows. The sketch's width follows the input up to a bound; beyond it more windows pass and none is lost.
 """
 
 from __future__ import annotations
@@ -23,25 +24,72 @@ from . import windows as W
 C.by_value(__name__)
 
 WINDOW, SEED = 13, 5
+#: Bytes of text whose suspect windows one task groups.
+PARTITION_BYTES = 24 << 20
 
 
-def _suspects(window: int, seed: int, sketch):
+def _suspects(window: int, seed: int, sketch, hot: bool):
+    """Windows that may repeat: one row for each run of windows with the same seed, or one for each window of a hot seed.
+
+    wins holds the windows' hashes, 12 bytes each, of consecutive places from pos on.
+    """
+
     def run(batches):
-        bits = sketch.value
+        some, many = sketch.value
         for whole in batches:
-            for b in W.slices(whole):
-                h, off = C.flat(b.column("words"))
+            for b in C.text_parts(whole):
+                h, off = C.hash_words(b.column("text"))
                 least, ok = W.window_seeds(h, off, seed, window)
                 at = np.flatnonzero(ok)
-                at = at[W.in_cells(least[at], bits)]
+                at = at[W.in_cells(least[at], some)]
+                at = at[W.in_cells(least[at], many) == hot]
                 own = C.owners(off)[at]
-                one, two = C.grams(h, window)[at], C.grams(h, window, 7)[at]
-                ids = b.column("doc_id").to_numpy()[own]
-                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids), pa.array((at - off[own]).astype(np.int32))], ["h1", "h2", "doc_id", "pos"])
+                hashes = np.empty(len(at), np.dtype([("h1", "<i8"), ("h2", "<i4")]))
+                hashes["h1"] = C.grams(h, window)[at].view(np.int64)
+                hashes["h2"] = (C.grams(h, window, 7)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                ids, pos = b.column("doc_id").to_numpy()[own], (at - off[own]).astype(np.int32)
+                if hot:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(hashes["h1"])), pa.array(np.ascontiguousarray(hashes["h2"])), pa.array(ids), pa.array(pos)], ["h1", "h2", "doc_id", "pos"])
+                    continue
+                head = np.ones(len(at), bool)
+                head[1:] = (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]]) | (own[1:] != own[:-1])
+                head = np.flatnonzero(head)
+                cuts = np.concatenate([head, [len(at)]]).astype(np.int32) * 12
+                wins = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(cuts), pa.py_buffer(hashes)])
+                yield pa.RecordBatch.from_arrays([pa.array(least[at[head]].view(np.int64)), pa.array(ids[head]), pa.array(pos[head]), wins], ["seed", "doc_id", "pos", "wins"])
 
     return run
 
 
+def _opened(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Hashes, documents and places of all windows of a batch of runs."""
+    wins = b.column("wins").to_pylist()
+    n = np.array(list(map(len, wins))) // 12
+    hashes = np.frombuffer(b"".join(wins), np.dtype([("h1", "<i8"), ("h2", "<i4")]))
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
+    return hashes["h1"], hashes["h2"], np.repeat(b.column("doc_id").to_numpy(), n), (np.repeat(b.column("pos").to_numpy(), n) + place).astype(np.int32)
+
+
+def _repeats(batches):
+    """For each document, the places of its windows that stand in a smaller doc_id, among all rows of this partition's seeds."""
+    parts = [x for b in batches if b.num_rows for x in [_opened(b)]]
+    if not parts:
+        return
+    h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    order = np.lexsort((doc, h2, h1))
+    h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
+    head = np.ones(len(h1), bool)
+    head[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    low = doc[np.flatnonzero(head)][np.cumsum(head) - 1]
+    late = doc > low
+    doc, pos = doc[late], pos[late]
+    order = np.lexsort((pos, doc))
+    doc, pos = doc[order], pos[order]
+    ids, first = np.unique(doc, return_index=True)
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(doc)]]).astype(np.int32)), pa.array(pos))], ["doc_id", "at"])
+
+
 def _cut(window: int):
     split = re.compile(C.SPACE_RUN)
 
@@ -80,13 +128,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     scratch = C.Scratch(spark)
     whole = W.copies(docs, scratch)
     firsts = W.without(docs.where(docs["doc_id"].isNotNull()).select("doc_id", "text"), whole)
-    hashed = firsts.select("doc_id", C.word_hashes(F.col("text")).alias("words"))
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cells = W.cells_for(total, 2 / (window - seed + 2))
-    sketch = spark.sparkContext.broadcast(W.repeated_cells(hashed, seed, window, cells))
-    suspects = scratch.keep(hashed.mapInArrow(_suspects(window, seed, sketch), "h1 bigint, h2 int, doc_id bigint, pos int"))
-    first = suspects.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h1", "h2", "low")
-    repeats = suspects.join(first, ["h1", "h2"]).where("doc_id > low").groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    sketch = spark.sparkContext.broadcast(W.repeated_cells(firsts, seed, window, cells))
+    runs = firsts.mapInArrow(_suspects(window, seed, sketch, False), "seed bigint, doc_id bigint, pos int, wins binary")
+    # equal windows have equal seeds, so a partition by seed holds all of them
+    some = runs.repartition(max(1, -(-total // PARTITION_BYTES)), "seed").mapInArrow(_repeats, "doc_id bigint, at array<int>")
+    hot = firsts.mapInArrow(_suspects(window, seed, sketch, True), "h1 bigint, h2 int, doc_id bigint, pos int")
+    first = hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h1", "h2", "low")
+    many = hot.join(first, ["h1", "h2"]).where("doc_id > low").select("doc_id", F.array("pos").alias("at"))
+    repeats = some.union(many).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
     marks = repeats.select("doc_id", "at", F.lit(False).alias("whole")).union(whole.select("doc_id", F.lit(None), F.lit(True)))
     rows = docs.select("doc_id", "text").join(marks.groupBy("doc_id").agg(F.first("at", True).alias("at"), F.max("whole").alias("whole")), "doc_id", "left")
     return rows.mapInArrow(_cut(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +17,8 @@ SLICE, LEAST_CELLS, MOST_CELLS = 22, 1 << 16, 1 << 30
 CELLS_A_SEED, BYTES_A_WORD = 8, 6
 #: Ids are broadcast to filter a scan up to this number, and joined by a shuffle beyond it.
 BROADCAST_IDS = 2_000_000
+#: Seeds of so many documents take the way with partial sums before the shuffle.
+HOT = 2000
 FLUSH = 4_000_000
 
 
@@ -53,29 +53,17 @@ def seed_places(h: np.ndarray, off: np.ndarray, k: int, words: int) -> tuple[np.
     return at, g[at]
 
 
-def slices(batch: pa.RecordBatch, column: str = "words", step: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about `step` words each; a longer document is a part of its own."""
-    ends = batch.column(column).offsets.to_numpy().astype(np.int64)
-    ends = ends - ends[0]
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + step, "right")) - 1)
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def cells_for(total_bytes: int, density: float) -> int:
     want = total_bytes / BYTES_A_WORD * density * CELLS_A_SEED
     return int(min(MOST_CELLS, max(LEAST_CELLS, 1 << int(np.ceil(np.log2(max(want, 2)))))))
 
 
 def _partition_sketch(k: int, words: int, cells: int):
-    """Each partition's sketch, sparse: for each slice the cells it has once, and twice those it has more often."""
+    """Each partition's sketch, sparse: for each slice its cells, each as often as documents have it."""
     bits = 64 - (cells.bit_length() - 1)
 
     def flush(parts):
-        cell, count = np.unique(np.concatenate(parts), return_counts=True)
-        cell = np.repeat(cell, np.minimum(count, 2))
+        cell = np.sort(np.concatenate(parts))
         cut = np.searchsorted(cell, np.arange(0, cells + 1, min(cells, 1 << SLICE)))
         for i in np.flatnonzero(np.diff(cut)):
             part = (cell[cut[i] : cut[i + 1]] - (int(i) << SLICE)).astype(np.uint32)
@@ -84,8 +72,8 @@ def _partition_sketch(k: int, words: int, cells: int):
     def run(batches):
         parts, size = [], 0
         for whole in batches:
-            for b in slices(whole):
-                h, off = C.flat(b.column("words"))
+            for b in C.text_parts(whole):
+                h, off = C.hash_words(b.column("text"))
                 at, seed = seed_places(h, off, k, words)
                 own = C.owners(off)[at]
                 order = np.lexsort((seed, own))  # a seed counts once for each document
@@ -103,36 +91,33 @@ def _partition_sketch(k: int, words: int, cells: int):
     return run
 
 
-def repeated_cells(hashed: DataFrame, k: int, words: int, cells: int) -> np.ndarray:
-    """A bit for each cell of the merged sketch: whether seeds of two documents or more may fall into it.
+def repeated_cells(docs: DataFrame, k: int, words: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits for each cell of the merged sketch: whether seeds of two documents or more fall into it, and of HOT or more.
 
-    hashed has the column words (hashes). Partition sketches are summed by slice, so no task sees more than a slice.
+    docs has the column text. Partition sketches are summed by slice, so no task sees more than a slice of them.
     """
-    spark = hashed.sparkSession
-    parts = hashed.select("words").mapInArrow(_partition_sketch(k, words, cells), "slice int, cells binary")
-    merged = parts.repartition(max(1, cells >> SLICE), "slice").mapInArrow(_merge(cells), "slice int, bits binary").toArrow()
-    out = np.zeros(cells // 8, np.uint8)
+    parts = docs.select("text").mapInArrow(_partition_sketch(k, words, cells), "slice int, cells binary")
+    merged = parts.repartition(max(1, cells >> SLICE), "slice").mapInArrow(_merge(cells), "slice int, some binary, many binary").toArrow()
+    out = np.zeros((2, cells // 8), np.uint8)
     width = min(cells, 1 << SLICE) // 8
-    for i, bits in zip(merged["slice"].to_pylist(), merged["bits"].to_pylist(), strict=True):
-        out[i * width : (i + 1) * width] |= np.frombuffer(bits, np.uint8)
-    return out
+    for column, name in enumerate(("some", "many")):
+        for i, bits in zip(merged["slice"].to_pylist(), merged[name].to_pylist(), strict=True):
+            out[column, i * width : (i + 1) * width] = np.frombuffer(bits, np.uint8)
+    return out[0], out[1]
 
 
 def _merge(cells: int):
-    """Sketches of the slices dealt to this task; 4 MB for each."""
+    """Sums of the slices dealt to this task, of 4 million cells each."""
 
     def run(batches):
-        width, seen = min(cells, 1 << SLICE), {}
+        width, sums = min(cells, 1 << SLICE), {}
         for b in batches:
             for i, blob in zip(b.column("slice").to_pylist(), b.column("cells"), strict=True):
-                s = seen.setdefault(i, np.zeros(width, np.uint8))
-                cell = np.frombuffer(blob.as_buffer(), np.uint32)
-                twice = cell[1:][cell[1:] == cell[:-1]]
-                one = np.unique(cell)
-                s[one] = np.minimum(s[one] + 1, 2)
-                s[twice] = 2
-        for i, s in seen.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(s >= 2).tobytes()], pa.binary())], ["slice", "bits"])
+                s = sums.setdefault(i, np.zeros(width, np.uint16))
+                cell, n = np.unique(np.frombuffer(blob.as_buffer(), np.uint32), return_counts=True)
+                s[cell] = np.minimum(s[cell].astype(np.int64) + n, 65535)
+        for i, s in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *[pa.array([np.packbits(s >= least).tobytes()], pa.binary()) for least in (2, HOT)]], ["slice", "some", "many"])
 
     return run
 
