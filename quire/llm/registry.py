@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, jaccard_join, langid, mixing, sentencepieces, substring_dedup, toxicity
+from . import exact_dedup, fingerprint, jaccard_join, langid, licenses, mixing, sentencepieces, substring_dedup, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_document_fingerprints": fingerprint.op6_document_fingerprints,
         "op10_ngram_jaccard": jaccard_join.op10_ngram_jaccard,
+        "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
+        "op9_license_scan": licenses.op9_license_scan,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
 
