@@ -10,7 +10,7 @@ from ..functions import text as T
 BODY = "^\\s*([0-9]{1,3})[.°)\\s]\\s*"
 CARET = "(?<![0-9])([0-9]{1,3})\\^"
 SUPERSCRIPT = f"(?<={T.WORD_CHAR[:-1]}¹²³⁰⁴⁵⁶⁷⁸⁹])([¹²³⁰⁴⁵⁶⁷⁸⁹]+)"
-PLAIN = f"(?<={T.WORD_CHAR})\\s+([0-9]{{1,3}})(?=\\s+[.,;:!?\\-)\\]]|\\s*$)"
+PLAIN = f"(?<={T.WORD_CHAR}\\s{{1,9}})([0-9]{{1,3}})(?=\\s+[.,;:!?\\-)\\]]|\\s*$)"
 #: Types whose text holds no references.
 QUIET = ("footnote", "page-header", "page-footer", "table-of-contents")
 

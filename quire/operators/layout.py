@@ -8,21 +8,26 @@ from pyspark.sql import functions as F
 from ..schemas import SPANNING
 
 
+def fixed(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator, so that the optimiser doesn't repeat what they hold in each place that uses it."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def pages_of(blocks: DataFrame, keys: tuple[str, ...] = ("volume_slug", "page_num", "image_width", "image_height")) -> DataFrame:
     """Blocks gathered by page, in the order they were emitted. A page's blocks are few."""
     fields = [c for c in blocks.columns if c not in keys]
-    return blocks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("emit_pos", *[c for c in fields if c != "emit_pos"]))).alias("blocks"))
+    return fixed(blocks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("emit_pos", *[c for c in fields if c != "emit_pos"]))).alias("blocks")))
 
 
 def detect_columns(pages: DataFrame, min_blocks: int = 2, width: float = 0.6, min_gap: float = 0.06) -> DataFrame:
     """Add cols (l0, l1, r0, r1), null on pages of one column: blocks either side of the widest gap between block centres."""
     w = F.col("image_width")
     centre = lambda b: (b["x1"] + b["x2"]) / 2
-    pages = pages.withColumn("_c", F.filter("blocks", lambda b: ~b["type"].isin(*SPANNING) & (b["x2"] - b["x1"] <= w * width)))
-    pages = pages.withColumn("_m", F.when(F.size("_c") >= 2 * min_blocks, F.array_sort(F.transform("_c", centre))))
+    pages = fixed(pages.withColumn("_c", F.filter("blocks", lambda b: ~b["type"].isin(*SPANNING) & (b["x2"] - b["x1"] <= w * width))))
+    pages = fixed(pages.withColumn("_m", F.when(F.size("_c") >= 2 * min_blocks, F.array_sort(F.transform("_c", centre)))))
     gap = lambda i: F.struct((F.element_at("_m", i) - F.element_at("_m", i - 1)).alias("gap"), (-i).alias("rank"), ((F.element_at("_m", i) + F.element_at("_m", i - 1)) / 2).alias("mid"))
-    pages = pages.withColumn("_g", F.when(F.size("_m") >= 2, F.array_max(F.transform(F.sequence(F.lit(2), F.greatest(F.size("_m"), F.lit(2))), gap))))
-    pages = pages.withColumn("_mid", F.when((F.col("_g.gap") > 0) & (F.col("_g.gap") >= w * min_gap), F.col("_g.mid")))
+    pages = fixed(pages.withColumn("_g", F.when(F.size("_m") >= 2, F.array_max(F.transform(F.sequence(F.lit(2), F.greatest(F.size("_m"), F.lit(2))), gap)))))
+    pages = fixed(pages.withColumn("_mid", F.when((F.col("_g.gap") > 0) & (F.col("_g.gap") >= w * min_gap), F.col("_g.mid"))))
     left, right = F.filter("_c", lambda b: centre(b) < F.col("_mid")), F.filter("_c", lambda b: centre(b) >= F.col("_mid"))
     x = lambda a, k: F.transform(a, lambda b: b[k])
     mid = F.floor("_mid").cast("int")
@@ -31,7 +36,7 @@ def detect_columns(pages: DataFrame, min_blocks: int = 2, width: float = 0.6, mi
         F.greatest(F.array_min(x(right, "x1")), mid).alias("r0"), F.array_max(x(right, "x2")).alias("r1"),
     )
     ok = F.col("_mid").isNotNull() & (F.size(left) >= min_blocks) & (F.size(right) >= min_blocks)
-    return pages.withColumn("cols", F.when(ok, cols)).drop("_c", "_m", "_g", "_mid")
+    return fixed(pages.withColumn("cols", F.when(ok, cols)).drop("_c", "_m", "_g", "_mid"))
 
 
 def column_of(b: Column, cols: Column, page_width: Column) -> Column:
@@ -47,7 +52,7 @@ def column_of(b: Column, cols: Column, page_width: Column) -> Column:
 
 def assign_columns(pages: DataFrame) -> DataFrame:
     """Each block gets col."""
-    return pages.withColumn("blocks", F.transform("blocks", lambda b: b.withField("col", column_of(b, F.col("cols"), F.col("image_width")))))
+    return fixed(pages.withColumn("blocks", F.transform("blocks", lambda b: b.withField("col", column_of(b, F.col("cols"), F.col("image_width"))))))
 
 
 def reading_order(pages: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def reading_order(pages: DataFrame) -> DataFrame:
     On pages of two columns blocks are ordered by band (how many spanning blocks start above), columns before what spans,
     column and height; elsewhere as they were emitted.
     """
-    pages = assign_columns(pages).withColumn("_ys", F.transform(F.filter("blocks", lambda b: b["col"].isNull()), lambda b: b["y1"]))
+    pages = fixed(assign_columns(pages).withColumn("_ys", F.transform(F.filter("blocks", lambda b: b["col"].isNull()), lambda b: b["y1"])))
     key = lambda b: F.struct(
         F.size(F.filter("_ys", lambda y: y < b["y1"])).alias("band"), b["col"].isNull().cast("int").alias("phase"),
         F.coalesce(b["col"], F.lit(0)).alias("c"), b["y1"].alias("y"), b["emit_pos"].alias("e"), b.alias("b"),
@@ -69,7 +74,7 @@ def reading_order(pages: DataFrame) -> DataFrame:
 
 def bands(pages: DataFrame) -> DataFrame:
     """One row for each block with band and kind: a spanning block closes the run of columns above it (on a tie the column block comes after)."""
-    pages = assign_columns(pages).withColumn("_ys", F.transform(F.filter("blocks", lambda b: b["col"].isNull()), lambda b: b["y1"]))
+    pages = fixed(assign_columns(pages).withColumn("_ys", F.transform(F.filter("blocks", lambda b: b["col"].isNull()), lambda b: b["y1"])))
     keep = [c for c in pages.columns if c not in ("blocks", "_ys")]
     rows = pages.select(*keep, "_ys", F.explode("blocks").alias("b"))
     y = F.col("b.y1")

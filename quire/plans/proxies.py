@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.layout import fixed
+
 WIDTH, HEIGHT = 1400, 2000
 TYPE = "CASE WHEN p % 13 = 0 THEN 'page-header' WHEN p % 17 = 0 THEN 'page-footer' WHEN p % 7 = 0 THEN 'section-header' WHEN p % 5 = 0 THEN 'footnote' ELSE 'text' END"
 Y1 = "100 + (s * 97 + n * 211 + p * 13) % 1700"
@@ -35,20 +39,18 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page for each order with its line items as blocks: one exchange, by page."""
     l = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     rows = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))).alias("items"))
-    named = rows.select(F.col("l_orderkey").alias("pg"), F.transform("items", lambda x, i: F.struct(i.alias("emit_pos"), x["l_partkey"].alias("p"), x["l_suppkey"].alias("s"), x["l_linenumber"].alias("n"))).alias("items"))
+    named = fixed(rows).select(F.col("l_orderkey").alias("pg"), F.transform("items", lambda x, i: F.struct(i.alias("emit_pos"), x["l_partkey"].alias("p"), x["l_suppkey"].alias("s"), x["l_linenumber"].alias("n"))).alias("items"))
     flat = {"p": "x.p", "s": "x.s", "n": "x.n"}
 
     def of(expr: str) -> str:
-        import re
-
         return re.sub(r"\b([psn])\b(?![a-z'])", lambda m: flat[m[1]], expr)
 
     block = f"""transform(items, x -> named_struct('emit_pos', x.emit_pos, 'block_id', format_string('p%d_b%03d', pg, x.emit_pos + 1), 'type', {of(TYPE)}, 'raw_type', {of(TYPE)},
         'x1', cast({of(X1)} AS int), 'y1', cast({of(Y1)} AS int), 'x2', cast({of(X1)} + ({of(W)}) AS int), 'y2', cast({of(Y1)} + 50 AS int), 'text', {of(TEXT.format(s="string"))}, 'html', '', 'description', cast(null AS string), 'p', x.p, 's', x.s, 'n', x.n))"""
-    return named.select(
+    return fixed(named.select(
         F.col("pg").cast("int").alias("page_num"), (F.col("pg") % 50).alias("vol"), F.format_string("vol-%03d-2000", F.col("pg") % 50).alias("volume_slug"),
         F.lit(WIDTH).alias("image_width"), F.lit(HEIGHT).alias("image_height"), F.format_string("page_%04d.png", "pg").alias("image_filename"), F.expr(block).alias("blocks"),
-    )
+    ))
 
 
 def volume_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

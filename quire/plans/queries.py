@@ -55,8 +55,8 @@ def _(spark, sf):
     return blocks.type_histogram(rows)
 
 
-@query("pixel_bbox", """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, least(ax, bx)::BIGINT AS x1, least(ay, by)::BIGINT AS y1, greatest(ax, bx)::BIGINT AS x2, greatest(ay, by)::BIGINT AS y2 FROM (
-SELECT *, round_even(greatest(0, x1 * sx), 0) AS ax, round_even(least(1400, x2 * sx), 0) AS bx, round_even(greatest(0, y1 * sy), 0) AS ay, round_even(least(2000, y2 * sy), 0) AS by FROM (
+@query("pixel_bbox", """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, least(ax, bx)::BIGINT AS x1, least(ay, "by")::BIGINT AS y1, greatest(ax, bx)::BIGINT AS x2, greatest(ay, "by")::BIGINT AS y2 FROM (
+SELECT *, round_even(greatest(0, x1 * sx), 0) AS ax, round_even(least(1400, x2 * sx), 0) AS bx, round_even(greatest(0, y1 * sy), 0) AS ay, round_even(least(2000, y2 * sy), 0) AS "by" FROM (
 SELECT *, CASE WHEN m THEN 1400 ELSE 1 END AS sx, CASE WHEN m THEN 2000 ELSE 1 END AS sy FROM (SELECT *, greatest(abs(x1), abs(y1), abs(x2), abs(y2)) <= 1.5 AS m FROM (
 SELECT l_orderkey, l_linenumber, l_partkey, l_discount AS x1, l_tax AS y1, CASE WHEN l_partkey % 2 = 0 THEN l_quantity * 31.5 ELSE 0.5 + l_discount END AS x2, CASE WHEN l_partkey % 2 = 0 THEN l_quantity * 40.5 ELSE 0.75 END AS y2 FROM lineitem))))""")
 def _(spark, sf):
