@@ -17,8 +17,8 @@ SLICE, LEAST_CELLS, MOST_CELLS = 22, 1 << 16, 1 << 30
 CELLS_A_SEED, BYTES_A_WORD = 8, 6
 #: Ids are broadcast to filter a scan up to this number, and joined by a shuffle beyond it.
 BROADCAST_IDS = 2_000_000
-#: Seeds of so many documents take the way with partial sums before the shuffle.
-HOT = 2000
+#: Seeds of so many documents take the way with partial sums before the shuffle: their windows would fill a third of a task that groups by seed.
+HOT = 50_000
 FLUSH = 4_000_000
 
 
