@@ -21,7 +21,7 @@ from . import lattice as L
 C.by_value(__name__)
 
 SEED = 1
-WORDS_A_CALL = 300_000
+WORDS_A_CALL = 150_000
 
 
 def units(text: Column) -> Column:
@@ -87,7 +87,7 @@ def _encode(shared, seed: int, digests: bool):
                 else:
                     yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))], ["doc_id", "ids"])
 
-    return run
+    return C.lean(run)
 
 
 def _parts(batch: pa.RecordBatch):
