@@ -4,7 +4,7 @@ Each window is counted under its seed, the least of its 5-word hashes: equal win
 never below the window's, and there are five times fewer of them. Partitions make sparse sketches that are summed slice by
 slice; two bits a cell (two documents or more, very many) go to the executors. The second pass emits only windows whose cell is
 set and groups them exactly by a 96-bit hash. Windows of one seed travel together, to where all equal ones meet; those of a
-seed that very many documents have are grouped with partial minima before the shuffle instead. Whole copies are found
+seed that very many documents have are grouped within each task first, and what is left is keyed by its own hash. Whole copies are found
 beforehand by digest and emit no windows. The sketch's width follows the input up to a bound; beyond it more windows pass and none is lost.
 """
 
@@ -26,37 +26,86 @@ C.by_value(__name__)
 WINDOW, SEED = 13, 5
 #: Bytes of text whose suspect windows one task groups.
 PARTITION_BYTES = 24 << 20
+#: Windows of hot seeds that a task holds at a time (24 bytes each).
+FLUSH = 1 << 20
 
 
-def _suspects(window: int, seed: int, sketch, hot: bool):
-    """Windows that may repeat: one row for each run of windows with the same seed, or one for each window of a hot seed.
+def _late(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of these windows a smaller document has among them too, and which not."""
+    order = np.lexsort((doc, h2, h1))
+    h1, h2, doc = h1[order], h2[order], doc[order]
+    head = np.ones(len(h1), bool)
+    head[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    late = doc > doc[np.flatnonzero(head)][np.cumsum(head) - 1]
+    return order[late], order[~late]
+
+
+def _by_doc(doc: np.ndarray, pos: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Places as one list for each document."""
+    order = np.lexsort((pos, doc))
+    ids, first = np.unique(doc[order], return_index=True)
+    return pa.array(ids), pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(doc)]]).astype(np.int32)), pa.array(pos[order].astype(np.int32)))
+
+
+_HASHES = np.dtype([("h1", "<i8"), ("h2", "<i4")])
+
+
+def _runs(key, doc, pos, wins, head):
+    """Rows of windows: wins holds the hashes, 12 bytes each, of consecutive places from pos on; head tells where rows start."""
+    cuts = np.concatenate([head, [len(wins)]]).astype(np.int32) * 12
+    packed = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(cuts), pa.py_buffer(wins)])
+    return pa.RecordBatch.from_arrays([pa.array(key[head].view(np.int64)), pa.array(doc[head]), pa.array(pos[head]), packed, pa.nulls(len(head), pa.list_(pa.int32()))], _NAMES)
 
-    wins holds the windows' hashes, 12 bytes each, of consecutive places from pos on.
+
+_NAMES = ["key", "doc_id", "pos", "wins", "at"]
+
+
+def _suspects(window: int, seed: int, sketch):
+    """Windows that may repeat, in rows keyed so that all equal ones meet.
+
+    Windows of one seed travel in runs, keyed by the seed. Those of a hot seed are grouped here first: what a smaller document
+    of this task has too is decided (a row with places, at, keyed by document), and the others travel singly, keyed by their
+    hash. So a window that any number of documents have is sent once for each FLUSH windows of a task.
     """
 
+    def settle(parts):
+        wins, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        late, rest = _late(wins["h1"], wins["h2"], doc)
+        if len(late):
+            ids, at = _by_doc(doc[late], pos[late])
+            n = len(ids)
+            yield pa.RecordBatch.from_arrays([ids, ids, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), at], _NAMES)
+        wins = wins[rest]
+        yield _runs(np.ascontiguousarray(wins["h1"]), doc[rest], pos[rest], wins, np.arange(len(rest)))
+
     def run(batches):
         some, many = sketch.value
+        parts, held = [], 0
         for whole in batches:
             for b in C.text_parts(whole):
                 h, off = C.hash_words(b.column("text"))
                 least, ok = W.window_seeds(h, off, seed, window)
                 at = np.flatnonzero(ok)
                 at = at[W.in_cells(least[at], some)]
-                at = at[W.in_cells(least[at], many) == hot]
                 own = C.owners(off)[at]
-                hashes = np.empty(len(at), np.dtype([("h1", "<i8"), ("h2", "<i4")]))
+                hashes = np.empty(len(at), _HASHES)
                 hashes["h1"] = C.grams(h, window)[at].view(np.int64)
                 hashes["h2"] = (C.grams(h, window, 7)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                ids, pos = b.column("doc_id").to_numpy()[own], (at - off[own]).astype(np.int32)
-                if hot:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(hashes["h1"])), pa.array(np.ascontiguousarray(hashes["h2"])), pa.array(ids), pa.array(pos)], ["h1", "h2", "doc_id", "pos"])
-                    continue
+                doc, pos = b.column("doc_id").to_numpy()[own], (at - off[own]).astype(np.int32)
+                hot = W.in_cells(least[at], many)
+                if hot.any():
+                    parts.append((hashes[hot], doc[hot], pos[hot]))
+                    held += int(hot.sum())
+                    if held > FLUSH:
+                        yield from settle(parts)
+                        parts, held = [], 0
+                cool = ~hot
+                at, own, key = at[cool], own[cool], least[at[cool]]
                 head = np.ones(len(at), bool)
-                head[1:] = (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]]) | (own[1:] != own[:-1])
-                head = np.flatnonzero(head)
-                cuts = np.concatenate([head, [len(at)]]).astype(np.int32) * 12
-                wins = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(cuts), pa.py_buffer(hashes)])
-                yield pa.RecordBatch.from_arrays([pa.array(least[at[head]].view(np.int64)), pa.array(ids[head]), pa.array(pos[head]), wins], ["seed", "doc_id", "pos", "wins"])
+                head[1:] = (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+                yield _runs(key, doc[cool], pos[cool], hashes[cool], np.flatnonzero(head))
+        if parts:
+            yield from settle(parts)
 
     return run
 
@@ -71,23 +120,21 @@ def _opened(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
 
 
 def _repeats(batches):
-    """For each document, the places of its windows that stand in a smaller doc_id, among all rows of this partition's seeds."""
-    parts = [x for b in batches if b.num_rows for x in [_opened(b)]]
+    """For each document, the places of its windows that stand in a smaller doc_id, among all rows of this partition's keys."""
+    parts = []
+    for b in batches:
+        done = np.asarray(b.column("at").is_valid())
+        if done.any():
+            yield b.filter(pa.array(done)).select(["doc_id", "at"])
+            b = b.filter(pa.array(~done))
+        if b.num_rows:
+            parts.append(_opened(b))
     if not parts:
         return
     h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
     del parts
-    order = np.lexsort((doc, h2, h1))
-    h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
-    head = np.ones(len(h1), bool)
-    head[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    low = doc[np.flatnonzero(head)][np.cumsum(head) - 1]
-    late = doc > low
-    doc, pos = doc[late], pos[late]
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order]
-    ids, first = np.unique(doc, return_index=True)
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(doc)]]).astype(np.int32)), pa.array(pos))], ["doc_id", "at"])
+    late, _ = _late(h1, h2, doc)
+    yield pa.RecordBatch.from_arrays(list(_by_doc(doc[late], pos[late])), ["doc_id", "at"])
 
 
 def _cut(window: int):
@@ -116,12 +163,13 @@ def _cut(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, hot: int = W.HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text of every row of docs (doc_id, text, ...).
 
     A word goes if it lies in a window whose word sequence also starts in a document of smaller doc_id; windows are judged on
     the input. Empty and null texts have no words; texts shorter than a window lose none. Rows that share a doc_id are one
-    document; rows without one lose nothing and take nothing from others.
+    document; rows without one lose nothing and take nothing from others. Seeds of `hot` documents or more are grouped before
+    the shuffle.
     """
     spark = docs.sparkSession
     C.small_batches(spark)
@@ -130,14 +178,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     firsts = W.without(docs.where(docs["doc_id"].isNotNull()).select("doc_id", "text"), whole)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cells = W.cells_for(total, 2 / (window - seed + 2))
-    sketch = spark.sparkContext.broadcast(W.repeated_cells(firsts, seed, window, cells))
-    runs = firsts.mapInArrow(_suspects(window, seed, sketch, False), "seed bigint, doc_id bigint, pos int, wins binary")
-    # equal windows have equal seeds, so a partition by seed holds all of them
-    some = runs.repartition(max(1, -(-total // PARTITION_BYTES)), "seed").mapInArrow(_repeats, "doc_id bigint, at array<int>")
-    hot = firsts.mapInArrow(_suspects(window, seed, sketch, True), "h1 bigint, h2 int, doc_id bigint, pos int")
-    first = hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h1", "h2", "low")
-    many = hot.join(first, ["h1", "h2"]).where("doc_id > low").select("doc_id", F.array("pos").alias("at"))
-    repeats = some.union(many).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
+    sketch = spark.sparkContext.broadcast(W.repeated_cells(firsts, seed, window, cells, hot))
+    runs = firsts.mapInArrow(_suspects(window, seed, sketch), "key bigint, doc_id bigint, pos int, wins binary, at array<int>")
+    # equal windows have equal keys, so a partition by key holds all of them
+    some = runs.repartition(max(1, -(-total // PARTITION_BYTES)), "key").mapInArrow(_repeats, "doc_id bigint, at array<int>")
+    repeats = some.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
     marks = repeats.select("doc_id", "at", F.lit(False).alias("whole")).union(whole.select("doc_id", F.lit(None), F.lit(True)))
     rows = docs.select("doc_id", "text").join(marks.groupBy("doc_id").agg(F.first("at", True).alias("at"), F.max("whole").alias("whole")), "doc_id", "left")
     return rows.mapInArrow(_cut(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")

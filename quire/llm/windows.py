@@ -17,8 +17,8 @@ SLICE, LEAST_CELLS, MOST_CELLS = 22, 1 << 16, 1 << 30
 CELLS_A_SEED, BYTES_A_WORD = 8, 6
 #: Ids are broadcast to filter a scan up to this number, and joined by a shuffle beyond it.
 BROADCAST_IDS = 2_000_000
-#: Seeds of so many documents take the way with partial sums before the shuffle: their windows would fill a third of a task that groups by seed.
-HOT = 50_000
+#: Seeds of so many documents are grouped before the shuffle.
+HOT = 2000
 FLUSH = 4_000_000
 
 
@@ -91,13 +91,13 @@ def _partition_sketch(k: int, words: int, cells: int):
     return run
 
 
-def repeated_cells(docs: DataFrame, k: int, words: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits for each cell of the merged sketch: whether seeds of two documents or more fall into it, and of HOT or more.
+def repeated_cells(docs: DataFrame, k: int, words: int, cells: int, hot: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits for each cell of the merged sketch: whether seeds of two documents or more fall into it, and of `hot` or more.
 
     docs has the column text. Partition sketches are summed by slice, so no task sees more than a slice of them.
     """
     parts = docs.select("text").mapInArrow(_partition_sketch(k, words, cells), "slice int, cells binary")
-    merged = parts.repartition(max(1, cells >> SLICE), "slice").mapInArrow(_merge(cells), "slice int, some binary, many binary").toArrow()
+    merged = parts.repartition(max(1, cells >> SLICE), "slice").mapInArrow(_merge(cells, hot), "slice int, some binary, many binary").toArrow()
     out = np.zeros((2, cells // 8), np.uint8)
     width = min(cells, 1 << SLICE) // 8
     for column, name in enumerate(("some", "many")):
@@ -106,7 +106,7 @@ def repeated_cells(docs: DataFrame, k: int, words: int, cells: int) -> tuple[np.
     return out[0], out[1]
 
 
-def _merge(cells: int):
+def _merge(cells: int, hot: int):
     """Sums of the slices dealt to this task, of 4 million cells each."""
 
     def run(batches):
@@ -117,7 +117,7 @@ def _merge(cells: int):
                 cell, n = np.unique(np.frombuffer(blob.as_buffer(), np.uint32), return_counts=True)
                 s[cell] = np.minimum(s[cell].astype(np.int64) + n, 65535)
         for i, s in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *[pa.array([np.packbits(s >= least).tobytes()], pa.binary()) for least in (2, HOT)]], ["slice", "some", "many"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *[pa.array([np.packbits(s >= least).tobytes()], pa.binary()) for least in (2, hot)]], ["slice", "some", "many"])
 
     return run
 
