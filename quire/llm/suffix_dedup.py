@@ -1,11 +1,11 @@
-"""Repeated passages by sparse suffix arrays.
-
-Suffixes are retained at content-selected places only: the 16-word grams that are least in some window of a passage's minimum
-length, so two equal passages retain the same ones. A count-min sketch leaves out suffixes whose gram no other document can
-have. The rest are sorted by what follows (range partitions, so equal suffixes spread over tasks) and each is compared with the
-one before it; then sorted once more by what precedes, backwards, and compared again. Each agreement is extended to the left
-and the right, and passages that reach the minimum length are reported; overlapping ones are joined. Whole copies of a document
-are found beforehand by digest and reported whole.
+"""Repeated passages, exactly: every run of a passage's minimum length is grouped with all of its equals.
+
+Each window of that many words is filed under its seed, the least of its 16-word hashes, so equal windows have equal seeds. A
+count-min sketch leaves out windows whose seed no other document can have. The rest meet by seed, in runs of consecutive places,
+and are grouped by a 96-bit hash; what a document of smaller id also has is reported, consecutive places as one span, and
+overlapping spans are joined. So a passage is found with any number of holders, whatever surrounds it. Windows of a seed that
+very many documents have are grouped within each task first, and what is left is keyed by its own hash. Whole copies of a
+document are found beforehand by digest and reported whole.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
+from . import substring_dedup as S
 from . import windows as W
 
 C.by_value(__name__)
@@ -23,121 +24,119 @@ C.by_value(__name__)
 PASSAGE, GRAM = 50, 16
 
 
-def _suffixes(passage: int, k: int, sketch):
-    """Retained places with the words (32-bit hashes) that follow and precede, as far as the passage can reach; 0 beyond the text."""
-    reach = passage - k
-
-    def context(h32, off, own, at, step, begin):
-        out = np.zeros((len(at), reach), np.uint32)
-        for j in range(reach):
-            i = at + begin + step * j
-            ok = (i >= off[own]) & (i < off[own + 1])
-            out[ok, j] = h32[i[ok]]
-        return [x.tobytes() for x in out.astype(">u4")]
-
-    def run(batches):
-        some = sketch.value
-        for whole in batches:
-            for b in C.text_parts(whole):
-                h, off = C.hash_words(b.column("text"))
-                at, seed = W.seed_places(h, off, k, passage)
-                hit = W.in_cells(seed, some)
-                at, seed = at[hit], seed[hit]
-                own = C.owners(off)[at]
-                h32 = ((h >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)
-                ids = b.column("doc_id").to_numpy()[own]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seed.view(np.int64)), pa.array(context(h32, off, own, at, 1, k), pa.binary()), pa.array(context(h32, off, own, at, -1, -1), pa.binary()), pa.array(ids), pa.array((at - off[own]).astype(np.int32))],
-                    ["seed", "after", "before", "doc_id", "pos"],
-                )
-
-    return run
-
-
-def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many words two contexts share from their start."""
-    same = (a == b) & (a != 0)
-    return np.where(same.all(1), same.shape[1], same.argmin(1))
-
-
-def _compare(x: pa.RecordBatch | pa.Table, passage: int, k: int):
-    """Neighbouring rows: spans of the larger document that the smaller one has too."""
-    n, reach = x.num_rows, passage - k
-    seed, doc, pos = (x.column(c).to_numpy() for c in ("seed", "doc_id", "pos"))
-    after, before = (np.frombuffer(b"".join(x.column(c).to_pylist()), ">u4").reshape(n, reach) for c in ("after", "before"))
-    # the one before, and the last one of another document where that is the same
-    near = np.flatnonzero((seed[1:] == seed[:-1]) & (doc[1:] != doc[:-1]))
-    head = np.ones(n, bool)
-    head[1:] = (doc[1:] != doc[:-1]) | (seed[1:] != seed[:-1])
-    run = np.flatnonzero(head)[np.cumsum(head) - 1]  # where the run of this document starts
-    back = np.flatnonzero((~head) & (run > 0))
-    back = back[seed[np.maximum(run[back] - 1, 0)] == seed[back]]
-    i, j = np.concatenate([near, run[back] - 1]), np.concatenate([near + 1, back])
-    right, left = _same(after[i], after[j]), _same(before[i], before[j])
-    long = right + left + k >= passage
-    i, j, right, left = i[long], j[long], right[long], left[long]
-    swap = doc[i] > doc[j]
-    late, early = np.where(swap, i, j), np.where(swap, j, i)
-    return doc[late], (pos[late] - left).astype(np.int32), (pos[late] + k + right).astype(np.int32), doc[early], (pos[early] - left).astype(np.int32)
+def _hashes(h: np.ndarray, passage: int) -> np.ndarray:
+    """A 96-bit hash of each run of so many words, by doubling."""
+    out = np.empty(max(0, len(h) - passage + 1), S._HASHES)
+    one, two = (W.sliding(C.mix(h ^ np.uint64(salt)), passage, lambda x, y: C.mix(x * np.uint64(C._ODD) + y)) for salt in (0, 0x5851F42D4C957F2D))
+    out["h1"], out["h2"] = one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return out
+
+
+def _late(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of these windows a smaller document has among them too, and where: the first place in the smallest one."""
+    order = np.argsort(h1)
+    same = h1[order[1:]] == h1[order[:-1]]
+    met = np.zeros(len(h1), bool)
+    met[1:] |= same
+    met[:-1] |= same
+    order = order[met]
+    order = order[np.lexsort((pos[order], doc[order], h2[order], h1[order]))]
+    head = np.ones(len(order), bool)
+    head[1:] = (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]])
+    lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
+    late = doc[order] > doc[lead]
+    return order[late], lead[late]
+
+
+def _spans(doc: np.ndarray, pos: np.ndarray, late: np.ndarray, lead: np.ndarray, passage: int) -> list[np.ndarray]:
+    """Late windows as spans: consecutive places whose first holders are consecutive too are one."""
+    order = np.lexsort((pos[late], doc[late]))
+    late, lead = late[order], lead[order]
+    d, p, d0, p0 = doc[late], pos[late], doc[lead], pos[lead]
+    head = np.ones(len(d), bool)
+    head[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1) | (d0[1:] != d0[:-1]) | (p0[1:] != p0[:-1] + 1)
+    at = np.flatnonzero(head)
+    last = np.concatenate([at[1:], [len(d)]])[: len(at)] - 1
+    return [d[at], p[at], (p[last] + passage).astype(np.int32), d0[at], p0[at]]
 
 
 _COLUMNS = ["doc_id", "start", "stop", "other_id", "other_start"]
+_NAMES = ["key", "doc_id", "pos", "wins", "stop", "other_id", "other_start"]
 
 
-def _neighbours(passage: int, k: int, order: list[str]):
-    """Matches of one sorted partition; its first and last rows also come out whole (edge), to be compared across partitions."""
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        part, last, first = TaskContext.get().partitionId(), None, None
-
-        def out(cols, edge=None):
-            n = len(cols[0]) if edge is None else edge.num_rows
-            full = [pa.array(c) for c in cols] if edge is None else [pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())]
-            rest = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())]
-            if edge is not None:
-                rest = [pa.array([part] * n, pa.int32()), *[edge.column(c) for c in ("seed", "after", "before", "doc_id", "pos")]]
-            return pa.RecordBatch.from_arrays([*full, *rest], [*_COLUMNS, "part", "e_seed", "e_after", "e_before", "e_doc", "e_pos"])
+def _suspects(passage: int, k: int, sketch):
+    """Windows that may repeat, in rows keyed so that all equal ones meet; spans that are decided here come out as such (stop)."""
 
-        for b in batches:
-            if not b.num_rows:
-                continue
-            first = b.slice(0, 1) if first is None else first
-            rows = b if last is None else pa.Table.from_batches([last, b]).combine_chunks().to_batches()[0]
-            yield out(_compare(rows, passage, k))
-            last = b.slice(b.num_rows - 1, 1)
-        if first is not None:
-            yield out(None, first)
-            yield out(None, last)
+    def rows(key, doc, pos, wins, head):
+        r, n = S._runs(key, doc, pos, wins, head), len(head)
+        return pa.RecordBatch.from_arrays([*(r.column(c) for c in _NAMES[:4]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
 
-    return run
+    def settle(parts):
+        wins, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        late, lead = _late(wins["h1"], wins["h2"], doc, pos)
+        if len(late):
+            d, start, *others = (pa.array(x) for x in _spans(doc, pos, late, lead, passage))
+            yield pa.RecordBatch.from_arrays([d, d, start, pa.nulls(len(d), pa.binary()), *others], _NAMES)
+        rest = np.ones(len(doc), bool)
+        rest[late] = False
+        wins = wins[rest]
+        yield rows(np.ascontiguousarray(wins["h1"]), doc[rest], pos[rest], wins, np.arange(len(wins)))
 
+    def run(batches):
+        some, many = sketch.value
+        parts, held = [], 0
+        for whole in batches:
+            for b in C.text_parts(whole):
+                h, off = C.hash_words(b.column("text"))
+                least, ok = W.window_seeds(h, off, k, passage)
+                at = np.flatnonzero(ok)
+                at = at[W.in_cells(least[at], some)]
+                own, hashes, key = C.owners(off)[at], _hashes(h, passage)[at], least[at]
+                doc, pos = b.column("doc_id").to_numpy()[own], (at - off[own]).astype(np.int32)
+                hot = W.in_cells(key, many)
+                if hot.any():
+                    parts.append((hashes[hot], doc[hot], pos[hot]))
+                    held += int(hot.sum())
+                    if held > S.FLUSH:
+                        yield from settle(parts)
+                        parts, held = [], 0
+                cool = ~hot
+                at, own, key = at[cool], own[cool], key[cool]
+                head = np.ones(len(at), bool)
+                head[1:] = (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+                yield rows(key, doc[cool], pos[cool], hashes[cool], np.flatnonzero(head))
+        if parts:
+            yield from settle(parts)
 
-_SCHEMA = "doc_id bigint, start int, stop int, other_id bigint, other_start int, part int, e_seed bigint, e_after binary, e_before binary, e_doc bigint, e_pos int"
+    return C.lean(run)
 
 
-def _matches(suffixes: DataFrame, order: list[str], passage: int, k: int, scratch: C.Scratch, tasks: int) -> DataFrame:
-    ordered = suffixes.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    found = scratch.keep(ordered.mapInArrow(_neighbours(passage, k, order), _SCHEMA))
-    # two rows for each partition: the neighbours that a partition's boundary separates
-    edges = found.where("part is not null").select(F.col("e_seed").alias("seed"), F.col("e_after").alias("after"), F.col("e_before").alias("before"), F.col("e_doc").alias("doc_id"), F.col("e_pos").alias("pos"))
-    edges = edges.coalesce(1).sortWithinPartitions(*order)
+def _matches(passage: int):
+    """Spans of a document that a smaller one has too, among all windows of this partition's keys."""
 
-    def across(batches):
-        parts = [b for b in batches if b.num_rows]
+    def run(batches):
+        parts = []
+        for b in batches:
+            done = np.asarray(b.column("stop").is_valid())
+            if done.any():
+                yield b.filter(pa.array(done)).select(["doc_id", "pos", "stop", "other_id", "other_start"]).rename_columns(_COLUMNS)
+                b = b.filter(pa.array(~done))
+            if b.num_rows:
+                parts.append(S._opened(b))
         if parts:
-            rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _compare(rows, passage, k)], _COLUMNS)
+            h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+            del parts
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(doc, pos, *_late(h1, h2, doc, pos), passage)], _COLUMNS)
 
-    return found.where("part is null").select(*_COLUMNS).union(edges.mapInArrow(across, "doc_id bigint, start int, stop int, other_id bigint, other_start int"))
+    return C.lean(run)
 
 
-def repeated_passages(docs: DataFrame, passage: int = PASSAGE, k: int = GRAM) -> DataFrame:
+def repeated_passages(docs: DataFrame, passage: int = PASSAGE, k: int = GRAM, hot: int = W.HOT) -> DataFrame:
     """Passages of `passage` words or more that a document shares with one of smaller doc_id: doc_id, start, stop, n_words, other_id, other_start.
 
     docs: doc_id, text, ... start and stop count words; other_id and other_start tell where a first part of the passage also
-    stands. A document without such a passage has no row, as have empty, null and short texts. A copy of a whole document is one
+    stands: in the smallest doc_id, or where a seed of `hot` documents or more is grouped before the shuffle, in some smaller one.
+    A document without such a passage has no row, as have empty, null and short texts. A copy of a whole document is one
     passage. Rows that share a doc_id are one document; rows without one are left out. Overlapping passages of a document are one.
     """
     spark = docs.sparkSession
@@ -148,15 +147,13 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, k: int = GRAM) ->
     firsts = W.without(named, whole)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cells = W.cells_for(total, 2 / (passage - k + 2))
-    some, _ = W.repeated_cells(firsts, k, passage, cells)
-    sketch = spark.sparkContext.broadcast(some)
-    suffixes = scratch.keep(firsts.mapInArrow(_suffixes(passage, k, sketch), "seed bigint, after binary, before binary, doc_id bigint, pos int"))
-    tasks = max(1, -(-total // (24 << 20)))
-    found = _matches(suffixes, ["seed", "after", "doc_id", "pos"], passage, k, scratch, tasks)
-    found = found.union(_matches(suffixes, ["seed", "before", "doc_id", "pos"], passage, k, scratch, tasks))
+    sketch = spark.sparkContext.broadcast(W.repeated_cells(firsts, k, passage, cells, hot))
+    runs = firsts.mapInArrow(_suspects(passage, k, sketch), "key bigint, doc_id bigint, pos int, wins binary, stop int, other_id bigint, other_start int")
+    # equal windows have equal keys, so a partition by key holds all of them
+    found = runs.repartition(max(1, -(-total // S.PARTITION_BYTES)), "key").mapInArrow(_matches(passage), "doc_id bigint, start int, stop int, other_id bigint, other_start int")
     w = F.size(C.words(F.col("text")))
     copied = named.join(whole, "doc_id").select("doc_id", F.lit(0).alias("start"), w.alias("stop"), F.col("first_id").alias("other_id"), F.lit(0).alias("other_start")).where(F.col("stop") >= passage).distinct()
-    # join overlapping spans of a document: at most as many as it has retained places
+    # join overlapping spans of a document: at most as many as it has windows
     spans = found.union(copied).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop", "other_id", "other_start"))).alias("s"))
 
     def grow(done, x):
