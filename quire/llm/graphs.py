@@ -22,7 +22,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame, scratch: C.Scratch) -> DataFrame:
-    """node, comp for every node of links (a, b): comp is the smallest node that can be reached. Few rounds even for long chains.
+    """node, comp for every node of links (a, b) but each component's smallest: comp is that one. Few rounds even for long chains.
 
     Edges run from the larger node (u) to the smaller (v); at the fixed point each node has one edge, to its component.
     """

@@ -3,8 +3,8 @@
 Documents with equal shingle sets are one class. A set's prefix holds its first n - ceil(t * n) + 1 shingles in an order that
 puts frequent ones last; two sets of Jaccard similarity t or more share a shingle of their prefixes. Classes of equal size and
 prefix collapse into one group, and only groups
-that meet on a prefix shingle are looked at. A list of groups under one shingle isn't paired off: first each group is held
-against one leader, and what is linked is one component from then on, so a large group of near copies costs as many comparisons
+that meet on a prefix shingle, and the members of one group, are looked at. A list of groups under one shingle isn't paired
+off: first each group is held against one leader, and what is linked is one component from then on, so a large group of near copies costs as many comparisons
 as it has members. Lists that still hold more than one component are expanded to their members. Pairs of short lists whose
 prefixes share enough, and the members of long lists, are edges between members; each component of these edges is cut into
 blocks by component and size, and the blocks that may hold a link between different components are compared as a whole, by
@@ -215,7 +215,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     # what lists still hold more than one component, with all of their members
     of_group = reps.join(groups.select("n", "prefix", "gid"), ["n", "prefix"]).select("cid", "gid", "n")
-    lists = active.select("token", "gid").join(of_group, "gid").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
+    # the members of a group share its prefix, whether other groups do or not: each group of several is a list of its own
+    own = groups.where("members > 1").select(F.xxhash64("gid").alias("token"), "gid")
+    lists = active.select("token", "gid").union(own).join(of_group, "gid").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
     lists = scratch.keep(lists.select("token", "cid", "n", F.coalesce("comp", "cid").alias("comp")))
     mixed = lists.groupBy("token").agg(F.count(F.lit(1)).alias("len"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("cid").alias("lead")).where("c0 < c1").select("token", "len", "lead")
     lists = scratch.keep(lists.join(mixed, "token"))
@@ -225,7 +227,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     edges = promising(met.select(F.col("cid").alias("a"), "b").distinct()).union(lists.where((F.col("len") > SHORT_LIST) & (F.col("cid") != F.col("lead"))).select("cid", "lead")).distinct()
     edges = scratch.keep(edges)
     if not edges.isEmpty():
-        family = graphs.components(edges, scratch).select(F.col("node").alias("cid"), F.col("comp").alias("family"))
+        family = graphs.components(edges, scratch)
+        # a family's smallest member is no node of its own
+        family = family.select(F.explode(F.array("node", "comp")).alias("cid"), F.col("comp").alias("family")).distinct()
         members = family.join(reps.select("cid", "n"), "cid").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         line = Window.partitionBy("family").orderBy("comp", "n", "cid")
         members = scratch.keep(members.withColumn("block", F.floor((F.row_number().over(line) - 1) / BLOCK)))
