@@ -71,9 +71,11 @@ def exact_groups(docs: DataFrame, first: int = FIRST, wider: int = WIDER) -> Dat
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that `exact_groups` keeps, with their columns; rows repeated whole stay once."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of docs that `exact_groups` keeps, with their columns; rows that repeat both doc_id and text stay once, rows without doc_id all stay."""
+    kept = exact_groups(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha")).distinct()
+    named = docs.where(docs["doc_id"].isNotNull()).withColumn("_sha", F.unhex(F.sha2(normalised(F.col("text")), 256)))
+    named = named.join(kept, (F.col("doc_id") == F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    return named.dropDuplicates(["doc_id", "_sha"]).drop("_sha").unionAll(docs.where(docs["doc_id"].isNull()))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
