@@ -50,12 +50,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+#: Folders of all scratch tables of this process, oldest first.
+_FOLDERS: list[str] = []
+
+
 class Scratch:
-    """Tables in the shared folder that cut lineage: what is read back no longer depends on executors' shuffle files."""
+    """Tables in the shared folder that cut lineage: what is read back no longer depends on executors' shuffle files.
+
+    Results are read from these tables when they are used, so they stay until `clear`.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{scratch_dir(spark)}/quire-{uuid.uuid4().hex}"
         self.n = 0
+        _FOLDERS.append(self.root)
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -69,9 +77,39 @@ class Scratch:
         """Remove a table that nothing reads any more."""
         path = getattr(df, "_quire_path", None)
         if path:
-            jvm = self.spark._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def mark() -> int:
+    """How many folders of scratch tables there are; a point that `clear` can go back to."""
+    return len(_FOLDERS)
+
+
+def clear(spark: SparkSession, since: int = 0) -> None:
+    """Remove the scratch tables made since `mark` gave that number. Results that weren't written or collected can't be read afterwards."""
+    while len(_FOLDERS) > since:
+        _delete(spark, _FOLDERS.pop())
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def digest(text: Column, i: int) -> Column:
+    """The i-th of a family of 64-bit hashes. The number is hashed first, so each starts from a state of its own and none is a function of another."""
+    return F.xxhash64(F.lit(i), text)
 
 
 def trimmed(text: Column) -> Column:
