@@ -25,25 +25,17 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), C.SPACE_RUN, " ")
 
 
-def exact_groups(docs: DataFrame, first: int = FIRST, wider: int = WIDER) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs (doc_id, text, ...).
-
-    Texts are equal when identical after `normalised`; the smallest doc_id of equal texts is kept. Empty, blank-free and null
-    texts are equal to each other. Rows that repeat both doc_id and text are one document: each counts in group_size and all
-    get the same answer. A row without doc_id is nobody's copy: keep_id is null, group_size 1, kept true. Other columns are
-    ignored, whatever their names.
-    """
-    spark = docs.sparkSession
-    scratch = C.Scratch(spark)
+def _found(docs: DataFrame, scratch: C.Scratch, first: int, wider: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, sha of all rows, and doc_id, sha, keep_id, group_size of those that have equals, each once."""
     base = docs.select("doc_id", normalised(docs["text"]).alias("t"))
     base = base.select("doc_id", F.col("t").cast("binary").alias("b"), F.unhex(F.sha2("t", 256)).alias("sha"))
-    named = base.where(F.col("doc_id").isNotNull())
-
-    active = named.select("doc_id", "sha", F.octet_length("b").cast("long").alias("g"), "b")
-    width, done, before = first, [], None
+    active = base.where(F.col("doc_id").isNotNull()).select("doc_id", "sha", F.octet_length("b").cast("long").alias("g"), "b")
+    width, done = first, []
     while True:
         digit = F.substring("b", 1, width)
         groups = active.groupBy("g", digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")).where("n > 1")
+        # a table of their own: small, or else the join can split a hot group
+        groups = scratch.keep(groups)
         split = (
             active.withColumn("digit", digit)
             .join(groups, ["g", "digit"])
@@ -51,17 +43,25 @@ def exact_groups(docs: DataFrame, first: int = FIRST, wider: int = WIDER) -> Dat
             .withColumn("ended", F.octet_length("b") == 0)
         )
         split = scratch.keep(split)
-        if before is not None:
-            scratch.drop(before)
-        # the first table also holds what has ended, so it stays until the result is read
         done.append(split.where("ended").select("doc_id", "sha", F.col("g").alias("keep_id"), F.col("n").alias("group_size")))
         active = split.where("not ended").select("doc_id", "sha", "g", "b")
         if active.isEmpty():
             break
         width *= wider
-    found = reduce(DataFrame.unionAll, done).distinct()
-    rows = base.select("doc_id", "sha")
-    return rows.join(found, ["doc_id", "sha"], "left").select(
+    return base.select("doc_id", "sha"), reduce(DataFrame.unionAll, done).distinct()
+
+
+def exact_groups(docs: DataFrame, first: int = FIRST, wider: int = WIDER) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs (doc_id, text, ...).
+
+    Texts are equal when identical after `normalised`; the smallest doc_id of equal texts is kept. Empty, blank-free and null
+    texts are equal to each other. Rows that repeat both doc_id and text are one document: each counts in group_size and all
+    get the same answer. A row without doc_id is nobody's copy: keep_id is null, group_size 1, kept true. Other columns are
+    ignored, whatever their names. An empty table gives no rows.
+    """
+    scratch = C.Scratch(docs.sparkSession)
+    rows, found = _found(docs, scratch, first, wider)
+    return rows.join(scratch.keep(found), ["doc_id", "sha"], "left").select(
         "doc_id",
         F.coalesce("keep_id", "doc_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -71,14 +71,24 @@ def exact_groups(docs: DataFrame, first: int = FIRST, wider: int = WIDER) -> Dat
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that `exact_groups` keeps, with their columns; rows that repeat both doc_id and text stay once, rows without doc_id all stay."""
-    kept = exact_groups(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha")).distinct()
-    named = docs.where(docs["doc_id"].isNotNull()).withColumn("_sha", F.unhex(F.sha2(normalised(F.col("text")), 256)))
-    named = named.join(kept, (F.col("doc_id") == F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
-    return named.dropDuplicates(["doc_id", "_sha"]).drop("_sha").unionAll(docs.where(docs["doc_id"].isNull()))
+    """The rows of docs that `exact_groups` keeps, with all columns, whatever their names.
+
+    Rows that repeat both doc_id and text stay once; rows without doc_id all stay. Null and empty texts are equal. An empty
+    table stays empty.
+    """
+    scratch = C.Scratch(docs.sparkSession)
+    found = scratch.keep(_found(docs, scratch, FIRST, WIDER)[1])
+    sha, has, its, keeper = C.fresh(docs, "_sha", "_has", "_its", "_keeper")
+    found = found.select(F.col("doc_id").alias(has), F.col("sha").alias(its), F.col("keep_id").alias(keeper))
+    rows = docs.withColumn(sha, F.unhex(F.sha2(normalised(docs["text"]), 256)))
+    rows = rows.join(found, (F.col("doc_id") == F.col(has)) & (F.col(sha) == F.col(its)), "left")
+    alone = rows.where(F.col(keeper).isNull())
+    first = rows.where(F.col(keeper) == F.col("doc_id")).dropDuplicates(["doc_id", sha])
+    return alone.unionAll(first).select(*docs.columns)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`exact_groups` over all documents."""
     return exact_groups(C.table(spark, sf_dir, "documents"))
 
 

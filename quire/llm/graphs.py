@@ -10,10 +10,13 @@ from . import common as C
 C.by_value(__name__)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Tie each node's neighbours (the larger ones, or the smaller ones and itself) to its smallest neighbour."""
+def _star(edges: DataFrame, large: bool, scratch: C.Scratch) -> DataFrame:
+    """Tie each node's neighbours (the larger ones, or the smaller ones and itself) to its smallest neighbour.
+
+    The smallest neighbours are a table of their own, so that the join can split a node with very many neighbours.
+    """
     both = edges if not large else edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = scratch.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     tied = both.join(least, "u")
     if large:
         return tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -30,7 +33,7 @@ def components(links: DataFrame, scratch: C.Scratch) -> DataFrame:
     edges = scratch.keep(links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     total = None
     while True:
-        new = scratch.keep(_star(_star(edges, True), False))
+        new = scratch.keep(_star(_star(edges, True, scratch), False, scratch))
         scratch.drop(edges)
         edges = new
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

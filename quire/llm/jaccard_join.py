@@ -2,10 +2,9 @@
 
 Documents with equal shingle sets are one class. A set's prefix holds its first n - ceil(t * n) + 1 shingles in an order that
 puts frequent ones last; two sets of Jaccard similarity t or more share a shingle of their prefixes. Classes of equal size and
-prefix collapse into one group, and only groups
-that meet on a prefix shingle, and the members of one group, are looked at. A list of groups under one shingle isn't paired
-off: first each group is held against one leader, and what is linked is one component from then on, so a large group of near copies costs as many comparisons
-as it has members. Lists that still hold more than one component are expanded to their members. Pairs of short lists whose
+prefix collapse into one group, and only groups that meet on a prefix shingle, and the members of one group, are looked at. A
+list of groups under one shingle isn't paired off: first each group is held against one leader, and what is linked is one
+component from then on, so a large group of near copies costs as many comparisons as it has members. Lists that still hold more than one component are expanded to their members. Pairs of short lists whose
 prefixes share enough, and the members of long lists, are edges between members; each component of these edges is cut into
 blocks by component and size, and the blocks that may hold a link between different components are compared as a whole, by
 products of their member-shingle matrices. Each comparison counts shared shingles exactly; no link between components is lost.
@@ -175,8 +174,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     sets = scratch.keep(rows.mapInArrow(_sets(k, num, den, heavy), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>"))
 
     key = ["n", "d1", "d2"]
-    classes = sets.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("cid"))
-    reps = sets.join(classes.withColumnRenamed("cid", "doc_id"), [*key, "doc_id"]).groupBy(*key, F.col("doc_id").alias("cid")).agg(F.first("prefix").alias("prefix"))
+    classes = sets.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("rows")).where("cid is not null")
+    reps = sets.join(classes.select(*key, F.col("cid").alias("doc_id")), [*key, "doc_id"]).groupBy(*key, F.col("doc_id").alias("cid")).agg(F.first("prefix").alias("prefix"))
     reps = scratch.keep(reps)
     groups = scratch.keep(reps.groupBy("n", "prefix").agg(F.min("cid").alias("gid"), F.count(F.lit(1)).alias("members")))
     posts = groups.select("gid", "n", F.explode("prefix").alias("token"))
@@ -244,7 +243,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         body = texts(dealt.select(F.col("cid").alias("id")).distinct()).withColumnRenamed("id", "cid")
         more = dealt.join(body, "cid").groupBy("family", "i", "j").applyInArrow(_block_links(k, num, den), "a bigint, b bigint")
         comps = graphs.components(links.union(scratch.keep(more)), scratch)
-    named = classes.join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").select(*key, F.coalesce("comp", "cid").alias("comp"))
+    # only classes of several rows and linked ones, as a table of their own, so that the join can split a class with very many rows
+    named = classes.join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").where("rows > 1 or comp is not null")
+    named = scratch.keep(named.select(*key, F.coalesce("comp", "cid").alias("comp")))
     return sets.select("doc_id", *key).join(named, key, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
 
 
@@ -260,10 +261,16 @@ def _can_link(num: int, den: int):
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs with one row of each group of near duplicates, the one with the smallest doc_id; other rows stay as they are."""
-    out = jaccard_components(docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(out, docs["doc_id"] == out["_gone"], "left_anti")
+    """docs with one document of each group of near duplicates, the one with the smallest doc_id; other rows stay as they are.
+
+    Rows that share a doc_id stay or go together; rows without one stay, and so do empty and null texts. All columns stay,
+    whatever their names. An empty table stays empty.
+    """
+    (gone,) = C.fresh(docs, "_gone")
+    out = jaccard_components(docs, k, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(out, F.col("doc_id") == F.col(gone), "left_anti")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`jaccard_components` over all documents: three words, 0.9."""
     return jaccard_components(C.table(spark, sf_dir, "documents"), 3, 90, 100)

@@ -128,11 +128,14 @@ def in_cells(seed: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def copies(docs: DataFrame, scratch: C.Scratch) -> DataFrame:
-    """doc_id, first_id of the documents whose whole word sequence is that of a smaller doc_id (128-bit digests)."""
+    """doc_id, first_id of the documents whose whole word sequence is that of a smaller doc_id (two independent 64-bit hashes).
+
+    Only groups of several go into the join, as a table of their own: it is small or, where it isn't, a hot group can be split.
+    """
     seq = F.regexp_replace(C.trimmed(docs["text"]), C.SPACE_RUN, " ")
-    rows = docs.where(docs["doc_id"].isNotNull()).select("doc_id", seq.alias("t")).where("t <> ''").select("doc_id", F.xxhash64("t").alias("d1"), F.xxhash64("t", F.lit(1)).alias("d2"))
+    rows = docs.where(docs["doc_id"].isNotNull()).select("doc_id", seq.alias("t")).where("t <> ''").select("doc_id", C.digest(F.col("t"), 0).alias("d1"), C.digest(F.col("t"), 1).alias("d2"))
     rows = scratch.keep(rows)
-    first = rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = scratch.keep(rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     return scratch.keep(rows.join(first, ["d1", "d2"]).where("doc_id > first_id").select("doc_id", "first_id").distinct())
 
 
