@@ -2,7 +2,7 @@
 
 Each language has its own probabilities of the pieces of a fixed public vocabulary; the probability of a word is the sum over
 all its segmentations, by the forward algorithm. They are estimated by expectation-maximisation over the words of a bounded
-sample of labelled documents for each language (`fit_docs`). A text's score is the sum over all of its words, each word's once
+sample of labelled documents for each language (`fit_docs`), long words and texts without spaces included. A text's score is the sum over all of its words, each word's once
 computed for a batch.
 """
 
@@ -62,7 +62,8 @@ def fit(docs: DataFrame, train: Column | None = None, model: str = L.DEFAULT_MOD
 
 def _predict(shared):
     def run(batches):
-        v, m = shared.value
+        fields, langs, p, prior = shared.value
+        v = L.Vocabulary(*fields)
         for whole in batches:
             for b in _parts(whole):
                 column = b.column("words")
@@ -70,14 +71,17 @@ def _predict(shared):
                 coded = column.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
                 off = off - off[0]
                 lat = L.build([" " + w for w in coded.dictionary.to_pylist()], v)
-                _, logs, _ = L.forward(lat, m.p)
+                _, logs, _ = L.forward(lat, p)
                 each = np.maximum(logs, -1e6)[:, lat.where][:, coded.indices.to_numpy()]
-                sums = np.concatenate([np.zeros((len(each), 1)), np.cumsum(each, 1)], 1)
-                z = (sums[:, off[1:]] - sums[:, off[:-1]]) + m.prior[:, None]
-                z = np.exp(z - z.max(0)) if len(m.langs) else z
-                best = z.argmax(0) if len(m.langs) else None
+                # each row is summed by itself, so its score doesn't depend on its neighbours
+                full = np.flatnonzero(np.diff(off))
+                z = np.repeat(prior[:, None], b.num_rows, 1)
+                if len(full):
+                    z[:, full] += np.add.reduceat(each, off[:-1][full], 1)
+                z = np.exp(z - z.max(0)) if len(langs) else z
+                best = z.argmax(0) if len(langs) else None
                 known = b.column("known").to_pylist()
-                lang = ["und" if best is None or not k else m.langs[i] for i, k in zip(best if best is not None else known, known, strict=True)]
+                lang = ["und" if best is None or not k else langs[i] for i, k in zip(best if best is not None else known, known, strict=True)]
                 top = z.max(0) / z.sum(0) if best is not None else np.zeros(b.num_rows)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(lang, pa.string()), pa.array(np.where(np.array(known, bool), top, 0.0))], ["doc_id", "held_out", "lang_pred", "score"])
 
@@ -97,16 +101,18 @@ def _parts(batch: pa.RecordBatch):
 def predict(docs: DataFrame, model: Model, vocabulary: str = L.DEFAULT_MODEL) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of docs, from the whole text: the likeliest language and its posterior.
 
-    Texts that are null or hold no letter are `und` with score 0, and so is everything when nothing was learned.
+    Texts that are null or hold no letter are `und` with score 0, and so is everything when nothing was learned. Ties go to the
+    language that comes first by code point. Rows that repeat are scored alike; an empty table gives no rows.
     """
     spark = docs.sparkSession
     C.small_batches(spark)
-    shared = spark.sparkContext.broadcast((L.load(vocabulary), model))
+    shared = spark.sparkContext.broadcast((L.plain(L.load(vocabulary)), model.langs, model.p, model.prior))
     text = docs["text"]
     rows = docs.select("doc_id", (C.crc_mod(docs["doc_id"], 3) == 1).alias("held_out"), F.coalesce(text.rlike("\\p{L}"), F.lit(False)).alias("known"), C.words(text).alias("words"))
     return rows.mapInArrow(_predict(shared), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`predict` over all documents, learned from those whose crc32 modulo 3 isn't 1."""
     docs = C.table(spark, sf_dir, "documents")
     return predict(docs, fit(docs, C.crc_mod(F.col("doc_id"), 3) != 1))

@@ -28,9 +28,13 @@ class Vocabulary:
     ranks: np.ndarray  # of normal pieces, best first; the number of pieces for others
     longest: int
     hashes: np.ndarray
-    table: np.ndarray
+    table: np.ndarray  # [ways, slots]: the pieces of a slot, then none
     shift: int
-    salt: int
+
+
+def plain(v: Vocabulary) -> tuple:
+    """The vocabulary as built-in types and arrays, for executors that don't have this package: Vocabulary(*plain(v)) is v."""
+    return v.pieces, v.byte_base, v.ranks, v.longest, v.hashes, v.table, v.shift
 
 
 def load(path: str = DEFAULT_MODEL) -> Vocabulary:
@@ -54,20 +58,18 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
             for c in pieces[i]:
                 h = h * BASE + np.uint64(ord(c) + 1)
         hashes[i] = h
-    for salt in range(1, 100):  # a table without three pieces in a slot
-        mult = C.mix(np.array([salt], np.uint64))[0] | np.uint64(1)
-        slot = ((hashes[ids] * mult) >> np.uint64(42)).astype(np.int64)
-        table, seconds = np.full((2, 1 << 22), n, np.int32), 0
-        for i, s in zip(ids, slot, strict=True):
-            if table[0, s] == n:
-                table[0, s] = i
-            elif table[1, s] == n:
-                table[1, s] = i
-            else:
-                seconds += 1
-        if not seconds:
-            return Vocabulary(pieces, byte_base, ranks, max(map(len, pieces)), hashes, table, 42, int(mult))
-    raise ValueError("no table for this vocabulary")
+    bits = max(8, int(np.ceil(np.log2(16 * max(1, len(ids))))))
+    slot = _slot(hashes[ids], 64 - bits)
+    by_slot = np.argsort(slot, kind="stable")
+    slot, ids = slot[by_slot], ids[by_slot]
+    way = np.arange(len(slot)) - np.searchsorted(slot, slot, "left")
+    table = np.full((int(way.max(initial=0)) + 1, 1 << bits), n, np.int32)
+    table[way, slot] = ids
+    return Vocabulary(pieces, byte_base, ranks, max(map(len, pieces)), hashes, table, 64 - bits)
+
+
+def _slot(h: np.ndarray, shift: int) -> np.ndarray:
+    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)).astype(np.int64)
 
 
 def zipf(v: Vocabulary, theta: float = 1.0) -> np.ndarray:
@@ -111,12 +113,14 @@ def build(units: list[str], v: Vocabulary) -> Lattice:
         if k:
             h = h_all[alive]
         now = h * BASE + (cp[alive + k] + 1).astype(np.uint64)
-        slot = ((now * np.uint64(v.salt)) >> np.uint64(v.shift)).astype(np.int64)
+        slot = _slot(now, v.shift)
         found = v.table[0][slot]
-        bad = v.hashes[found] != now
-        if bad.any():
-            other = v.table[1][slot[bad]]
-            found[bad] = np.where(v.hashes[other] == now[bad], other, none)
+        bad = np.flatnonzero((found != none) & (v.hashes[found] != now))
+        for way in v.table[1:]:
+            if len(bad):
+                found[bad] = way[slot[bad]]
+                bad = bad[(found[bad] != none) & (v.hashes[found[bad]] != now[bad])]
+        found[bad] = none
         ids[k, alive] = found
         h_all = np.zeros(len(cp), np.uint64) if k == 0 else h_all
         h_all[alive] = now
@@ -150,12 +154,12 @@ def forward(lat: Lattice, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
         at, node = lat.first[:alive] + t, base[:alive] + t
         if t and t % BLOCK == 0:
             shift = np.zeros(alpha.shape[1]) if shift is None else shift
-            for u in range(alive):  # long units are few
-                lo, hi = base[u] + max(0, t - len(lat.ids)), base[u] + min(t + len(lat.ids), int(lat.length[u]))
-                top = alpha[:, lo : hi + 1].max(1, keepdims=True)
-                alpha[:, lo : hi + 1] /= top
-                logs[:, u] += np.log(top[:, 0])
-                shift[lo : base[u] + lat.length[u] + 1] += np.log(top[0, 0])
+            first, stop = max(0, t - len(lat.ids)), lat.length[:alive, None]
+            near = base[:alive, None] + np.minimum(np.arange(first, t + len(lat.ids) + 1)[None], stop)
+            top = alpha[:, near].max(2)
+            alpha[:, near] /= top[:, :, None]  # a node that stands twice gets the same value twice
+            logs[:, :alive] += np.log(top)
+            shift[base[:alive, None] + np.minimum(np.arange(first, t + BLOCK + 1)[None], stop)] = logs[0, :alive, None]
         for k in range(len(lat.ids)):
             cut = int(np.searchsorted(-lat.length[:alive], -(t + k + 1), "right"))
             if not cut:
@@ -170,29 +174,36 @@ def forward(lat: Lattice, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def expected(lat: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece (and of the fallbacks) under p [pieces + 5], units weighed; forward-backward, units up to BLOCK characters."""
-    alpha, _, _ = forward(lat, p[None])
+    """Expected uses of each piece (and of the fallbacks) under p [pieces + 5], units weighed; forward-backward over whole units.
+
+    Backward sums take the scales of the forward ones, so that their product at a node is that node's share of the unit.
+    """
+    alpha, _, shift = forward(lat, p[None])
     alpha, base = alpha[0], node_of(lat)
     beta = np.zeros_like(alpha)
-    short = lat.length <= BLOCK
     ends = base + lat.length
-    ok = short & (alpha[ends] > 0)
+    ok = alpha[ends] > 0
     beta[ends[ok]] = weight[ok] / alpha[ends[ok]]
     lift = LIFT ** np.arange(1, len(lat.ids) + 1)
     out = np.zeros(len(p))
-    for t in range(int(lat.length[short].max(initial=0)) - 1, -1, -1):
-        lo, hi = int(np.searchsorted(-lat.length, -BLOCK, "left")), int(np.searchsorted(-lat.length, -(t + 1), "right"))
-        at, node = lat.first[lo:hi] + t, base[lo:hi] + t
+    alive = 0
+    for t in range((int(lat.length[0]) if lat.n_units else 0) - 1, -1, -1):
+        while alive < lat.n_units and lat.length[alive] > t:
+            alive += 1
+        at, node = lat.first[:alive] + t, base[:alive] + t
         for k in range(len(lat.ids)):
-            cut = int(np.searchsorted(-lat.length[lo:hi], -(t + k + 1), "right"))
-            if cut <= 0:
+            cut = int(np.searchsorted(-lat.length[:alive], -(t + k + 1), "right"))
+            if not cut:
                 break
             ids = lat.ids[k, at[:cut]]
             hit = np.flatnonzero(ids != len(p) - 5)
             if len(hit):
-                flow = p[ids[hit]] * lift[k] * beta[node[hit] + k + 1]
-                beta[node[hit]] += flow
-                out += np.bincount(ids[hit], alpha[node[hit]] * flow, len(p))
+                start, end = node[hit], node[hit] + k + 1
+                flow = p[ids[hit]] * lift[k] * beta[end]
+                if shift is not None:
+                    flow *= np.exp(shift[start] - shift[end])
+                beta[start] += flow
+                out += np.bincount(ids[hit], alpha[start] * flow, len(p))
     return out
 
 

@@ -21,13 +21,32 @@ from . import lattice as L
 C.by_value(__name__)
 
 SEED = 1
-WORDS_A_CALL = 150_000
 
 
-def units(text: Column) -> Column:
-    """The text with a space before it, cut before each space that follows something else; none of an empty or null text."""
+def spaced(text: Column) -> Column:
+    """The text with a space before it; an empty or null text stays empty."""
     t = F.coalesce(text, F.lit(""))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(F.concat(F.lit(" "), t), "(?<=[^ ])(?= )"))
+    return F.when(t == "", t).otherwise(F.concat(F.lit(" "), t))
+
+
+def cut_units(column) -> tuple[pa.Array, np.ndarray]:
+    """The units of an Arrow column of `spaced` texts, cut before each space that follows something else, and each text's first unit.
+
+    No byte is copied: units are slices of the column's own bytes.
+    """
+    column = column.cast("large_binary")
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    n, base = int(off[-1] - off[0]), int(off[0])
+    off = off - base
+    if not n:
+        return pa.array([], pa.string()), np.zeros(len(off), np.int64)
+    space = np.frombuffer(column.buffers()[2], np.uint8)[base : base + n] == 32
+    head = space.copy()
+    head[1:] &= ~space[:-1]
+    head[off[:-1][np.diff(off) > 0]] = True
+    at = np.flatnonzero(head)
+    bounds = pa.py_buffer(np.concatenate([at, [n]]) + base)
+    return pa.LargeStringArray.from_buffers(len(at), bounds, column.buffers()[2]), np.searchsorted(at, off, "left")
 
 
 def expand(pieces: np.ndarray, byte_base: int, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,14 +77,13 @@ def byte_table(v: L.Vocabulary) -> list[bytes]:
 
 def _encode(shared, seed: int, digests: bool):
     def run(batches):
-        v, p = shared.value
+        fields, p = shared.value
+        v = L.Vocabulary(*fields)
         table = byte_table(v)
         for whole in batches:
-            for b in _parts(whole):
-                column = b.column("units")
-                off = column.offsets.to_numpy().astype(np.int64)
-                coded = column.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
-                off = off - off[0]
+            for b in C.text_parts(whole):
+                units, off = cut_units(b.column("text"))
+                coded = units.dictionary_encode()
                 lat = L.build(coded.dictionary.to_pylist(), v)
                 alpha, _, shift = L.forward(lat, p[None])
                 key = C.mix(b.column("key").to_numpy().view(np.uint64) ^ np.uint64(seed))
@@ -73,6 +91,7 @@ def _encode(shared, seed: int, digests: bool):
                 place = np.arange(off[-1]) - np.repeat(off[:-1], n)
                 stream = C.mix(np.repeat(key, n) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 pieces, count, _ = L.sample(lat, alpha[0], shift, p, coded.indices.to_numpy(), stream)
+                del lat, alpha, shift, units, coded, stream
                 stops = np.concatenate([[0], np.cumsum(count)])[off]
                 ids, rows = expand(pieces, v.byte_base, np.diff(stops))
                 ends = np.concatenate([[0], np.cumsum(rows)]).astype(np.int64)
@@ -81,7 +100,7 @@ def _encode(shared, seed: int, digests: bool):
                     back = [decode_ids(x.tolist(), table) for x in parts]
                     given = b.column("text").to_pylist()
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("doc_id"), pa.array(rows.astype(np.int64)), pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in parts]), pa.array([x == (y or "") for x, y in zip(back, given, strict=True)])],
+                        [b.column("doc_id"), pa.array(rows.astype(np.int64)), pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in parts]), pa.array([x == y[1:] for x, y in zip(back, given, strict=True)])],
                         ["doc_id", "n_pieces", "ids_sha256", "lossless"],
                     )
                 else:
@@ -90,34 +109,28 @@ def _encode(shared, seed: int, digests: bool):
     return C.lean(run)
 
 
-def _parts(batch: pa.RecordBatch):
-    ends = batch.column("units").offsets.to_numpy().astype(np.int64)
-    ends = ends - ends[0]
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + WORDS_A_CALL, "right")) - 1)
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def _shared(spark: SparkSession, model: str, theta: float):
     v = L.load(model)
-    return spark.sparkContext.broadcast((v, L.zipf(v, theta)))
+    return spark.sparkContext.broadcast((L.plain(v), L.zipf(v, theta)))
 
 
-def _rows(docs: DataFrame, extra: list[Column]) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("key"), units(docs["text"]).alias("units"), *extra)
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce(F.xxhash64("doc_id"), F.lit(0)).alias("key"), spaced(docs["text"]).alias("text"))
 
 
 def encode(docs: DataFrame, model: str = L.DEFAULT_MODEL, theta: float = 1.0, seed: int = SEED) -> DataFrame:
-    """doc_id, ids (array of int) of every row of docs (doc_id, text, ...). Empty and null texts have no ids; equal rows have equal ids."""
+    """doc_id, ids (array of int) of every row of docs (doc_id, text, ...). Empty and null texts have no ids; equal rows have equal ids.
+
+    Rows without doc_id share one stream of draws. Other columns are ignored, whatever their names; an empty table gives no rows.
+    """
     spark = docs.sparkSession
     C.small_batches(spark)
-    return _rows(docs, []).mapInArrow(_encode(_shared(spark, model, theta), seed, False), "doc_id bigint, ids array<int>")
+    return _rows(docs).mapInArrow(_encode(_shared(spark, model, theta), seed, False), "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str = L.DEFAULT_MODEL) -> DataFrame:
-    """doc_id, text of rows of `encode`; null ids are the empty text."""
+    """doc_id, text of rows of `encode`; null ids and no ids are the empty text. Other columns are ignored; an empty table gives no rows."""
+    C.small_batches(encoded.sparkSession)
     table = encoded.sparkSession.sparkContext.broadcast(byte_table(L.load(model)))
 
     def run(batches):
@@ -131,8 +144,9 @@ def encode_report(docs: DataFrame, model: str = L.DEFAULT_MODEL, theta: float =
     """doc_id, n_pieces, ids_sha256 (ids as little-endian 32-bit integers), lossless: whether decoding the ids gives the text back."""
     spark = docs.sparkSession
     C.small_batches(spark)
-    return _rows(docs, [docs["text"].alias("text")]).mapInArrow(_encode(_shared(spark, model, theta), seed, True), "doc_id bigint, n_pieces bigint, ids_sha256 string, lossless boolean")
+    return _rows(docs).mapInArrow(_encode(_shared(spark, model, theta), seed, True), "doc_id bigint, n_pieces bigint, ids_sha256 string, lossless boolean")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`encode_report` over all documents."""
     return encode_report(C.table(spark, sf_dir, "documents"))
