@@ -151,8 +151,8 @@ PART_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
 
 
-def text_parts(batch, columns: tuple[str, ...] = ("text",)):
-    """Parts of an Arrow batch with about PART_BYTES of text each."""
+def text_parts(batch, columns: tuple[str, ...] = ("text",), part: int = PART_BYTES):
+    """Parts of an Arrow batch with about so many bytes of text each."""
     ends = np.zeros(batch.num_rows + 1, np.int64)
     for c in columns:
         size = batch.column(c).cast("large_binary")
@@ -160,7 +160,7 @@ def text_parts(batch, columns: tuple[str, ...] = ("text",)):
         ends += off - off[0]
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + PART_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + part, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
 

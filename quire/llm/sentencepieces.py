@@ -21,6 +21,8 @@ from . import lattice as L
 C.by_value(__name__)
 
 SEED = 1
+#: Bytes of text whose lattice is held at a time (some hundred times that in memory); a longer text makes a part of its own.
+PART_BYTES = 1 << 19
 
 
 def spaced(text: Column) -> Column:
@@ -81,7 +83,7 @@ def _encode(shared, seed: int, digests: bool):
         v = L.Vocabulary(*fields)
         table = byte_table(v)
         for whole in batches:
-            for b in C.text_parts(whole):
+            for b in C.text_parts(whole, part=PART_BYTES):
                 units, off = cut_units(b.column("text"))
                 coded = units.dictionary_encode()
                 lat = L.build(coded.dictionary.to_pylist(), v)
