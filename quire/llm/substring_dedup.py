@@ -24,8 +24,6 @@ from . import windows as W
 C.by_value(__name__)
 
 WINDOW, SEED = 13, 5
-#: Bytes of text whose suspect windows one task groups.
-PARTITION_BYTES = 24 << 20
 #: Windows of hot seeds that a task holds at a time (24 bytes each).
 FLUSH = 1 << 20
 
@@ -52,8 +50,8 @@ _HASHES = np.dtype([("h1", "<i8"), ("h2", "<i4")])
 
 def _runs(key, doc, pos, wins, head):
     """Rows of windows: wins holds the hashes, 12 bytes each, of consecutive places from pos on; head tells where rows start."""
-    cuts = np.concatenate([head, [len(wins)]]).astype(np.int32) * 12
-    packed = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(cuts), pa.py_buffer(wins)])
+    cuts = np.concatenate([head, [len(wins)]]).astype(np.int64) * 12
+    packed = pa.Array.from_buffers(pa.large_binary(), len(head), [None, pa.py_buffer(cuts), pa.py_buffer(wins)]).cast(pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(key[head].view(np.int64)), pa.array(doc[head]), pa.array(pos[head]), packed, pa.nulls(len(head), pa.list_(pa.int32()))], _NAMES)
 
 
@@ -120,21 +118,20 @@ def _opened(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
 
 
 def _repeats(batches):
-    """For each document, the places of its windows that stand in a smaller doc_id, among all rows of this partition's keys."""
-    parts = []
-    for b in batches:
-        done = np.asarray(b.column("at").is_valid())
-        if done.any():
-            yield b.filter(pa.array(done)).select(["doc_id", "at"])
-            b = b.filter(pa.array(~done))
-        if b.num_rows:
-            parts.append(_opened(b))
-    if not parts:
-        return
-    h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
-    late, _ = _late(h1, h2, doc)
-    yield pa.RecordBatch.from_arrays(list(_by_doc(doc[late], pos[late])), ["doc_id", "at"])
+    """For each document, the places of its windows that stand in a smaller doc_id, among all rows of the same keys."""
+    for held in W.chunks(batches):
+        parts = []
+        for b in held:
+            done = np.asarray(b.column("at").is_valid())
+            if done.any():
+                yield b.filter(pa.array(done)).select(["doc_id", "at"])
+                b = b.filter(pa.array(~done))
+            if b.num_rows:
+                parts.append(_opened(b))
+        if parts:
+            h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+            late, _ = _late(h1, h2, doc)
+            yield pa.RecordBatch.from_arrays(list(_by_doc(doc[late], pos[late])), ["doc_id", "at"])
 
 
 def _cut(window: int):
@@ -181,7 +178,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, hot:
     sketch = spark.sparkContext.broadcast(W.repeated_cells(firsts, seed, window, cells, hot))
     runs = firsts.mapInArrow(_suspects(window, seed, sketch), "key bigint, doc_id bigint, pos int, wins binary, at array<int>")
     # equal windows have equal keys, so a partition by key holds all of them
-    some = runs.repartition(max(1, -(-total // PARTITION_BYTES)), "key").mapInArrow(_repeats, "doc_id bigint, at array<int>")
+    some = W.meet(runs, total).mapInArrow(C.lean(_repeats), "doc_id bigint, at array<int>")
     repeats = some.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
     marks = repeats.select("doc_id", "at", F.lit(False).alias("whole")).union(whole.select("doc_id", F.lit(None), F.lit(True)))
     rows = docs.select("doc_id", "text").join(marks.groupBy("doc_id").agg(F.first("at", True).alias("at"), F.max("whole").alias("whole")), "doc_id", "left")
@@ -189,4 +186,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, hot:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`remove_repeats` over all documents, without the texts."""
     return remove_repeats(C.table(spark, sf_dir, "documents")).drop("kept_text")

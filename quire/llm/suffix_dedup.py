@@ -1,11 +1,16 @@
-"""Repeated passages, exactly: every run of a passage's minimum length is grouped with all of its equals.
-
-Each window of that many words is filed under its seed, the least of its 16-word hashes, so equal windows have equal seeds. A
-count-min sketch leaves out windows whose seed no other document can have. The rest meet by seed, in runs of consecutive places,
-and are grouped by a 96-bit hash; what a document of smaller id also has is reported, consecutive places as one span, and
-overlapping spans are joined. So a passage is found with any number of holders, whatever surrounds it. Windows of a seed that
-very many documents have are grouped within each task first, and what is left is keyed by its own hash. Whole copies of a
-document are found beforehand by digest and reported whole.
+"""Repeated passages by sparse suffix arrays.
+
+Of each document the suffixes are retained that start at content-selected places: where a 16-word hash is the least of some
+window of a passage's minimum length, so that equal windows retain the same suffix. A count-min sketch leaves out suffixes whose
+first words no other document can have. The rest are dealt by their first words and sorted twice, by the words that follow and,
+backwards, by the words before; the common lengths of neighbours in either order split them into classes for every depth, and a
+suffix whose best neighbours agree on too few words in all is dropped. Two suffixes share a window that reaches o words to the
+left exactly if they are in one class at depth o to the left and in one at the rest to the right; so matches are extended to both
+sides among all holders of a passage, not only between neighbours that happen to be alike on one side. What a document of smaller
+id also has is reported, consecutive windows as one span, and overlapping spans are joined.
+
+Windows of a suffix start that very many documents have don't fit one task: they are grouped within each task first, and what is
+left is keyed by its own 96-bit hash. Whole copies of a document are found beforehand by digest and reported whole.
 """
 
 from __future__ import annotations
@@ -32,55 +37,98 @@ def _hashes(h: np.ndarray, passage: int) -> np.ndarray:
     return out
 
 
-def _late(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of these windows a smaller document has among them too, and where: the first place in the smallest one."""
-    order = np.argsort(h1)
-    same = h1[order[1:]] == h1[order[:-1]]
-    met = np.zeros(len(h1), bool)
+def _leads(group: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows have a smaller document in their group, and the first row of the smallest one."""
+    order = np.argsort(group, kind="stable")
+    same = group[order[1:]] == group[order[:-1]]
+    met = np.zeros(len(group), bool)
     met[1:] |= same
     met[:-1] |= same
     order = order[met]
-    order = order[np.lexsort((pos[order], doc[order], h2[order], h1[order]))]
+    order = order[np.lexsort((pos[order], doc[order], group[order]))]
     head = np.ones(len(order), bool)
-    head[1:] = (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]])
+    head[1:] = group[order[1:]] != group[order[:-1]]
     lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
     late = doc[order] > doc[lead]
     return order[late], lead[late]
 
 
-def _spans(doc: np.ndarray, pos: np.ndarray, late: np.ndarray, lead: np.ndarray, passage: int) -> list[np.ndarray]:
-    """Late windows as spans: consecutive places whose first holders are consecutive too are one."""
-    order = np.lexsort((pos[late], doc[late]))
-    late, lead = late[order], lead[order]
-    d, p, d0, p0 = doc[late], pos[late], doc[lead], pos[lead]
+def _late(wins: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of these windows a smaller document has among them too, and where: the first place in the smallest one."""
+    order = np.lexsort((wins["h2"], wins["h1"]))
+    new = np.ones(len(order), bool)
+    new[1:] = (wins["h1"][order[1:]] != wins["h1"][order[:-1]]) | (wins["h2"][order[1:]] != wins["h2"][order[:-1]])
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new)
+    return _leads(group, doc, pos)
+
+
+def _spans(d: np.ndarray, p: np.ndarray, d0: np.ndarray, p0: np.ndarray, passage: int) -> list[np.ndarray]:
+    """Windows and their leads as spans: consecutive places whose leads are consecutive too are one."""
+    order = np.lexsort((p, d))
+    d, p, d0, p0 = d[order], p[order], d0[order], p0[order]
     head = np.ones(len(d), bool)
-    head[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1) | (d0[1:] != d0[:-1]) | (p0[1:] != p0[:-1] + 1)
+    head[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1) | (d0[1:] != d0[:-1]) | (p0[1:] - p0[:-1] != p[1:] - p[:-1])
     at = np.flatnonzero(head)
     last = np.concatenate([at[1:], [len(d)]])[: len(at)] - 1
-    return [d[at], p[at], (p[last] + passage).astype(np.int32), d0[at], p0[at]]
+    return [d[at], p[at].astype(np.int32), (p[last] + passage).astype(np.int32), d0[at], p0[at].astype(np.int32)]
 
 
 _COLUMNS = ["doc_id", "start", "stop", "other_id", "other_start"]
-_NAMES = ["key", "doc_id", "pos", "wins", "stop", "other_id", "other_start"]
+_NAMES = ["key", "doc_id", "pos", "windows", "words", "stop", "other_id", "other_start"]
+_SCHEMA = "key bigint, doc_id bigint, pos int, windows bigint, words binary, stop int, other_id bigint, other_start int"
+
+
+def _sides(windows: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many words to the left and to the right a suffix needs for its windows (bit o: the one that starts o words before it)."""
+    bits = (windows[:, None] >> np.arange(reach + 1)) & 1
+    return reach - bits[:, ::-1].argmax(1), reach - bits.argmax(1)
+
+
+def _suffixes(h: np.ndarray, off: np.ndarray, least: np.ndarray, ok: np.ndarray, k: int, passage: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of retained suffixes and the windows that each is the least of, as bits."""
+    g, reach = C.grams(h, k), passage - k
+    windows = np.zeros(len(g), np.int64)
+    start = np.flatnonzero(ok)
+    for o in range(reach + 1):
+        mine = start[g[start + o] == least[start]]
+        windows[mine + o] |= 1 << o
+    at = np.flatnonzero(windows)
+    return at, windows[at]
+
+
+def _context(h: np.ndarray, at: np.ndarray, windows: np.ndarray, k: int, reach: int) -> pa.Array:
+    """The hashes of the words before each suffix, nearest first, and of those after its first k words, as far as its windows go."""
+    left, right = _sides(windows, reach)
+    n = left + right
+    ends = np.cumsum(n)
+    j = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n, n)
+    before = np.repeat(left, n)
+    here = np.repeat(at, n)
+    words = h[np.where(j < before, here - 1 - j, here + k + j - before)]
+    bounds = np.concatenate([[0], ends]).astype(np.int64) * 8
+    return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(words)]).cast(pa.binary())
 
 
 def _suspects(passage: int, k: int, sketch):
-    """Windows that may repeat, in rows keyed so that all equal ones meet; spans that are decided here come out as such (stop)."""
+    """Suffixes that another document may have, in rows keyed by their first words.
 
-    def rows(key, doc, pos, wins, head):
-        r, n = S._runs(key, doc, pos, wins, head), len(head)
-        return pa.RecordBatch.from_arrays([*(r.column(c) for c in _NAMES[:4]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
+    Those of a start that very many documents have come as single windows, keyed by their own hash (no windows bits), once
+    for each FLUSH of a task; spans that are decided here come out as such (stop).
+    """
+    reach = passage - k
 
     def settle(parts):
         wins, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-        late, lead = _late(wins["h1"], wins["h2"], doc, pos)
+        late, lead = _late(wins, doc, pos)
         if len(late):
-            d, start, *others = (pa.array(x) for x in _spans(doc, pos, late, lead, passage))
-            yield pa.RecordBatch.from_arrays([d, d, start, pa.nulls(len(d), pa.binary()), *others], _NAMES)
+            d, start, *others = (pa.array(x) for x in _spans(doc[late], pos[late], doc[lead], pos[lead], passage))
+            yield pa.RecordBatch.from_arrays([d, d, start, pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.binary()), *others], _NAMES)
         rest = np.ones(len(doc), bool)
         rest[late] = False
-        wins = wins[rest]
-        yield rows(np.ascontiguousarray(wins["h1"]), doc[rest], pos[rest], wins, np.arange(len(wins)))
+        wins, n = wins[rest], int(rest.sum())
+        packed = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int64) * 12), pa.py_buffer(wins)]).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(wins["h1"])), pa.array(doc[rest]), pa.array(pos[rest]), pa.nulls(n, pa.int64()), packed, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
 
     def run(batches):
         some, many = sketch.value
@@ -89,44 +137,104 @@ def _suspects(passage: int, k: int, sketch):
             for b in C.text_parts(whole):
                 h, off = C.hash_words(b.column("text"))
                 least, ok = W.window_seeds(h, off, k, passage)
-                at = np.flatnonzero(ok)
-                at = at[W.in_cells(least[at], some)]
-                own, hashes, key = C.owners(off)[at], _hashes(h, passage)[at], least[at]
-                doc, pos = b.column("doc_id").to_numpy()[own], (at - off[own]).astype(np.int32)
-                hot = W.in_cells(key, many)
-                if hot.any():
-                    parts.append((hashes[hot], doc[hot], pos[hot]))
-                    held += int(hot.sum())
+                if not ok.any():
+                    continue
+                ok &= W.in_cells(least, some)
+                hot = ok & W.in_cells(least, many)
+                ids = b.column("doc_id").to_numpy()
+                at = np.flatnonzero(hot)
+                if len(at):
+                    own = C.owners(off)[at]
+                    parts.append((_hashes(h, passage)[at], ids[own], (at - off[own]).astype(np.int32)))
+                    held += len(at)
                     if held > S.FLUSH:
                         yield from settle(parts)
                         parts, held = [], 0
-                cool = ~hot
-                at, own, key = at[cool], own[cool], key[cool]
-                head = np.ones(len(at), bool)
-                head[1:] = (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-                yield rows(key, doc[cool], pos[cool], hashes[cool], np.flatnonzero(head))
+                at, windows = _suffixes(h, off, least, ok & ~hot, k, passage)
+                own, n = C.owners(off)[at], len(at)
+                seed = C.grams(h, k)[at].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(ids[own]), pa.array((at - off[own]).astype(np.int32)), pa.array(windows), _context(h, at, windows, k, reach), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
         if parts:
             yield from settle(parts)
 
     return C.lean(run)
 
 
-def _matches(passage: int):
-    """Spans of a document that a smaller one has too, among all windows of this partition's keys."""
+def _depths(key: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by key and words, and how many words each has in common with the one before (-1: another key)."""
+    order = np.lexsort((*words.T[::-1], key))
+    key, words = key[order], words[order]
+    differ = np.ones((len(key), words.shape[1] + 1), bool)
+    differ[1:, :-1] = words[1:] != words[:-1]
+    common = differ.argmax(1)
+    common[0] = -1
+    common[1:][key[1:] != key[:-1]] = -1
+    return order, common
+
+
+def extend(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, windows: np.ndarray, words: np.ndarray, k: int, passage: int) -> list[np.ndarray]:
+    """Windows that a smaller document has too (document, start) and their leads (document, start), among all suffixes of these keys.
+
+    words holds each suffix's context as `_context` gives it, one after another.
+    """
+    reach = passage - k
+    left, right = _sides(windows, reach)
+    places = np.arange(reach)
+    both = np.zeros((len(key), 2 * reach), np.uint64)
+    both[np.concatenate([places < left[:, None], places < right[:, None]], 1)] = words
+    sides = both[:, :reach], both[:, reach:]
+    live = np.arange(len(key))
+    while True:  # drop suffixes whose best neighbours agree on too few words, until none is left
+        sorted_by = [_depths(key[live], side[live]) for side in sides]
+        best = np.zeros((2, len(live)), np.int64)
+        for b, (order, common) in zip(best, sorted_by, strict=True):
+            b[order] = np.maximum(common, np.append(common[1:], -1))
+        stay = (best.min(0) >= 0) & (best.sum(0) >= reach)
+        if stay.all():
+            break
+        live = live[stay]
+        if not len(live):
+            return [np.empty(0, np.int64)] * 4
+    found = []
+    for o in range(reach + 1):
+        has = (windows[live] >> o) & 1 > 0
+        # the class of each suffix at the depth that the window needs, to the left and to the right
+        classes = []
+        for depth, (order, common) in zip((o, reach - o), sorted_by, strict=True):
+            c = np.empty(len(live), np.int64)
+            c[order] = np.cumsum(common < depth)
+            classes.append(c)
+        at = live[has]
+        late, lead = _leads(classes[0][has] * (len(live) + 1) + classes[1][has], doc[at], pos[at])
+        found.append((doc[at[late]], pos[at[late]] - o, doc[at[lead]], pos[at[lead]] - o))
+    return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
+def _matches(passage: int, k: int):
+    """Spans of a document that a smaller one has too, among all rows of the same keys."""
 
     def run(batches):
-        parts = []
-        for b in batches:
-            done = np.asarray(b.column("stop").is_valid())
-            if done.any():
-                yield b.filter(pa.array(done)).select(["doc_id", "pos", "stop", "other_id", "other_start"]).rename_columns(_COLUMNS)
-                b = b.filter(pa.array(~done))
-            if b.num_rows:
-                parts.append(S._opened(b))
-        if parts:
-            h1, h2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-            del parts
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(doc, pos, *_late(h1, h2, doc, pos), passage)], _COLUMNS)
+        for held in W.chunks(batches):
+            suffixes, singles = [], []
+            for b in held:
+                done = np.asarray(b.column("stop").is_valid())
+                if done.any():
+                    yield b.filter(pa.array(done)).select(["doc_id", "pos", "stop", "other_id", "other_start"]).rename_columns(_COLUMNS)
+                for valid, out in ((True, suffixes), (False, singles)):
+                    part = b.filter(pa.array(~done & (np.asarray(b.column("windows").is_valid()) == valid)))
+                    if part.num_rows:
+                        out.append(part)
+            if singles:
+                t = pa.Table.from_batches(singles)
+                wins = np.frombuffer(b"".join(t["words"].to_pylist()), S._HASHES)
+                doc, pos = t["doc_id"].to_numpy(), t["pos"].to_numpy()
+                late, lead = _late(wins, doc, pos)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(doc[late], pos[late], doc[lead], pos[lead], passage)], _COLUMNS)
+            if suffixes:
+                t = pa.Table.from_batches(suffixes)
+                words = np.frombuffer(b"".join(t["words"].to_pylist()), np.uint64)
+                wins = extend(t["key"].to_numpy(), t["doc_id"].to_numpy(), t["pos"].to_numpy(), t["windows"].to_numpy(), words, k, passage)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(*wins, passage)], _COLUMNS)
 
     return C.lean(run)
 
@@ -148,9 +256,8 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, k: int = GRAM, ho
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cells = W.cells_for(total, 2 / (passage - k + 2))
     sketch = spark.sparkContext.broadcast(W.repeated_cells(firsts, k, passage, cells, hot))
-    runs = firsts.mapInArrow(_suspects(passage, k, sketch), "key bigint, doc_id bigint, pos int, wins binary, stop int, other_id bigint, other_start int")
     # equal windows have equal keys, so a partition by key holds all of them
-    found = runs.repartition(max(1, -(-total // S.PARTITION_BYTES)), "key").mapInArrow(_matches(passage), "doc_id bigint, start int, stop int, other_id bigint, other_start int")
+    found = W.meet(firsts.mapInArrow(_suspects(passage, k, sketch), _SCHEMA), total).mapInArrow(_matches(passage, k), "doc_id bigint, start int, stop int, other_id bigint, other_start int")
     w = F.size(C.words(F.col("text")))
     copied = named.join(whole, "doc_id").select("doc_id", F.lit(0).alias("start"), w.alias("stop"), F.col("first_id").alias("other_id"), F.lit(0).alias("other_start")).where(F.col("stop") >= passage).distinct()
     # join overlapping spans of a document: at most as many as it has windows
@@ -167,4 +274,5 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, k: int = GRAM, ho
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`repeated_passages` over all documents: 50 words or more."""
     return repeated_passages(C.table(spark, sf_dir, "documents"))

@@ -20,6 +20,8 @@ BROADCAST_IDS = 2_000_000
 #: Seeds of so many documents are grouped before the shuffle.
 HOT = 2000
 FLUSH = 4_000_000
+#: Bytes of text whose rows go to one partition, and bytes of rows that are grouped there at a time (and the rest of their last key).
+PARTITION_BYTES, CHUNK_BYTES = 128 << 20, 32 << 20
 
 
 def sliding(x: np.ndarray, w: int, f) -> np.ndarray:
@@ -58,6 +60,33 @@ def cells_for(total_bytes: int, density: float) -> int:
     return int(min(MOST_CELLS, max(LEAST_CELLS, 1 << int(np.ceil(np.log2(max(want, 2)))))))
 
 
+def meet(rows: DataFrame, total_bytes: int) -> DataFrame:
+    """rows dealt by key and sorted by it, as `chunks` expects them."""
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes // PARTITION_BYTES))
+    return rows.repartition(n, "key").sortWithinPartitions("key")
+
+
+def chunks(batches, most: int = CHUNK_BYTES):
+    """Lists of batches, of about so many bytes, from batches that are sorted by key; all rows of a key are in one list."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.get_total_buffer_size()
+        if size > most:
+            key = held[-1].column("key")
+            if held[0].column("key")[0] == key[-1]:
+                continue
+            # the last key's rows wait for more of them
+            at = next(i for i in range(len(held) - 1, -1, -1) if held[i].column("key")[0] != key[-1])
+            cut = int(np.searchsorted(held[at].column("key").to_numpy(), key[-1].as_py(), "left"))
+            yield [*held[:at], held[at].slice(0, cut)]
+            held = [x for x in (held[at].slice(cut), *held[at + 1 :]) if x.num_rows]
+            size = sum(x.nbytes for x in held)
+    if held:
+        yield held
+
+
 def _partition_sketch(k: int, words: int, cells: int):
     """Each partition's sketch, sparse: for each slice its cells, each as often as documents have it."""
     bits = 64 - (cells.bit_length() - 1)
