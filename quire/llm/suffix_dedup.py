@@ -247,6 +247,8 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, k: int = GRAM, ho
     A document without such a passage has no row, as have empty, null and short texts. A copy of a whole document is one
     passage. Rows that share a doc_id are one document; rows without one are left out. Overlapping passages of a document are one.
     """
+    if not k <= passage <= k + 62:
+        raise ValueError("a passage has at least k words and at most k + 62")
     spark = docs.sparkSession
     C.small_batches(spark)
     scratch = C.Scratch(spark)
