@@ -64,19 +64,27 @@ def _late(wins: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarra
 
 
 def _spans(d: np.ndarray, p: np.ndarray, d0: np.ndarray, p0: np.ndarray, passage: int) -> list[np.ndarray]:
-    """Windows and their leads as spans: consecutive places whose leads are consecutive too are one."""
-    order = np.lexsort((p, d))
+    """Windows and their leads as spans: windows that follow each other are one, with the first one's lead."""
+    order = np.lexsort((p0, d0, p, d))
     d, p, d0, p0 = d[order], p[order], d0[order], p0[order]
     head = np.ones(len(d), bool)
-    head[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1) | (d0[1:] != d0[:-1]) | (p0[1:] - p0[:-1] != p[1:] - p[:-1])
+    head[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1)
     at = np.flatnonzero(head)
     last = np.concatenate([at[1:], [len(d)]])[: len(at)] - 1
     return [d[at], p[at].astype(np.int32), (p[last] + passage).astype(np.int32), d0[at], p0[at].astype(np.int32)]
 
 
+def _listed(group: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A row of each group and the group's places, in order, as lists."""
+    order = np.lexsort((pos, group))
+    _, first = np.unique(group[order], return_index=True)
+    ends = np.concatenate([first, [len(pos)]]).astype(np.int32)
+    return order[first], pa.ListArray.from_arrays(pa.array(ends), pa.array(pos[order].astype(np.int32)))
+
+
 _COLUMNS = ["doc_id", "start", "stop", "other_id", "other_start"]
 _NAMES = ["key", "doc_id", "pos", "windows", "words", "stop", "other_id", "other_start"]
-_SCHEMA = "key bigint, doc_id bigint, pos int, windows bigint, words binary, stop int, other_id bigint, other_start int"
+_SCHEMA = "key bigint, doc_id bigint, pos array<int>, windows bigint, words binary, stop int, other_id bigint, other_start int"
 
 
 def _sides(windows: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,11 +118,29 @@ def _context(h: np.ndarray, at: np.ndarray, windows: np.ndarray, k: int, reach:
     return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(words)]).cast(pa.binary())
 
 
+def _rows(key, doc, pos, windows, words) -> pa.RecordBatch:
+    n = len(key)
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pos, windows if windows is not None else pa.nulls(n, pa.int64()), words, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
+
+
+def _alike(own: np.ndarray, seed: np.ndarray, windows: np.ndarray, words: pa.Array) -> np.ndarray:
+    """A number for each suffix, the same for those of one text whose words agree as far as their windows go, as in a text that repeats itself."""
+    order = np.lexsort((seed, own))
+    same = (own[order[1:]] == own[order[:-1]]) & (seed[order[1:]] == seed[order[:-1]])
+    often = np.zeros(len(own), bool)
+    often[order[1:][same]] = often[order[:-1][same]] = True
+    group, at, seen = np.arange(len(own)), np.flatnonzero(often), {}
+    if len(at):
+        for i, *what in zip(at.tolist(), own[at].tolist(), seed[at].tolist(), windows[at].tolist(), words.take(pa.array(at)).to_pylist(), strict=True):
+            group[i] = seen.setdefault(tuple(what), i)
+    return group
+
+
 def _suspects(passage: int, k: int, sketch):
     """Suffixes that another document may have, in rows keyed by their first words.
 
     Those of a start that very many documents have come as single windows, keyed by their own hash (no windows bits), once
-    for each FLUSH of a task; spans that are decided here come out as such (stop).
+    for each FLUSH of a task; spans that are decided here come out as such (stop). What a text holds several times is one row.
     """
     reach = passage - k
 
@@ -123,12 +149,20 @@ def _suspects(passage: int, k: int, sketch):
         late, lead = _late(wins, doc, pos)
         if len(late):
             d, start, *others = (pa.array(x) for x in _spans(doc[late], pos[late], doc[lead], pos[lead], passage))
-            yield pa.RecordBatch.from_arrays([d, d, start, pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.binary()), *others], _NAMES)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(d) + 1, dtype=np.int32)), start)
+            yield pa.RecordBatch.from_arrays([d, d, lists, pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.binary()), *others], _NAMES)
         rest = np.ones(len(doc), bool)
         rest[late] = False
-        wins, n = wins[rest], int(rest.sum())
+        wins, doc, pos = wins[rest], doc[rest], pos[rest]
+        order = np.lexsort((doc, wins["h2"], wins["h1"]))
+        new = np.ones(len(order), bool)
+        new[1:] = (wins[order[1:]] != wins[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new)
+        one, lists = _listed(group, pos)
+        wins, n = wins[one], len(one)
         packed = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int64) * 12), pa.py_buffer(wins)]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(wins["h1"])), pa.array(doc[rest]), pa.array(pos[rest]), pa.nulls(n, pa.int64()), packed, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
+        yield _rows(np.ascontiguousarray(wins["h1"]), doc[one], lists, None, packed)
 
     def run(batches):
         some, many = sketch.value
@@ -151,9 +185,10 @@ def _suspects(passage: int, k: int, sketch):
                         yield from settle(parts)
                         parts, held = [], 0
                 at, windows = _suffixes(h, off, least, ok & ~hot, k, passage)
-                own, n = C.owners(off)[at], len(at)
-                seed = C.grams(h, k)[at].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(ids[own]), pa.array((at - off[own]).astype(np.int32)), pa.array(windows), _context(h, at, windows, k, reach), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], _NAMES)
+                own, seed = C.owners(off)[at], C.grams(h, k)[at].view(np.int64)
+                words = _context(h, at, windows, k, reach)
+                one, lists = _listed(_alike(own, seed, windows, words), at - off[own])
+                yield _rows(seed[one], ids[own[one]], lists, pa.array(windows[one]), words.take(pa.array(one)))
         if parts:
             yield from settle(parts)
 
@@ -173,9 +208,9 @@ def _depths(key: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def extend(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, windows: np.ndarray, words: np.ndarray, k: int, passage: int) -> list[np.ndarray]:
-    """Windows that a smaller document has too (document, start) and their leads (document, start), among all suffixes of these keys.
+    """Windows that a smaller document has too: suffix, the suffix that leads there, and how many words before them the window starts.
 
-    words holds each suffix's context as `_context` gives it, one after another.
+    All suffixes of the given keys take part; words holds each one's context as `_context` gives it, one after another.
     """
     reach = passage - k
     left, right = _sides(windows, reach)
@@ -194,7 +229,7 @@ def extend(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, windows: np.ndarra
             break
         live = live[stay]
         if not len(live):
-            return [np.empty(0, np.int64)] * 4
+            return [np.empty(0, np.int64)] * 3
     found = []
     for o in range(reach + 1):
         has = (windows[live] >> o) & 1 > 0
@@ -206,35 +241,49 @@ def extend(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, windows: np.ndarra
             classes.append(c)
         at = live[has]
         late, lead = _leads(classes[0][has] * (len(live) + 1) + classes[1][has], doc[at], pos[at])
-        found.append((doc[at[late]], pos[at[late]] - o, doc[at[lead]], pos[at[lead]] - o))
+        found.append((at[late], at[lead], np.full(len(late), o)))
     return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
+def _opened(late: np.ndarray, lead: np.ndarray, before: np.ndarray, doc: np.ndarray, places: pa.Array, passage: int) -> pa.RecordBatch:
+    """Spans of all places of late rows; a lead's first place stands for it."""
+    off = places.offsets.to_numpy().astype(np.int64)
+    flat = places.values.to_numpy()
+    n = np.diff(off)[late]
+    row = np.repeat(np.arange(len(late)), n)
+    pos = flat[off[late][row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] - before[row]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(doc[late][row], pos, doc[lead][row], (flat[off[lead]] - before)[row], passage)], _COLUMNS)
+
+
 def _matches(passage: int, k: int):
     """Spans of a document that a smaller one has too, among all rows of the same keys."""
 
+    def joined(parts):
+        t = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        places = t.column("pos")
+        return t, t.column("doc_id").to_numpy(), places, places.values.to_numpy()[places.offsets.to_numpy()[:-1]], b"".join(t.column("words").to_pylist())
+
     def run(batches):
         for held in W.chunks(batches):
             suffixes, singles = [], []
             for b in held:
                 done = np.asarray(b.column("stop").is_valid())
                 if done.any():
-                    yield b.filter(pa.array(done)).select(["doc_id", "pos", "stop", "other_id", "other_start"]).rename_columns(_COLUMNS)
+                    given = b.filter(pa.array(done))
+                    start = given.column("pos").flatten()  # one place each
+                    yield pa.RecordBatch.from_arrays([given.column("doc_id"), start, *(given.column(c) for c in ("stop", "other_id", "other_start"))], _COLUMNS)
                 for valid, out in ((True, suffixes), (False, singles)):
                     part = b.filter(pa.array(~done & (np.asarray(b.column("windows").is_valid()) == valid)))
                     if part.num_rows:
                         out.append(part)
             if singles:
-                t = pa.Table.from_batches(singles)
-                wins = np.frombuffer(b"".join(t["words"].to_pylist()), S._HASHES)
-                doc, pos = t["doc_id"].to_numpy(), t["pos"].to_numpy()
-                late, lead = _late(wins, doc, pos)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(doc[late], pos[late], doc[lead], pos[lead], passage)], _COLUMNS)
+                t, doc, places, first, words = joined(singles)
+                late, lead = _late(np.frombuffer(words, S._HASHES), doc, first)
+                yield _opened(late, lead, np.zeros(len(late), np.int64), doc, places, passage)
             if suffixes:
-                t = pa.Table.from_batches(suffixes)
-                words = np.frombuffer(b"".join(t["words"].to_pylist()), np.uint64)
-                wins = extend(t["key"].to_numpy(), t["doc_id"].to_numpy(), t["pos"].to_numpy(), t["windows"].to_numpy(), words, k, passage)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spans(*wins, passage)], _COLUMNS)
+                t, doc, places, first, words = joined(suffixes)
+                wins = extend(t.column("key").to_numpy(), doc, first, t.column("windows").to_numpy(), np.frombuffer(words, np.uint64), k, passage)
+                yield _opened(*wins, doc, places, passage)
 
     return C.lean(run)
 

@@ -45,6 +45,8 @@ def test_holders(spark, monkeypatch, hot, flush, chunk, batch):
     rows += [(len(rows) + i, " ".join(ahead + core[:46] + fresh(9))) for i in range(8)]
     # one passage twice in a document, one of equal words, and one in a text of its own
     rows += [(len(rows), " ".join(core + fresh(3) + core)), (len(rows) + 1, "same " * 200), (len(rows) + 2, "same " * 120), (len(rows) + 3, " ".join(core))]
+    period = fresh(3)
+    rows += [(len(rows) + i, " ".join(fresh(i) + period * rng.randrange(20, 60) + fresh(i))) for i in range(12)]
     rows = [(i, t) for i, t in zip(rng.sample(range(10**6), len(rows)), (t for _, t in rows), strict=True)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     try:
