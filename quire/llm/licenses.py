@@ -5,8 +5,8 @@ A softmax regression over word 1- to 3-grams is trained on the driver from the p
 no licence. Its temperature and threshold are set on variants that it wasn't trained on. Each line is classified, and each
 paragraph: the lines up to a blank one, joined, so that a wrapped notice is seen whole. What a paragraph is said to be counts if
 it is confirmed by the family's templates, either way: most word pairs of a template stand in it, or most of its own stand in a
-template; and it holds a word that is told of licences (`told`), of which every template has enough that the first way can't do
-without. Texts and paragraphs without such a word are therefore left out before anything else is computed. Scoring uses DataFrame
+template; and it holds a word that is told of licences (`told`), of which every template has so many that the first way can't do
+without one. Texts and paragraphs without such a word are therefore left out before anything else is computed. Scoring uses DataFrame
 functions only; the weights are a table of fixed size.
 """
 
@@ -106,17 +106,18 @@ def pairs(words: list[str]) -> list[str]:
 
 @functools.cache
 def told() -> list[str]:
-    """Words of which a paragraph must hold one: those of the templates that don't stand in any prose.
+    """Words of which a paragraph must hold one: of each template the longest, until too few of its pairs are without one.
 
-    A paragraph that holds CONFIRM of a template's pairs misses all such words only if the pairs without them are that many;
-    the templates are such that they are not.
+    A paragraph without such a word can't hold CONFIRM of the pairs of any template, so none that the templates confirm as a
+    whole is left out.
     """
-    out = {w for ts in TEMPLATES.values() for t in ts for w in tokens(t)} - PLAIN - {w for w in "0123456789"}
-    for ts in TEMPLATES.values():
-        for t in ts:
-            free = [p for p in pairs(tokens(t)) if not out & set(p.split())]
-            if len(free) >= CONFIRM * len(pairs(tokens(t))):
-                raise ValueError(f"a template could be confirmed without a word that is told of licences: {t}")
+    out: set[str] = set()
+    for t in sorted((t for ts in TEMPLATES.values() for t in ts), key=len):
+        every = pairs(tokens(t))
+        for w in sorted(set(tokens(t)) - PLAIN, key=lambda w: (-len(w), w)):
+            if sum(not out & set(p.split()) for p in every) < CONFIRM * len(every):
+                break
+            out.add(w)
     return sorted(out)
 
 
