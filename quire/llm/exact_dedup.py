@@ -34,8 +34,8 @@ def _found(docs: DataFrame, scratch: C.Scratch, first: int, wider: int) -> tuple
     while True:
         digit = F.substring("b", 1, width)
         groups = active.groupBy("g", digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")).where("n > 1")
-        # a table of their own: small, or else the join can split a hot group
-        groups = scratch.keep(groups)
+        # a table of their own, so that the join can split a hot group; merged at any size, so that needs grow with the input
+        groups = scratch.keep(groups).hint("merge")
         split = (
             active.withColumn("digit", digit)
             .join(groups, ["g", "digit"])
@@ -61,7 +61,7 @@ def exact_groups(docs: DataFrame, first: int = FIRST, wider: int = WIDER) -> Dat
     """
     scratch = C.Scratch(docs.sparkSession)
     rows, found = _found(docs, scratch, first, wider)
-    return rows.join(scratch.keep(found), ["doc_id", "sha"], "left").select(
+    return rows.join(scratch.keep(found).hint("merge"), ["doc_id", "sha"], "left").select(
         "doc_id",
         F.coalesce("keep_id", "doc_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -81,7 +81,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     sha, has, its, keeper = C.fresh(docs, "_sha", "_has", "_its", "_keeper")
     found = found.select(F.col("doc_id").alias(has), F.col("sha").alias(its), F.col("keep_id").alias(keeper))
     rows = docs.withColumn(sha, F.unhex(F.sha2(normalised(docs["text"]), 256)))
-    rows = rows.join(found, (F.col("doc_id") == F.col(has)) & (F.col(sha) == F.col(its)), "left")
+    rows = rows.join(found.hint("merge"), (F.col("doc_id") == F.col(has)) & (F.col(sha) == F.col(its)), "left")
     alone = rows.where(F.col(keeper).isNull())
     first = rows.where(F.col(keeper) == F.col("doc_id")).dropDuplicates(["doc_id", sha])
     return alone.unionAll(first).select(*docs.columns)
