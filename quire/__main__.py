@@ -53,10 +53,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "run":
         volumes = [io.read_config(c, output_root=a.output_root, page_range=pages, dpi=a.dpi, crop_regions=False if a.no_crops else None) for c in a.config]
-        root = volumes[0].output_root
-        took = volume.run(spark, io.read_interim(spark, root, pages or volumes[0].page_range), io.volumes_table(spark, volumes), f"{root}/tables")
-        for name, seconds in took.items():
-            print(f"{name}\t{seconds:.2f}")
+        io.volumes_table(spark, volumes)  # slugs must differ over all roots
+        for root in sorted({v.output_root for v in volumes}):
+            own = [v for v in volumes if v.output_root == root]
+            took = volume.run(spark, io.read_volumes(spark, root, own), io.volumes_table(spark, own), f"{root}/tables")
+            for name, seconds in took.items():
+                print(f"{root}\t{name}\t{seconds:.2f}")
         return 0
     paths = a.inputs if a.command == "merge-graphs" else [x for x in (os.path.join(a.corpus, "graph", "corpus.jsonld"),) if os.path.exists(x)] + [a.graph]
     out = a.out if a.command == "merge-graphs" else os.path.join(a.corpus, "graph", "corpus.jsonld")

@@ -20,6 +20,9 @@ def structure(raw_pages: DataFrame, volumes: DataFrame, prefix: str = "doc") ->
     labels = volumes.select("volume_slug", F.explode("toc_section_labels").alias("label"))
     found = toc.entries(toc.tokens(toc.contents_text(ordered)), labels)
     offsets = articles.printed_offset(articles.running_numbers(ordered))
+    if "printed_page_offset" in volumes.columns:  # a configured offset comes first
+        given = volumes.where("printed_page_offset is not null").select("volume_slug", F.col("printed_page_offset").alias("offset"))
+        offsets = given.unionByName(offsets.join(given, "volume_slug", "left_anti"))
     titles = volumes.select("volume_slug", F.col("volume_title").alias("title"))
     arts = articles.detect(ordered, found, offsets, titles)
     pages = ordered.select("volume_slug", "page_num").distinct()

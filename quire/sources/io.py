@@ -63,8 +63,8 @@ def volumes_table(spark: SparkSession, volumes: list[Volume]) -> DataFrame:
     slugs = [v.slug for v in volumes]
     if len(set(slugs)) != len(slugs):
         raise ValueError("volumes share a slug")
-    rows = [(v.slug, v.series_name, v.publisher, v.editor, v.volume_title, v.volume_number, v.volume_number_roman, v.volume_year, v.language, list(v.toc_section_labels)) for v in volumes]
-    return spark.createDataFrame(rows, "volume_slug string, series_name string, publisher string, editor string, volume_title string, volume_number int, volume_number_roman string, volume_year int, language string, toc_section_labels array<string>")
+    rows = [(v.slug, v.series_name, v.publisher, v.editor, v.volume_title, v.volume_number, v.volume_number_roman, v.volume_year, v.language, list(v.toc_section_labels), v.printed_page_offset) for v in volumes]
+    return spark.createDataFrame(rows, "volume_slug string, series_name string, publisher string, editor string, volume_title string, volume_number int, volume_number_roman string, volume_year int, language string, toc_section_labels array<string>, printed_page_offset int")
 
 
 def read_interim(spark: SparkSession, root: str, page_range: tuple[int, int] | None = None) -> DataFrame:
@@ -74,6 +74,13 @@ def read_interim(spark: SparkSession, root: str, page_range: tuple[int, int] | N
     return pages.where(F.col("page_num").between(*page_range)) if page_range else pages
 
 
+def read_volumes(spark: SparkSession, root: str, volumes: list[Volume]) -> DataFrame:
+    """Interim pages of these volumes under one root, each within its own page range."""
+    ranges = spark.createDataFrame([(v.slug, *(v.page_range or (None, None))) for v in volumes], "volume_slug string, _first int, _last int")
+    pages = read_interim(spark, root).join(F.broadcast(ranges), "volume_slug")
+    return pages.where("_first is null or page_num between _first and _last").drop("_first", "_last")
+
+
 def missing_pages(index: DataFrame, interim: DataFrame) -> DataFrame:
     """Pages of the index that have no interim result yet."""
     return index.join(interim.select("volume_slug", "page_num"), ["volume_slug", "page_num"], "left_anti")
@@ -83,7 +90,9 @@ def read_graphs(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Nodes of JSON-LD documents: source_ord (place in paths), node_pos, node_id, types, props (JSON text by key, in order)."""
     order = spark.createDataFrame([(i, os.path.basename(p.rstrip("/")), p) for i, p in enumerate(paths)], "source_ord int, base string, given string")
     docs = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    docs = docs.join(F.broadcast(order), F.endswith("file", F.col("given")) | (F.col("file") == F.col("given")))
+    # where one path ends like another, the longest that fits is meant
+    fits = docs.join(F.broadcast(order), F.endswith("file", F.concat(F.lit("/"), F.ltrim(F.col("given"), F.lit("/")))) | (F.col("file") == F.col("given")))
+    docs = fits.groupBy("file", "value").agg(F.max_by("source_ord", F.struct(F.length("given"), -F.col("source_ord"))).alias("source_ord"))
     nodes = docs.select("source_ord", F.posexplode(F.from_json(F.get_json_object("value", "$.@graph"), "array<string>")).alias("node_pos", "node"))
     props = F.map_from_entries(F.transform(F.filter(F.json_object_keys("node"), lambda k: ~k.isin("@id", "@type", "@context")), lambda k: F.struct(k, F.to_json(F.variant_get(F.parse_json("node"), F.concat(F.lit("$['"), k, F.lit("']")), "variant")))))
     kind = F.get_json_object("node", "$.@type")
@@ -122,9 +131,26 @@ def assemble(frontmatter_zones: DataFrame) -> DataFrame:
 
 
 def write_files(rows: DataFrame, root: str) -> None:
-    """Write rows (path, content) as files under root through Spark's file system layer; each is written by the task that holds it."""
-    safe = rows.select(F.regexp_replace("path", "[^A-Za-z0-9_./-]", "_").alias("path"), "content")
-    safe.write.mode("overwrite").partitionBy("path").text(root)
+    """Write rows (path, content) as files under root, folders as path has them; each is written by the task that holds it.
+
+    root is a folder that all executors share, or the address of a store that they reach. A path may not leave it.
+    """
+    from pyspark.errors import IllegalArgumentException
+
+    if not rows.where(F.col("path").isNull() | F.startswith("path", F.lit("/")) | F.array_contains(F.split("path", "/"), "..")).isEmpty():
+        raise IllegalArgumentException("paths must be relative and may not hold ..")
+
+    def write(part):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
+        for r in part:
+            target = f"{base}/{r['path']}"
+            store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(target) as out:
+                out.write((r["content"] or "").encode())
+
+    rows.select("path", "content").foreachPartition(write)
 
 
 def log_entries(log: DataFrame, new: DataFrame) -> DataFrame:
