@@ -204,10 +204,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     slim = reps.select("cid", "n", "prefix")
 
     def promising(pairs: DataFrame) -> DataFrame:
-        """Pairs whose prefixes share enough for the overlap that a link needs."""
+        """Of different pairs those whose prefixes share enough for the overlap that a link needs."""
         for x in "ab":
             pairs = pairs.join(slim.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("prefix").alias(f"p{x}")), x)
-        return scratch.keep(pairs.where(_can_link(num, den)).select("a", "b").distinct())
+        return scratch.keep(pairs.where(_can_link(num, den)).select("a", "b"))
 
     links = verify(promising(pairs))
     comps = graphs.components(links, scratch)
