@@ -222,7 +222,7 @@ def sample(lat: Lattice, alpha: np.ndarray, shift: np.ndarray | None, p: np.ndar
     w = alpha[start] * p[lat.ids[k_at, c_at]] * LIFT ** (k_at + 1.0)
     if shift is not None:
         w *= np.exp(shift[start] - shift[end])
-    order = np.lexsort((k_at, end))
+    order = np.argsort(end, kind="stable")  # edges come in order of their length
     start, end, w, piece = start[order], end[order], w[order], lat.ids[k_at, c_at][order].astype(np.int64)
     piece = np.where(piece > none, -1 - lat.cp[c_at[order]], piece)
     head = np.ones(len(end), bool)
@@ -231,9 +231,9 @@ def sample(lat: Lattice, alpha: np.ndarray, shift: np.ndarray | None, p: np.ndar
     group = np.cumsum(head) - 1
     # sums within each node, term by term, so that they don't depend on other nodes
     within = w.copy()
-    place = np.arange(len(w)) - heads[group] if len(heads) else group
-    for j in range(1, int(place.max(initial=0)) + 1):
-        i = np.flatnonzero(place == j)
+    sizes = np.diff(np.append(heads, len(w)))
+    for j in range(1, int(sizes.max(initial=0))):
+        i = heads[sizes > j] + j
         within[i] += within[i - 1]
     last = np.concatenate([heads[1:], [len(w)]]) - 1 if len(heads) else heads
     total = within[last][group] if len(heads) else within
