@@ -1,9 +1,10 @@
-"""python -m quire run CONFIG... | merge-graphs OUT IN... | init-wiki DIR | add-volume CORPUS GRAPH"""
+"""python -m quire run CONFIG... | merge-graphs OUT IN... | init-wiki DIR | add-volume CORPUS GRAPH [--wiki DIR]"""
 
 from __future__ import annotations
 
 import argparse
 import os
+import shutil
 import sys
 
 
@@ -25,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     add = sub.add_parser("add-volume")
     add.add_argument("corpus")
     add.add_argument("graph")
+    add.add_argument("--wiki", help="folder of the volume's pages, <slug>/wiki")
     a = p.parse_args(argv)
     pages = None
     if a.command == "run" and a.page_range:
@@ -45,8 +47,9 @@ def main(argv: list[str] | None = None) -> int:
                 f.write(text)
         return 0
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
-    from .operators import graph
+    from .operators import graph, wiki
     from .plans import volume
     from .sources import io
 
@@ -56,13 +59,25 @@ def main(argv: list[str] | None = None) -> int:
         io.volumes_table(spark, volumes)  # slugs must differ over all roots
         for root in sorted({v.output_root for v in volumes}):
             own = [v for v in volumes if v.output_root == root]
-            took = volume.run(spark, io.read_volumes(spark, root, own), io.volumes_table(spark, own), f"{root}/tables")
+            took = volume.run(spark, io.read_volumes(spark, root, own), io.volumes_table(spark, own), f"{root}/tables", root)
             for name, seconds in took.items():
                 print(f"{root}\t{name}\t{seconds:.2f}")
         return 0
     paths = a.inputs if a.command == "merge-graphs" else [x for x in (os.path.join(a.corpus, "graph", "corpus.jsonld"),) if os.path.exists(x)] + [a.graph]
     out = a.out if a.command == "merge-graphs" else os.path.join(a.corpus, "graph", "corpus.jsonld")
-    document = io.graph_text(graph.merge(io.read_graphs(spark, paths))).first()["document"]
+    nodes = graph.merge(io.read_graphs(spark, paths))
+    document = io.graph_text(nodes).first()["document"]
+    if a.command == "add-volume":
+        pages = wiki.index_page(nodes)
+        if a.wiki:
+            slug = os.path.basename(os.path.dirname(os.path.abspath(a.wiki)))
+            new = io.read_wiki(spark, os.path.abspath(a.wiki)).withColumn("volume_slug", F.lit(slug))
+            pages = pages.unionByName(wiki.add_volumes(new, io.read_wiki(spark, os.path.abspath(a.corpus))))
+        # the pages read are among those written, so that all of them are made first
+        made = os.path.join(a.corpus, ".made")
+        pages.write.mode("overwrite").parquet(made)
+        io.write_files(spark.read.parquet(made), a.corpus)
+        shutil.rmtree(made)
     with open(out, "w", encoding="utf-8") as f:
         f.write(document)
     return 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+#: What the format takes for a note's number and for references to notes.
 BODY = "^\\s*([0-9]{1,3})[.°)\\s]\\s*"
 CARET = "(?<![0-9])([0-9]{1,3})\\^"
 SUPERSCRIPT = f"(?<={T.WORD_CHAR[:-1]}¹²³⁰⁴⁵⁶⁷⁸⁹])([¹²³⁰⁴⁵⁶⁷⁸⁹]+)"
@@ -29,7 +30,7 @@ def notes(rows: DataFrame) -> DataFrame:
     f = rows.where("type = 'footnote'").withColumn("_b", parse_body(F.col("text")))
     w = Window.partitionBy("article_id", "page_num", F.col("_b.n").isNull()).orderBy("page_ord", "reading_pos")
     n = F.coalesce("_b.n", F.row_number().over(w))
-    page = F.coalesce(F.format_string("p%03d", "page_num"), F.lit("p???"))
+    page = F.when(F.col("page_num").isNull(), "p???").otherwise(F.format_string("p%03d", "page_num"))
     out = f.select("article_id", "block_id", "page_num", "page_ord", "reading_pos", n.alias("n"), F.col("_b.n").isNotNull().alias("is_numbered"), F.col("_b.body").alias("text"), page.alias("_p"))
     return out.withColumn("html_id", F.concat(F.lit("fn-"), "article_id", F.lit("-"), "_p", F.lit("-"), F.when(F.col("is_numbered"), "").otherwise("u"), F.col("n").cast("string"))).drop("_p")
 
@@ -47,11 +48,9 @@ def _drop_overlaps(refs: Column) -> Column:
 
 def marked_refs(c: Column) -> Column:
     """start, end, n of caret and superscript markers, by place, without overlaps."""
-    number = lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["n"].cast("int").alias("n"))
     caret = F.transform(T.matches(c, CARET, "n"), lambda r: F.struct(r["start"].alias("start"), (r["end"] + 1).alias("end"), r["n"].cast("int").alias("n")))
     digits = lambda r: F.translate(r["n"], *T.SUPERSCRIPTS).try_cast("int")
     sup = F.filter(F.transform(T.matches(c, SUPERSCRIPT, "n"), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), digits(r).alias("n"))), lambda r: r["n"].between(1, 499))
-    del number
     return _drop_overlaps(F.array_sort(F.concat(caret, sup)))
 
 
@@ -83,14 +82,40 @@ def stats(found: DataFrame, linked: DataFrame) -> DataFrame:
     return out.withColumn("unresolved", F.col("n_refs") - F.col("resolved"))
 
 
-def link_text(c: Column, found: Column) -> Column:
-    """Text as HTML with its references as links: found is an ordered array of start, end, n, target_id (null: no link)."""
-    fold = F.aggregate(
+def splice(c: Column, found: Column) -> Column:
+    """Text with marks put in: found is an ordered array of start, end, mark without overlaps."""
+    rest = lambda s, upto: F.substring(c, s["at"] + 1, upto - s["at"])
+    return F.aggregate(
         found,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, r: F.struct(
-            r["end"].alias("at"),
-            F.concat(s["out"], T.html_escape(F.substring(c, s["at"] + 1, r["start"] - s["at"]), False), F.coalesce(F.concat(F.lit('<sup class="fn-ref"><a href="#'), r["target_id"], F.lit('">'), r["n"].cast("string"), F.lit("</a></sup>")), F.concat(F.lit("<sup>"), r["n"].cast("string"), F.lit("</sup>")))).alias("out"),
-        ),
+        lambda s, r: F.struct(r["end"].alias("at"), F.concat(s["out"], rest(s, r["start"]), r["mark"]).alias("out")),
+        lambda s: F.concat(s["out"], rest(s, F.length(c))),
     )
-    return F.concat(fold["out"], T.html_escape(F.substring(c, fold["at"] + 1, F.length(c)), False))
+
+
+def with_html(rows: DataFrame, linked: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with text_html, the text with its marked references as links, and targets (n, target_id) of its page's notes.
+
+    Allowed inline tags stay; a reference without a note is raised, but no link.
+    """
+    link = F.coalesce(F.concat(F.lit('<a href="#'), T.html_escape(F.col("target_id")), F.lit('">'), F.col("n").cast("string"), F.lit("</a>")), F.col("n").cast("string"))
+    mark = F.concat(F.lit('<sup class="fn-ref">'), link, F.lit("</sup>"))
+    marks = linked.where("kind = 'marked'").groupBy("article_id", "page_num", "block_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", mark.alias("mark")))).alias("_r"))
+    last = found.where("is_numbered").groupBy("article_id", "page_num", "n").agg(F.max_by("html_id", F.struct("page_ord", "reading_pos")).alias("target_id"))
+    notes_of = last.groupBy("article_id", "page_num").agg(F.array_sort(F.collect_list(F.struct("n", "target_id"))).alias("targets"))
+    out = rows.join(marks, ["article_id", "page_num", "block_id"], "left").join(notes_of, ["article_id", "page_num"], "left")
+    return out.withColumn("text_html", T.inline_html(F.coalesce("text", F.lit("")), F.col("_r.start"), F.col("_r.end"), F.col("_r.mark"))).drop("_r")
+
+
+def link_markers(c: Column, targets: Column) -> Column:
+    """HTML with `<sup>N</sup>` and `N^` in its text as links to targets (array of n, target_id); as it is where there are none.
+
+    Raised numbers without a note get the class only; tags are left alone.
+    """
+    caret = "(?<![0-9]){}\\^(?![^<]*>)"
+    link = lambda t: F.concat(F.lit('<sup class="fn-ref"><a href="#'), t["target_id"], F.lit('">'), t["n"].cast("string"), F.lit("</a></sup>"))
+    number = lambda t: F.concat(F.lit("0*"), t["n"].cast("string"))
+    one = lambda s, t: F.regexp_replace(F.regexp_replace(s, F.concat(F.lit("<sup>\\s*"), number(t), F.lit("\\s*</sup>")), link(t)), F.concat(F.lit("(?<![0-9])"), number(t), F.lit("\\^(?![^<]*>)")), link(t))
+    done = F.aggregate(targets, c, one)
+    done = F.regexp_replace(F.regexp_replace(done, "<sup>(\\s*[0-9]+\\s*)</sup>", '<sup class="fn-ref">$1</sup>'), caret.format("([0-9]{1,3})"), '<sup class="fn-ref">$1</sup>')
+    return F.when(F.coalesce(F.size(targets), F.lit(0)) > 0, done).otherwise(c)

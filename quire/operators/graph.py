@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import VISUAL
+from .layout import fixed
 
 
 def iri(prefix: str, kind: str, *parts) -> Column:
@@ -18,12 +19,20 @@ def page_iri(prefix: str, slug: Column, page: Column) -> Column:
     return iri(prefix, "vol", slug, F.lit("page"), F.format_string("%04d", page))
 
 
-def figure_name(b: DataFrame | None = None) -> Column:
+def figure_name() -> Column:
     """A figure's caption, else its description, else `Type on page N`."""
     made = F.concat(T.title_case(F.col("type")), F.lit(" on page "), F.col("page_num").cast("string"))
     return F.coalesce(F.nullif(T.strip(F.coalesce("text", F.lit(""))), F.lit("")), F.nullif(T.strip(F.coalesce("description", F.lit(""))), F.lit("")), made)
 
 
+def node_json(first: str = "") -> Column:
+    """A node (node_id, types, props) as a JSON object; first: members to stand before its id."""
+    kinds = F.when(F.size("types") == 1, F.to_json("types").substr(F.lit(2), F.length(F.to_json("types")) - 2)).otherwise(F.to_json("types"))
+    named = F.to_json(F.struct(F.col("node_id").alias("@id")))
+    members = F.array_join(F.transform(F.map_entries("props"), lambda e: F.concat(F.lit(',"'), e["key"], F.lit('":'), e["value"])), "")
+    return F.concat(F.lit("{" + first), named.substr(F.lit(2), F.length(named) - 2), F.lit(',"@type":'), kinds, members, F.lit("}"))
+
+
 def people(articles: DataFrame) -> DataFrame:
     """volume_slug, name, ord: authors of a volume, each name once, in order of appearance."""
     rows = articles.where("num > 0").select("volume_slug", "num", F.posexplode(T.split_authors(F.col("author"))).alias("at", "name"))
@@ -32,10 +41,11 @@ def people(articles: DataFrame) -> DataFrame:
 
 def _node(df: DataFrame, rank: int, order: list, node_id: Column, types: list[str], props: dict[str, Column]) -> DataFrame:
     """Rows of one class; props that are null are left out, in the order given."""
-    entries = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), F.to_json(F.struct(v.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(v.alias("v")))) - 6).alias("value"), v.isNull().alias("gone")) for k, v in props.items()]), lambda e: ~e["gone"])
-    keyed = F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
     key = F.array(F.lit(rank).cast("long"), *[F.coalesce(o.cast("long"), F.lit(0)) for o in order])
-    return df.select("volume_slug", key.alias("node_pos"), node_id.alias("node_id"), F.array(*map(F.lit, types)).alias("types"), keyed.alias("props"))
+    made = fixed(df.select("volume_slug", key.alias("node_pos"), node_id.alias("node_id"), *[v.alias(f"_{i}") for i, v in enumerate(props.values())]))
+    text = lambda v: F.to_json(F.struct(v.alias("v")))
+    entries = F.array(*[F.when(F.col(f"_{i}").isNotNull(), F.struct(F.lit(k).alias("key"), text(F.col(f"_{i}")).substr(F.lit(6), F.length(text(F.col(f"_{i}"))) - 6).alias("value"))) for i, k in enumerate(props)])
+    return made.select("volume_slug", "node_pos", "node_id", F.array(*map(F.lit, types)).alias("types"), F.map_from_entries(F.filter(entries, lambda e: e.isNotNull())).alias("props"))
 
 
 def volume_graph(volumes: DataFrame, ordered: DataFrame, articles: DataFrame, bridge: DataFrame, owners: DataFrame, found: DataFrame, prefix: str = "doc", page_scoped_notes: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import PAGEXML_TYPES, VISUAL
+from . import footnotes
 
 
 def _join(order: list[str], fragment: str, sep: str = "") -> Column:
@@ -117,15 +118,8 @@ def article_markdown(rows: DataFrame) -> DataFrame:
     return pages.groupBy("article_id").agg(_join(["page_ord"], "_p").alias("body"))
 
 
-def footnotes_markdown(found: DataFrame) -> DataFrame:
-    """article_id, notes: a `[^p018-1]: text` line for each note, by page."""
-    tag = F.concat(F.coalesce(F.format_string("p%03d", "page_num"), F.lit("p???")), F.lit("-"), F.when(F.col("is_numbered"), "").otherwise("u"), F.col("n").cast("string"))
-    rows = found.withColumn("_f", F.concat(F.lit("[^"), tag, F.lit("]: "), "text")).withColumn("_last", F.col("page_num").isNull())
-    return rows.groupBy("article_id").agg(_join(["_last", "page_num", "reading_pos", "n"], "_f", "\n").alias("notes"))
-
-
-def html_block(linked: Column | None = None) -> Column:
-    """One block for reading; linked: its text as HTML with references, else escaped."""
+def html_block(linked: Column | None = None, targets: Column | None = None) -> Column:
+    """One block for reading; linked: its text as HTML with references, else escaped; targets: notes that markers in tables link to."""
     t, kind = linked if linked is not None else T.html_escape(F.col("text"), False), F.col("type")
     t = F.replace(t, F.lit("\n"), F.lit("<br>"))
     wrap = lambda tag, cls="": F.concat(F.lit(f"<{tag}{cls}>"), t, F.lit(f"</{tag}>"))
@@ -136,24 +130,46 @@ def html_block(linked: Column | None = None) -> Column:
         .when(kind == "section-header", wrap("h3"))
         .when(kind == "caption", wrap("figcaption"))
         .when(kind.isin(*VISUAL), src)
-        .when((kind == "table") & (F.col("html") != ""), T.sanitize_block(F.col("html")))
+        .when((kind == "table") & (F.col("html") != ""), rich_html(targets))
         .when(kind.isin("bibliography", "list"), F.concat(F.lit("<ul>"), rows, F.lit("</ul>")))
         .when(kind == "equation", wrap("div", ' class="equation"'))
         .otherwise(wrap("p"))
     )
 
 
+def rich_html(targets: Column | None = None) -> Column:
+    """A block's own HTML, allowed tags only, its markers linked to notes."""
+    clean = T.sanitize_block(F.col("html"))
+    return clean if targets is None else footnotes.link_markers(clean, targets)
+
+
 def page_shell(title: Column, body: Column, lang: str = "de", assets: str = "..") -> Column:
     return F.concat(F.lit(f'<!doctype html>\n<html lang="{lang}"><head><meta charset="utf-8"><title>'), T.html_escape(title, False), F.lit(f'</title><link rel="stylesheet" href="{assets}/edition.css"></head><body>\n'), body, F.lit("\n</body></html>"))
 
 
-def article_html(rows: DataFrame, nav: DataFrame) -> DataFrame:
-    """article_id, html: reading view with links to the neighbouring articles. nav: article_id, title, author, prev, next."""
-    body = rows.withColumn("_f", html_block()).groupBy("article_id").agg(_join(["page_ord", "reading_pos"], "_f", "\n").alias("_b"))
+def notes_html(found: DataFrame) -> DataFrame:
+    """article_id, notes_html: an article's notes in order, each with the id that references link to."""
+    note = F.concat(F.lit('<div class="footnote" id="'), T.html_escape(F.col("html_id")), F.lit('"><span class="footnote-num">'), F.col("n").cast("string"), F.lit('</span><span class="footnote-body">'), T.sanitize_inline(F.col("text")), F.lit("</span></div>"))
+    rows = found.withColumn("_f", note).groupBy("article_id").agg(_join(["page_ord", "reading_pos"], "_f").alias("_n"))
+    return rows.select("article_id", F.concat(F.lit('<aside class="footnotes">'), "_n", F.lit("</aside>")).alias("notes_html"))
+
+
+def article_html(rows: DataFrame, nav: DataFrame, found: DataFrame, linked: DataFrame) -> DataFrame:
+    """article_id, html: reading view by pages with links to the neighbouring articles and to the article's notes.
+
+    rows: blocks of articles with title; nav: article_id, title, author, prev, next; found and linked: notes and references. The
+    header that repeats the title on an article's first page is left out.
+    """
+    rows = footnotes.with_html(rows, linked, found)
+    repeats = (F.col("type") == "section-header") & (F.col("page_ord") == 0) & (F.substring(T.strip(F.col("text")), 1, 30) == F.substring("title", 1, 30))
+    rows = rows.withColumn("_f", F.when(~F.coalesce(repeats, F.lit(False)), html_block(F.col("text_html"), F.col("targets"))))
+    pages = rows.groupBy("article_id", "page_ord", "page_num").agg(_join(["reading_pos"], "_f", "\n").alias("_p"))
+    pages = pages.withColumn("_p", F.concat(F.format_string('<span class="pb" id="pb-%d">%d</span>\n', "page_num", "page_num"), "_p"))
+    body = pages.groupBy("article_id").agg(_join(["page_ord"], "_p", "\n").alias("_b"))
     link = lambda c, label: F.coalesce(F.concat(F.lit('<a href="'), F.col(c), F.lit(f'.html">{label}</a>')), F.lit(""))
-    out = body.join(nav.select("article_id", "title", "author", "prev", "next"), "article_id")
+    out = nav.select("article_id", "title", "author", "prev", "next").join(body, "article_id").join(notes_html(found), "article_id", "left")
     head = F.concat(F.lit("<nav>"), link("prev", "previous"), link("next", "next"), F.lit("</nav>\n<h1>"), T.html_escape(F.col("title"), False), F.lit('</h1>\n<p class="author">'), T.html_escape(F.coalesce("author", F.lit("")), False), F.lit("</p>\n"))
-    return out.select("article_id", page_shell(F.col("title"), F.concat(head, F.col("_b"))).alias("html"))
+    return out.select("article_id", page_shell(F.col("title"), F.concat(head, F.col("_b"), F.coalesce(F.concat(F.lit("\n"), "notes_html"), F.lit("")))).alias("html"))
 
 
 def crop_manifest(blocks: DataFrame) -> DataFrame:

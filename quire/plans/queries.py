@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import articles, blocks, footnotes, graph, layout, render, toc
+from ..operators import articles, blocks, footnotes, graph, layout, render, toc, wiki
 from ..schemas import CANON_TYPES
 from . import proxies as P
 from . import volume
@@ -156,6 +157,17 @@ def _(spark, sf):
     return rows.select("page_num", "emit_pos", footnotes.parse_body(F.col("text")).alias("b")).select("page_num", "emit_pos", "b.*")
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """df behind a checkpoint in the session's shared folder; where none is set, as in tests, in one of its own.
+
+    Tables that several branches of a plan share are analysed anew for each of them, which takes minutes for plans of this depth.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return df.checkpoint()
+
+
 def _rows(spark, sf):
     """Blocks as one article for each volume, pages in order."""
     return _ordered(spark, sf).select(F.concat("volume_slug", F.lit("-art01")).alias("article_id"), "volume_slug", "page_num", F.col("page_num").alias("page_ord"), "reading_pos", "block_id", "type", "raw_type", "text", "html", "description", "x1", "y1", "x2", "y2", "image_filename", "image_width", "image_height")
@@ -195,6 +207,21 @@ def _(spark, sf):
     return footnotes.stats(found, footnotes.refs(rows, found))
 
 
+@query("wiki_refs", P.SQL + _NOTES + """, pl AS (SELECT page_num, block_id, n, concat(printf('p%03d-', page_num), n) AS tag FROM rt WHERE kind = 'plain')
+SELECT o.page_num, o.block_id, CASE WHEN type = 'text' AND n IS NOT NULL THEN replace(text, concat(' ', n, ' .'), concat(' <sup><a id="fnref-', tag, '" href="#fn-', tag, '">', n, '</a></sup> .')) ELSE text END AS text FROM o LEFT JOIN pl USING (page_num, block_id)""")
+def _(spark, sf):
+    rows = _cut(_rows(spark, sf))
+    return wiki.with_links(rows, footnotes.refs(rows, footnotes.notes(rows))).select("page_num", "block_id", "text")
+
+
+@query("footnote_section", P.SQL + _NOTES + """, ft AS (SELECT fn.*, concat(printf('p%03d-', page_num), CASE WHEN is_numbered THEN '' ELSE 'u' END, n) AS tag, CASE WHEN is_numbered THEN regexp_replace(text, '^\\s*([0-9]{1,3})[.°)\\s]\\s*', '') ELSE text END AS body FROM fn JOIN (SELECT page_num, block_id, text FROM fn0) USING (page_num, block_id)),
+fl AS (SELECT *, concat('<a id="fn-', tag, '"></a>', CASE WHEN is_numbered THEN concat('<sup>', n, '</sup>', chr(8195), body, ' <a href="#fnref-', tag, '">↩</a>') ELSE body END, chr(10), chr(10)) AS f FROM ft),
+fp AS (SELECT vol, page_num, concat(chr(10), '### Page ', page_num, chr(10), chr(10), string_agg(f, '' ORDER BY reading_pos)) AS f FROM fl GROUP BY vol, page_num)
+SELECT printf('vol-%03d-2000-art01', vol) AS article_id, md5(concat(chr(10), '## Footnotes', chr(10), string_agg(f, '' ORDER BY page_num))) AS notes_md5 FROM fp GROUP BY vol""")
+def _(spark, sf):
+    return wiki.note_section(footnotes.notes(_cut(_rows(spark, sf)))).select("article_id", F.md5(F.col("notes").cast("binary")).alias("notes_md5"))
+
+
 _MD = "CASE type WHEN 'section-header' THEN concat('#### ', text, chr(10), chr(10)) WHEN 'text' THEN concat(text, chr(10), chr(10)) ELSE '' END"
 
 
@@ -368,11 +395,11 @@ def _(spark, sf):
 
 @query("volume_graph")
 def _(spark, sf):
-    ordered = _ordered(spark, sf)
+    ordered = _cut(_ordered(spark, sf))
     arts = articles.heuristic_anchors(ordered, ordered.select("volume_slug").distinct().withColumn("title", F.lit("Volume")))
     pages = ordered.select("volume_slug", "page_num").distinct()
-    arts = articles.spans(arts, pages)
-    bridge = articles.article_pages(arts, pages)
+    arts = _cut(articles.spans(arts, pages))
+    bridge = _cut(articles.article_pages(arts, pages))
     rows = bridge.select("article_id", "volume_slug", "page_num", F.col("ord").alias("page_ord")).join(ordered, ["volume_slug", "page_num"])
     vols = ordered.select("volume_slug").distinct().select("volume_slug", F.lit("Series").alias("series_name"), F.lit("P").alias("publisher"), F.lit("E").alias("editor"), F.lit("Volume").alias("volume_title"), F.lit(1).alias("volume_number"), F.lit("I").alias("volume_number_roman"), F.lit(2000).alias("volume_year"), F.lit("de").alias("language"))
     nodes = graph.volume_graph(vols, ordered, arts, bridge, articles.page_owner(bridge, pages), footnotes.notes(rows))

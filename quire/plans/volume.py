@@ -3,36 +3,41 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import articles, blocks, footnotes, graph, layout, toc
+from ..operators import articles, blocks, edition, footnotes, graph, layout, render, toc, wiki
 
 
-def structure(raw_pages: DataFrame, volumes: DataFrame, prefix: str = "doc") -> dict[str, DataFrame]:
-    """Tables ordered (blocks in reading order), entries, articles, bridge, rows (blocks by article), notes, refs, nodes."""
-    ordered = blocks.describe(blocks.unify(blocks.extract_blocks(raw_pages)))
+def structure(raw_pages: DataFrame, volumes: DataFrame, prefix: str = "doc", keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """Tables columns (pages with their blocks), ordered (blocks in reading order), tokens and entries of the contents, articles, bridge, rows (blocks by article), notes, refs, nodes.
+
+    keep: what is done with a table before others are made of it; `run` writes it and reads it again, so that plans stay small.
+    """
     keys = ("volume_slug", "page_num", "image_filename", "image_width", "image_height")
-    ordered = layout.reading_order(layout.detect_columns(layout.pages_of(ordered, keys)))
+    columns = keep("columns", layout.detect_columns(layout.pages_of(blocks.describe(blocks.unify(blocks.extract_blocks(raw_pages))), keys)))
+    ordered = keep("ordered", layout.reading_order(columns))
     labels = volumes.select("volume_slug", F.explode("toc_section_labels").alias("label"))
-    found = toc.entries(toc.tokens(toc.contents_text(ordered)), labels)
+    tokens = keep("tokens", toc.tokens(toc.contents_text(ordered)))
+    found = keep("entries", toc.entries(tokens, labels))
     offsets = articles.printed_offset(articles.running_numbers(ordered))
     if "printed_page_offset" in volumes.columns:  # a configured offset comes first
         given = volumes.where("printed_page_offset is not null").select("volume_slug", F.col("printed_page_offset").alias("offset"))
         offsets = given.unionByName(offsets.join(given, "volume_slug", "left_anti"))
     titles = volumes.select("volume_slug", F.col("volume_title").alias("title"))
-    arts = articles.detect(ordered, found, offsets, titles)
+    arts = keep("articles", articles.detect(ordered, found, offsets, titles))
     pages = ordered.select("volume_slug", "page_num").distinct()
-    bridge = articles.article_pages(arts, pages)
+    bridge = keep("bridge", articles.article_pages(arts, pages))
     rows = bridge.select("volume_slug", "article_id", "num", "page_num", F.col("ord").alias("page_ord")).join(ordered, ["volume_slug", "page_num"]).join(arts.select("article_id", "title"), "article_id")
-    notes = footnotes.notes(rows)
-    refs = footnotes.refs(rows, notes)
+    rows = keep("rows", rows)
+    notes = keep("notes", footnotes.notes(rows))
+    refs = keep("refs", footnotes.refs(rows, notes))
     owners = articles.page_owner(bridge, pages)
-    nodes = graph.volume_graph(volumes, ordered, arts, bridge, owners, notes, prefix)
-    return {"ordered": ordered, "entries": found, "articles": arts, "bridge": bridge, "rows": rows, "notes": notes, "refs": refs, "nodes": nodes}
+    nodes = keep("nodes", graph.volume_graph(volumes, ordered, arts, bridge, owners, notes, prefix))
+    return {"columns": columns, "ordered": ordered, "tokens": tokens, "entries": found, "articles": arts, "bridge": bridge, "rows": rows, "notes": notes, "refs": refs, "nodes": nodes}
 
 
 def timings(rows: DataFrame) -> DataFrame:
@@ -50,6 +55,11 @@ def ocr_times(pages: DataFrame) -> DataFrame:
     return pages.groupBy("volume_slug").agg(F.count_if(new).alias("inferred"), F.count_if(~new).alias("resumed"), F.round(F.avg(t), 6).alias("avg_s"), F.min(t).alias("min_s"), F.max(t).alias("max_s"))
 
 
+def projected_minutes(times: DataFrame, pages: int = 350) -> DataFrame:
+    """Rows of `ocr_times` with the minutes that a volume of so many pages would take at the average."""
+    return times.withColumn("projected_min", F.round(F.col("avg_s") * pages / 60, 6))
+
+
 @contextmanager
 def stage(name: str, into: dict[str, float]) -> Iterator[None]:
     """Add the seconds that the block takes."""
@@ -60,22 +70,50 @@ def stage(name: str, into: dict[str, float]) -> Iterator[None]:
         into[name] = into.get(name, 0.0) + time.perf_counter() - began
 
 
-def run(spark: SparkSession, raw_pages: DataFrame, volumes: DataFrame, out: str) -> dict[str, float]:
-    """Write the structure tables and renderings as Parquet under out, by volume."""
-    from ..operators import render
+def documents(tables: dict[str, DataFrame], volumes: DataFrame, as_of: str, prefix: str = "doc") -> dict[str, DataFrame]:
+    """Rows (path, content) of all files of a run by kind, each volume's under <slug>/pagexml, tei, html, wiki and graph."""
+    rows, arts, notes, refs, nodes = (tables[k] for k in ("rows", "articles", "notes", "refs", "nodes"))
+    slugs = arts.select("article_id", "volume_slug")
+    nav = articles.neighbours(arts)
+    here = lambda df, *parts: df.select(F.concat("volume_slug", *[F.lit(p) if p.startswith("/") or "." in p else F.col(p) for p in parts]).alias("path"), "content")
+    page = lambda df, folder, end, content: df.select(F.concat("volume_slug", F.format_string(f"/{folder}%04d{end}", "page_num")).alias("path"), F.col(content).alias("content"))
+    read = render.article_html(rows, nav, notes, refs).join(slugs, "article_id").withColumnRenamed("html", "content")
+    index = edition.volume_index(volumes, arts, tables["bridge"], tables["ordered"]).withColumnRenamed("html", "content")
+    views = edition.facsimiles(layout.bands(tables["columns"]), volumes, notes.join(slugs, "article_id"), refs.join(slugs, "article_id"))
+    of = lambda kind: nodes.where(F.array_contains("types", kind))
+    tail = F.substring_index("node_id", "/", -1)
+    pages = [
+        wiki.volume_pages(volumes, arts, wiki.section_order(tables["entries"], arts), of("PublicationVolume")),
+        wiki.article_pages(arts, render.article_markdown(wiki.with_links(rows, refs)), wiki.note_section(notes), of("ScholarlyArticle").select("node_id", "types", "props", tail.alias("article_id"))),
+        wiki.person_pages(volumes, arts, of("Person").select("volume_slug", "node_id", "types", "props", tail.alias("slug")).dropDuplicates(["volume_slug", "slug"])),
+    ]
+    made = pages[0].unionByName(pages[1]).unionByName(pages[2])
+    lines = nodes.groupBy("volume_slug").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_pos", graph.node_json().alias("j")))), lambda r: r["j"]), ",\n").alias("j"))
+    return {
+        "pagexml": page(render.pagexml(tables["ordered"], as_of), "pagexml/page_", ".xml", "xml"),
+        "tei": here(render.tei(rows, volumes).withColumnRenamed("xml", "content"), "/tei/", "volume_slug", ".xml"),
+        "html": here(index, "/html/index.html").unionByName(here(read, "/html/articles/", "article_id", ".html")).unionByName(page(views, "html/pages/page-", ".html", "html")),
+        "wiki": here(made, "/wiki/", "path"),
+        "graph": here(lines.withColumn("content", F.concat(F.lit('{"@context":{},"@graph":['), "j", F.lit("]}"))), "/graph/", "volume_slug", ".jsonld"),
+    }
+
+
+def run(spark: SparkSession, raw_pages: DataFrame, volumes: DataFrame, out: str, files: str | None = None) -> dict[str, float]:
+    """Write the structure tables and timings as Parquet under out, by volume, and the files of all volumes under files, if given."""
+    from ..sources import io
 
     took: dict[str, float] = {}
-    tables = structure(raw_pages, volumes)
-    tables["ordered"].persist()
-    try:
-        for name in ("ordered", "entries", "articles", "notes", "refs", "nodes"):
-            with stage(name, took):
-                writer = tables[name].write.mode("overwrite")
-                (writer.partitionBy("volume_slug") if "volume_slug" in tables[name].columns else writer).parquet(f"{out}/{name}")
-        renders = {"pagexml": render.pagexml(tables["ordered"], "1970-01-01T00:00:00"), "tei": render.tei(tables["rows"], volumes), "markdown": render.article_markdown(tables["rows"]), "html": render.article_html(tables["rows"], articles.neighbours(tables["articles"])), "crops": render.crop_manifest(tables["ordered"])}
-        for name, df in renders.items():
-            with stage(name, took):
-                df.write.mode("overwrite").parquet(f"{out}/{name}")
-    finally:
-        tables["ordered"].unpersist()
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        with stage(name, took):
+            writer = df.write.mode("overwrite")
+            (writer.partitionBy("volume_slug") if "volume_slug" in df.columns else writer).parquet(f"{out}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(df.columns)
+
+    tables = structure(raw_pages, volumes, keep=keep)
+    keep("crops", render.crop_manifest(tables["ordered"]))
+    for name, df in documents(tables, volumes, "1970-01-01T00:00:00").items() if files else ():
+        with stage(name, took):
+            io.write_files(df, files)
+    keep("timings", timings(spark.createDataFrame(list(took.items()), "stage string, seconds double")))
     return took

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import graph
 from ..schemas import RAW_PAGE
 
 
@@ -102,7 +103,7 @@ def read_graphs(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def graph_text(merged: DataFrame, context: str = "{}") -> DataFrame:
     """One row with the JSON-LD document of merged nodes, in the order they were first seen."""
-    body = F.concat(F.lit('{"@id":'), F.to_json(F.struct("node_id")).substr(F.lit(12), F.length(F.to_json(F.struct("node_id"))) - 12), F.lit(',"@type":'), F.when(F.size("types") == 1, F.concat(F.lit('"'), F.col("types")[0], F.lit('"'))).otherwise(F.to_json("types")), F.array_join(F.transform(F.map_entries("props"), lambda e: F.concat(F.lit(',"'), e["key"], F.lit('":'), e["value"])), ""), F.lit("}"))
+    body = graph.node_json()
     rows = F.array_sort(F.collect_list(F.struct("seen", body.alias("b"))))
     return merged.agg(F.concat(F.lit(f'{{"@context":{context},"@graph":['), F.array_join(F.transform(rows, lambda r: r["b"]), ",\n"), F.lit("]}")).alias("document"))
 
@@ -115,6 +116,12 @@ def read_pages(spark: SparkSession, glob: str) -> DataFrame:
     return rows.select("path", F.when(has, F.regexp_extract("value", front, 1)).alias("frontmatter"), F.when(has, F.regexp_extract("value", front, 2)).otherwise(F.col("value")).alias("body"))
 
 
+def read_wiki(spark: SparkSession, root: str) -> DataFrame:
+    """path (under root), content of the Markdown files under root."""
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(root, wholetext=True)
+    return rows.select(F.substring_index(F.col("_metadata.file_path"), root.rstrip("/") + "/", -1).alias("path"), F.col("value").alias("content"))
+
+
 def zones(pages: DataFrame, owned: tuple[str, ...] = ()) -> DataFrame:
     """path, ord, name, body: sections under level-2 headings, trailing white space off; only `owned` ones if given."""
     parts = F.slice(F.split(F.concat(F.lit("\n"), "body"), "\\n## "), 2, 1_000_000)
