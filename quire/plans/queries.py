@@ -207,8 +207,8 @@ def _(spark, sf):
     return footnotes.stats(found, footnotes.refs(rows, found))
 
 
-@query("wiki_refs", P.SQL + _NOTES + """, pl AS (SELECT page_num, block_id, n, concat(printf('p%03d-', page_num), n) AS tag FROM rt WHERE kind = 'plain')
-SELECT o.page_num, o.block_id, CASE WHEN type = 'text' AND n IS NOT NULL THEN replace(text, concat(' ', n, ' .'), concat(' <sup><a id="fnref-', tag, '" href="#fn-', tag, '">', n, '</a></sup> .')) ELSE text END AS text FROM o LEFT JOIN pl USING (page_num, block_id)""")
+@query("wiki_refs", P.SQL + _NOTES + """, pl AS (SELECT page_num, block_id, n AS note, concat(printf('p%03d-', page_num), n) AS tag FROM rt WHERE kind = 'plain')
+SELECT o.page_num, o.block_id, CASE WHEN type = 'text' AND note IS NOT NULL THEN replace(text, concat(' ', note, ' .'), concat(' <sup><a id="fnref-', tag, '" href="#fn-', tag, '">', note, '</a></sup> .')) ELSE text END AS text FROM o LEFT JOIN pl USING (page_num, block_id)""")
 def _(spark, sf):
     rows = _cut(_rows(spark, sf))
     return wiki.with_links(rows, footnotes.refs(rows, footnotes.notes(rows))).select("page_num", "block_id", "text")
