@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import sys
 import tempfile
 import uuid
@@ -165,18 +166,24 @@ def text_parts(batch, columns: tuple[str, ...] = ("text",), part: int = PART_BYT
         at = to
 
 
-def hash_words(column, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts of an Arrow string column, in order, and each text's first word; null is empty.
+#: Words longer than this are hashed one by one.
+LONG_WORD = 64
+#: Bytes that belong to words.
+INK = np.ones(256, bool)
+INK[[9, 10, 11, 12, 13, 32]] = False
 
-    Works on the bytes of the whole column at once: each byte has a random 64-bit value, and a word's hash is the polynomial
-    of its bytes' values (differences of prefix sums, freed of their place by inverse powers), mixed with its length.
-    lower: A-Z count as a-z.
+
+def cut(column, ink: np.ndarray = INK, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts of an Arrow string column, begin and end of each maximal run of `ink` bytes within one text, and each text's first run; null is empty.
+
+    lower: A-Z become a-z.
     """
     column = column.cast("large_binary")
     off = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     n = int(off[-1] - off[0])
+    none = np.empty(0, np.int64)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(column) + 1, np.int64)
+        return np.empty(0, np.uint8), none, none, np.zeros(len(column) + 1, np.int64)
     raw = np.frombuffer(column.buffers()[2], np.uint8)[off[0] : off[-1]]
     off = off - off[0]
     if column.null_count:
@@ -184,28 +191,56 @@ def hash_words(column, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
         raw = raw.copy()
         for i in np.flatnonzero(np.asarray(column.is_null())):
             raw[off[i] : off[i + 1]] = 32
-    ink = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    start = ink.copy()
-    start[1:] &= ~ink[:-1]
+    if lower:
+        table = np.arange(256, dtype=np.uint8)
+        table[65:91] += 32
+        raw = table[raw]
+    inked = ink[raw]
+    start = inked.copy()
+    start[1:] &= ~inked[:-1]
     edge = off[(off > 0) & (off < n)]
-    start[edge] = ink[edge]
-    stop = np.zeros(n + 1, bool)  # after a word's last byte
-    stop[1:n] = ink[:-1] & (~ink[1:] | start[1:])
-    stop[n] = ink[-1]
+    start[edge] = inked[edge]
+    stop = np.zeros(n + 1, bool)  # after a run's last byte
+    stop[1:n] = inked[:-1] & (~inked[1:] | start[1:])
+    stop[n] = inked[-1]
     begin, end = np.flatnonzero(start), np.flatnonzero(stop)
-    values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
-    if lower:
-        values[65:91] = values[97:123]
-    power = np.full(n, np.uint64(_ODD))
-    power[0] = 1
-    power = np.cumprod(power, dtype=np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values[raw] * power, dtype=np.uint64, out=sums[1:])
-    inverse = np.full(n, np.uint64(pow(_ODD, -1, 1 << 64)))
-    inverse[0] = 1
-    inverse = np.cumprod(inverse, dtype=np.uint64)
-    h = mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
-    return h, np.searchsorted(begin, off, "left")
+    return raw, begin, end, np.searchsorted(begin, off, "left")
+
+
+def tokens(column, ink: np.ndarray = INK, lower: bool = False) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The runs that `cut` finds as an Arrow array of their own, and each text's first run."""
+    raw, begin, end, first = cut(column, ink, lower)
+    stops = np.zeros(len(begin) + 1, np.int64)
+    np.cumsum(end - begin, out=stops[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(stops), pa.py_buffer(raw[ink[raw]])]), first
+
+
+def hash_words(column, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts of an Arrow string column, in order, and each text's first word; null is empty.
+
+    Works on the bytes of the whole column at once: eight bytes at a time are mixed into the hash of every word that has so many,
+    each step with the finaliser of splitmix64. Words of more than LONG_WORD bytes are hashed one by one by BLAKE2b.
+    lower: A-Z count as a-z.
+    """
+    raw, begin, end, first = cut(column, INK, lower)
+    length = end - begin
+    h = mix(length.astype(np.uint64) + np.uint64(_ODD))
+    if not len(h):
+        return h, first
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw), "<u8", padded, 0, (1,))
+    long = np.flatnonzero(length > LONG_WORD)
+    alive, j = np.flatnonzero(length <= LONG_WORD), 0
+    while len(alive):
+        left = length[alive] - j
+        lane = eight[begin[alive] + j]
+        lane &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * np.maximum(8 - left, 0).astype(np.uint64))
+        h[alive] = mix((h[alive] ^ lane) * np.uint64(_ODD) + np.uint64(j + 1))
+        j += 8
+        alive = alive[left > 8]
+    for i in long:
+        h[i] = int.from_bytes(hashlib.blake2b(raw[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h, first
 
 
 def mix(h: np.ndarray) -> np.ndarray:
