@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, jaccard_join, langid, licenses, merkle, mixing, sentencepieces, substring_dedup, suffix_dedup, toxicity
+from . import exact_dedup, fingerprint, jaccard_join, langid, lexical, licenses, merkle, mixing, sentencepieces, substring_dedup, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": licenses.op9_license_scan,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op11_merkle_manifest": merkle.op11_merkle_manifest,
+        "op13_lexical_search": lexical.op13_lexical_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": exact_dedup.OP8_SQL, "op11_merkle_manifest": merkle.OP11_SQL}
+    return {"op8_exact_dedup": exact_dedup.OP8_SQL, "op11_merkle_manifest": merkle.OP11_SQL, "op13_lexical_search": lexical.OP13_SQL}
