@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprint, jaccard_join, langid, lexical, licenses, merkle, mixing, sentencepieces, substring_dedup, suffix_dedup, toxicity
+from . import exact_dedup, fingerprint, jaccard_join, kneser_ney, langid, lexical, licenses, merkle, mixing, sentencepieces, substring_dedup, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": licenses.op9_license_scan,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op11_merkle_manifest": merkle.op11_merkle_manifest,
+        "op12_lm_scoring": kneser_ney.op12_lm_scoring,
         "op13_lexical_search": lexical.op13_lexical_search,
     }
 
