@@ -200,17 +200,18 @@ def _search(shared, k: int):
     return C.lean(run)
 
 
-def build(docs: DataFrame, vocabulary: list[bytes], scratch: C.Scratch) -> DataFrame:
-    """The index of every row of docs for these terms: a row for each block (ids, terms, first, places, slices)."""
-    spark = docs.sparkSession
-    rows = scratch.keep(postings(docs, vocabulary))
+def weights(rows: DataFrame, vocabulary: list[bytes]) -> tuple[np.ndarray, int, int]:
+    """The weight of each term, how many documents have terms and how many terms they have, from `postings`."""
     n_docs, n_terms = rows.where("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     df = np.zeros(len(vocabulary), np.int64)
     for r in rows.select(F.explode("terms").alias("t")).groupBy("t").count().toLocalIterator():
         df[r["t"]] = r["count"]
-    weight = np.floor(1000 * np.log((2.0 * n_docs + 2) / (2.0 * df + 1))).astype(np.int64)
-    shared = spark.sparkContext.broadcast((np.maximum(weight, 0), n_docs, n_terms))
-    return scratch.keep(rows.mapInArrow(_index(shared), INDEX))
+    return np.maximum(np.floor(1000 * np.log((2.0 * n_docs + 2) / (2.0 * df + 1))).astype(np.int64), 0), n_docs, n_terms
+
+
+def build(rows: DataFrame, stats: tuple[np.ndarray, int, int]) -> DataFrame:
+    """The index of `postings`: a row for each block (ids, terms, first, places, slices)."""
+    return rows.mapInArrow(_index(rows.sparkSession.sparkContext.broadcast(stats)), INDEX)
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, batch_terms: int = BATCH_TERMS) -> DataFrame:
@@ -231,10 +232,13 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, batch_terms: int = BA
         given = rows.where(F.pmod(F.xxhash64("item_id", "h"), F.lit(-(-total // batch_terms))) == i).collect()
         vocabulary = sorted({t.encode() for r in given for t in r["terms"]})
         code = {t: j for j, t in enumerate(vocabulary)}
-        index = build(docs, vocabulary, scratch)
-        shared = spark.sparkContext.broadcast(([np.array([code[t.encode()] for t in r["terms"]], np.int64) for r in given], len(vocabulary)))
+        found = scratch.keep(postings(docs, vocabulary))
+        stats = spark.sparkContext.broadcast(weights(found, vocabulary))
+        asked = spark.sparkContext.broadcast(([np.array([code[t.encode()] for t in r["terms"]], np.int64) for r in given], len(vocabulary)))
         order = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-        found = index.mapInArrow(_search(shared, k), "q int, doc_id bigint, score bigint").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        index, look = _index(stats), _search(asked, k)
+        # each block is searched where it is built, and only what is found leaves the task
+        found = found.mapInArrow(lambda batches, index=index, look=look: look(index(batches)), "q int, doc_id bigint, score bigint").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = spark.createDataFrame([(j, r["item_id"]) for j, r in enumerate(given)], f"q int, item_id {kind.simpleString()}")
         parts.append(scratch.keep(found.join(F.broadcast(names), "q").select("item_id", "rank", "doc_id", "score")))
     out = spark.createDataFrame([], f"item_id {kind.simpleString()}, rank int, doc_id bigint, score bigint")

@@ -80,3 +80,17 @@ def test_sums_of_slices():
 def test_long_products():
     n = np.array([1, 4_000_000_000])
     assert lexical.norm(n, 30_000_000_000, 10_000_000_000_000).tolist() == [10 + 90 * int(x) * 30_000_000_000 // 10_000_000_000_000 for x in n]
+
+
+def test_index_rows(spark):
+    """The index as a table: every posting's impact stands in its block's slices."""
+    rows = made(100)
+    docs = spark.createDataFrame([(*r, 1, 1, "s") for r in rows], SCHEMA).repartition(2)
+    found = lexical.postings(docs, [b"alpha", b"rare5"]).cache()
+    index = lexical.build(found, lexical.weights(found, [b"alpha", b"rare5"])).collect()
+    seen = 0
+    for b in index:
+        for t, a, z in zip(b["terms"], b["first"], b["first"][1:], strict=False):
+            bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint64)[a:z] for x in b["slices"]])
+            seen += int(np.bitwise_count(bits).sum())
+    assert seen == sum(len({"alpha", "rare5"} & set(terms(t))) for _, t in rows)
