@@ -55,7 +55,9 @@ def fit(docs: DataFrame, train: Column | None = None, model: str = L.DEFAULT_MOD
         counts = [L.expected(lat, p[i], weight)[:normal] for i, (lat, weight) in enumerate(own)]
         everywhere = sum(c / max(c.sum(), 1) for c in counts) / len(langs)
         everywhere = (everywhere + 0.01 * start[:normal]) / 1.01
-        p = L.with_fallback(np.stack([(c + PRIOR * everywhere) / (c.sum() + PRIOR) for c in counts]))
+        # the same share of every language, so that pieces which none has learned tell nothing
+        share = PRIOR / (sum(c.sum() for c in counts) / len(langs) + PRIOR)
+        p = L.with_fallback(np.stack([(1 - share) * c / max(c.sum(), 1e-300) + share * everywhere for c in counts]))
     total = np.array([sizes[x] for x in langs], float)
     return Model(langs, p, np.log(total / total.sum()))
 
@@ -68,16 +70,17 @@ def _predict(shared):
             for b in _parts(whole):
                 column = b.column("words")
                 off = column.offsets.to_numpy().astype(np.int64)
-                coded = column.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
-                off = off - off[0]
-                lat = L.build([" " + w for w in coded.dictionary.to_pylist()], v)
-                _, logs, _ = L.forward(lat, p)
-                each = np.maximum(logs, -1e6)[:, lat.where][:, coded.indices.to_numpy()]
-                # each row is summed by itself, so its score doesn't depend on its neighbours
-                full = np.flatnonzero(np.diff(off))
                 z = np.repeat(prior[:, None], b.num_rows, 1)
-                if len(full):
-                    z[:, full] += np.add.reduceat(each, off[:-1][full], 1)
+                # each row is summed by itself, a longer one in steps, so its score doesn't depend on its neighbours
+                for at in range(off[0], off[-1], WORDS_A_CALL):
+                    to = min(at + WORDS_A_CALL, int(off[-1]))
+                    coded = column.values.slice(at, to - at).dictionary_encode()
+                    lat = L.build([" " + w for w in coded.dictionary.to_pylist()], v)
+                    _, logs, _ = L.forward(lat, p)
+                    each = logs[:, lat.where][:, coded.indices.to_numpy()]
+                    own = np.clip(off, at, to) - at
+                    full = np.flatnonzero(np.diff(own))
+                    z[:, full] += np.add.reduceat(each, own[:-1][full], 1)
                 z = np.exp(z - z.max(0)) if len(langs) else z
                 best = z.argmax(0) if len(langs) else None
                 known = b.column("known").to_pylist()

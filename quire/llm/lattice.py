@@ -1,8 +1,10 @@
 """The lattice of vocabulary pieces over short units of text, vectorised over many units at once.
 
 A unit is a run of text that no piece crosses: a word with the space before it. Spaces stand for the vocabulary's word mark;
-a character that is no piece falls back to its bytes. Forward sums are kept in linear scale with a fixed factor per character,
-long units in blocks with a factor of their own, so nothing under- or overflows.
+a character that is no piece falls back to its bytes, and no piece holds it. Forward sums are kept in linear scale: each
+character has a fixed factor, one that falls back such that its only edge weighs 1, and units whose sums leave the range from TINY
+to HUGE all the same are brought back to 1, at every BLOCK characters. As no piece weighs less than LEAST, nothing under- or overflows. Units of
+more than LONG characters are summed by themselves, one character at a time.
 """
 
 from __future__ import annotations
@@ -16,8 +18,10 @@ from . import common as C
 C.by_value(__name__)
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Scale per character of forward sums; the longest unit that is summed without rescaling.
-LIFT, BLOCK = np.exp(3.0), 40
+#: Scale per character of forward sums, and after how many characters they are looked at.
+LIFT, BLOCK, TINY, HUGE = np.exp(3.0), 8, 1e-60, 1e60
+#: The least weight of a piece in sums; units longer than this are summed alone.
+LEAST, LONG = 1e-12, 256
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,6 +51,8 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
     byte_base = next(i for i in range(n) if sp.is_byte(i))
     pieces = [sp.id_to_piece(i).replace("▁", " ") if normal[i] else "" for i in range(n)]
     pieces = [p if p.strip(" ").count(" ") == 0 else "" for p in pieces]  # a piece that crosses words has no place here
+    lone = {p for p in pieces if len(p) == 1}
+    pieces = [p if all(c in lone for c in p) else "" for p in pieces]  # nor one with characters that are no pieces
     order = sorted((i for i in range(n) if pieces[i]), key=lambda i: (-sp.get_score(i), i))
     ranks = np.full(n, n, np.int64)
     ranks[order] = np.arange(len(order))
@@ -136,41 +142,117 @@ def node_of(lat: Lattice) -> np.ndarray:
     return lat.first + np.arange(lat.n_units)
 
 
+def scaled(p: np.ndarray) -> np.ndarray:
+    """Weights for sums: no piece below LEAST, and a fallback's times the scale of its character is 1."""
+    out = np.maximum(p, LEAST)
+    out[..., -5] = 0
+    out[..., -4:] = 1 / LIFT
+    return out
+
+
+def fallback_logs(lat: Lattice, p: np.ndarray) -> np.ndarray:
+    """What `scaled` leaves out of each unit's log sum, for each row of p."""
+    none = p.shape[1] - 5
+    at = np.flatnonzero(lat.ids[0] > none) if len(lat.cp) else np.empty(0, np.int64)
+    if not len(at):
+        return np.zeros((len(p), lat.n_units))
+    unit = np.repeat(np.arange(lat.n_units), lat.length)[at]
+    n = np.stack([np.bincount(unit[lat.ids[0, at] == none + k], minlength=lat.n_units) for k in range(1, 5)])
+    return (np.log(p[:, -4:]) + np.log(LIFT)) @ n
+
+
+def edges_of(lat: Lattice, u: int, none: int) -> list[list[tuple[int, int]]]:
+    """For each character of a unit the (length, piece) of what starts there."""
+    part = lat.ids[:, lat.first[u] : lat.first[u] + lat.length[u]]
+    c, k = np.nonzero(part.T != none)
+    out = [[] for _ in range(int(lat.length[u]))]
+    for i, n, piece in zip(c.tolist(), (k + 1).tolist(), part[k, c].tolist(), strict=True):
+        out[i].append((n, piece))
+    return out
+
+
+def _forward_long(edges: list, p: np.ndarray, most: int) -> tuple[list[float], list[float], float]:
+    """Forward sums of one unit under one row of weights, the log of each node's scale, the log of the last one."""
+    n, p, lift = len(edges), p.tolist(), [float(LIFT**k) for k in range(most + 1)]
+    a, logs, log = [0.0] * (n + 1), [0.0] * (n + 1), 0.0
+    a[0] = 1.0
+    for t, out in enumerate(edges):
+        if t % BLOCK == 0 and not TINY < a[t] < HUGE:
+            top, first, stop = max(a[t : t + most + 1]), max(0, t - most), min(n, t + most) + 1
+            log += float(np.log(top))
+            a[first:stop] = [x / top for x in a[first:stop]]
+            logs[first : t + 1] = [log] * (t + 1 - first)
+        x = a[t]
+        for k, piece in out:
+            a[t + k] += x * (p[piece] * lift[k])
+        logs[t + 1] = log
+    return a, logs, log
+
+
 def forward(lat: Lattice, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Sums over all segmentations up to each node, for each row of p [m, pieces + 5], and the log of each unit's sum.
 
-    Values are scaled by LIFT a character, and after every BLOCK characters of a long unit by what brings the largest back to 1.
-    The logs of these last scales, by node for the first row of p, come third (None if there was no long unit).
+    Values are scaled by LIFT a character and, where they get small, by what brings the largest that is still to be used back to 1.
+    The logs of these last scales, by node for the first row of p, come third (None if there were none).
     """
-    m, base = len(p), node_of(lat)
+    m, base, none, most = len(p), node_of(lat), p.shape[1] - 5, len(lat.ids)
+    w = scaled(p)
     alpha = np.zeros((m, len(lat.cp) + lat.n_units))
     alpha[:, base] = 1
     logs, shift = np.zeros((m, lat.n_units)), None
-    lift = LIFT ** np.arange(1, len(lat.ids) + 1)
+    lift = LIFT ** np.arange(1, most + 1)
+    longer = int(np.searchsorted(-lat.length, -LONG, "left"))
+    for u in range(longer):
+        edges = edges_of(lat, u, none)
+        shift = np.zeros(alpha.shape[1]) if shift is None else shift
+        own = slice(base[u], base[u] + lat.length[u] + 1)
+        for i in range(m):
+            alpha[i, own], scale, logs[i, u] = _forward_long(edges, w[i], most)
+            if i == 0:
+                shift[own] = scale
     alive = lat.n_units
-    for t in range(int(lat.length[0]) if lat.n_units else 0):
+    for t in range(int(lat.length[longer]) if lat.n_units > longer else 0):
         while lat.length[alive - 1] <= t:
             alive -= 1
-        at, node = lat.first[:alive] + t, base[:alive] + t
+        at, node = lat.first[longer:alive] + t, base[longer:alive] + t
         if t and t % BLOCK == 0:
-            shift = np.zeros(alpha.shape[1]) if shift is None else shift
-            first, stop = max(0, t - len(lat.ids)), lat.length[:alive, None]
-            near = base[:alive, None] + np.minimum(np.arange(first, t + len(lat.ids) + 1)[None], stop)
-            top = alpha[:, near].max(2)
-            alpha[:, near] /= top[:, :, None]  # a node that stands twice gets the same value twice
-            logs[:, :alive] += np.log(top)
-            shift[base[:alive, None] + np.minimum(np.arange(first, t + BLOCK + 1)[None], stop)] = logs[0, :alive, None]
-        for k in range(len(lat.ids)):
-            cut = int(np.searchsorted(-lat.length[:alive], -(t + k + 1), "right"))
+            small = longer + np.flatnonzero(((alpha[:, node] < TINY) | (alpha[:, node] > HUGE)).any(0))
+            if len(small):
+                shift = np.zeros(alpha.shape[1]) if shift is None else shift
+                first, stop = max(0, t - most), lat.length[small, None]
+                near = base[small, None] + np.minimum(np.arange(first, t + most + 1)[None], stop)
+                top = alpha[:, near[:, t - first :]].max(2)
+                alpha[:, near] /= top[:, :, None]  # a node that stands twice gets the same value twice
+                logs[:, small] += np.log(top)
+                shift[near[:, : t + 1 - first]] = logs[0, small, None]
+            if shift is not None:
+                moved = longer + np.flatnonzero(logs[0, longer:alive])
+                shift[base[moved, None] + np.minimum(np.arange(t + 1, t + BLOCK + 1)[None], lat.length[moved, None])] = logs[0, moved, None]
+        for k in range(most):
+            cut = int(np.searchsorted(-lat.length[longer:alive], -(t + k + 1), "right"))
             if not cut:
                 break
             ids = lat.ids[k, at[:cut]]
-            hit = np.flatnonzero(ids != p.shape[1] - 5)
+            hit = np.flatnonzero(ids != none)
             if len(hit):
-                alpha[:, node[hit] + k + 1] += alpha[:, node[hit]] * (p[:, ids[hit]] * lift[k])
+                alpha[:, node[hit] + k + 1] += alpha[:, node[hit]] * (w[:, ids[hit]] * lift[k])
     end = alpha[:, base + lat.length]
-    with np.errstate(divide="ignore"):
-        return alpha, np.log(end) + logs - np.log(LIFT) * lat.length, shift
+    return alpha, np.log(end) + logs - np.log(LIFT) * lat.length + fallback_logs(lat, p), shift
+
+
+def _backward_long(edges: list, p: np.ndarray, most: int, a: list[float], logs: list[float], weight: float, out: np.ndarray) -> None:
+    n, p, lift = len(edges), p.tolist(), [float(LIFT**k) for k in range(most + 1)]
+    b = [0.0] * (n + 1)
+    b[n] = weight / a[n]
+    for t in range(n - 1, -1, -1):
+        total = 0.0
+        for k, piece in edges[t]:
+            flow = p[piece] * lift[k] * b[t + k]
+            if logs[t] != logs[t + k]:
+                flow *= float(np.exp(logs[t] - logs[t + k]))
+            total += flow
+            out[piece] += a[t] * flow
+        b[t] = total
 
 
 def expected(lat: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -179,27 +261,31 @@ def expected(lat: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
     Backward sums take the scales of the forward ones, so that their product at a node is that node's share of the unit.
     """
     alpha, _, shift = forward(lat, p[None])
-    alpha, base = alpha[0], node_of(lat)
+    alpha, base, none, most = alpha[0], node_of(lat), len(p) - 5, len(lat.ids)
+    w = scaled(p)
     beta = np.zeros_like(alpha)
     ends = base + lat.length
-    ok = alpha[ends] > 0
-    beta[ends[ok]] = weight[ok] / alpha[ends[ok]]
-    lift = LIFT ** np.arange(1, len(lat.ids) + 1)
+    beta[ends] = weight / alpha[ends]
+    lift = LIFT ** np.arange(1, most + 1)
     out = np.zeros(len(p))
-    alive = 0
-    for t in range((int(lat.length[0]) if lat.n_units else 0) - 1, -1, -1):
+    longer = int(np.searchsorted(-lat.length, -LONG, "left"))
+    for u in range(longer):
+        own = slice(base[u], ends[u] + 1)
+        _backward_long(edges_of(lat, u, none), w, most, alpha[own].tolist(), shift[own].tolist(), float(weight[u]), out)
+    alive = longer
+    for t in range((int(lat.length[longer]) if lat.n_units > longer else 0) - 1, -1, -1):
         while alive < lat.n_units and lat.length[alive] > t:
             alive += 1
-        at, node = lat.first[:alive] + t, base[:alive] + t
-        for k in range(len(lat.ids)):
-            cut = int(np.searchsorted(-lat.length[:alive], -(t + k + 1), "right"))
+        at, node = lat.first[longer:alive] + t, base[longer:alive] + t
+        for k in range(most):
+            cut = int(np.searchsorted(-lat.length[longer:alive], -(t + k + 1), "right"))
             if not cut:
                 break
             ids = lat.ids[k, at[:cut]]
-            hit = np.flatnonzero(ids != len(p) - 5)
+            hit = np.flatnonzero(ids != none)
             if len(hit):
                 start, end = node[hit], node[hit] + k + 1
-                flow = p[ids[hit]] * lift[k] * beta[end]
+                flow = w[ids[hit]] * lift[k] * beta[end]
                 if shift is not None:
                     flow *= np.exp(shift[start] - shift[end])
                 beta[start] += flow
@@ -219,7 +305,7 @@ def sample(lat: Lattice, alpha: np.ndarray, shift: np.ndarray | None, p: np.ndar
     unit_of = np.repeat(np.arange(lat.n_units), lat.length)
     start = c_at + unit_of[c_at]
     end = start + k_at + 1
-    w = alpha[start] * p[lat.ids[k_at, c_at]] * LIFT ** (k_at + 1.0)
+    w = alpha[start] * scaled(p)[lat.ids[k_at, c_at]] * LIFT ** (k_at + 1.0)
     if shift is not None:
         w *= np.exp(shift[start] - shift[end])
     order = np.argsort(end, kind="stable")  # edges come in order of their length
@@ -237,9 +323,7 @@ def sample(lat: Lattice, alpha: np.ndarray, shift: np.ndarray | None, p: np.ndar
         within[i] += within[i - 1]
     last = np.concatenate([heads[1:], [len(w)]]) - 1 if len(heads) else heads
     total = within[last][group] if len(heads) else within
-    with np.errstate(invalid="ignore", divide="ignore"):
-        part = np.where(total > 0, within / total, 1.0)
-    limit = np.minimum(np.floor(part * 2.0**32), 2.0**32 - 1).astype(np.int64)
+    limit = np.minimum(np.floor(within / total * 2.0**32), 2.0**32 - 1).astype(np.int64)
     limit[last] = 2**32 - 1
     key = (end.astype(np.int64) << 32) | limit
     place_of = lat.where[unit]

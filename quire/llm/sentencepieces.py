@@ -21,7 +21,7 @@ from . import lattice as L
 C.by_value(__name__)
 
 SEED = 1
-#: Bytes of text whose lattice is held at a time (some hundred times that in memory); a longer text makes a part of its own.
+#: Bytes of text whose lattice is held at a time (some hundred times that in memory), also within a longer text.
 PART_BYTES = 1 << 19
 
 
@@ -56,10 +56,10 @@ def expand(pieces: np.ndarray, byte_base: int, count: np.ndarray) -> tuple[np.nd
     c = -1 - pieces
     many = np.where(pieces < 0, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF), 1)
     out = np.repeat(pieces, many)
-    at = np.cumsum(many) - many
-    for i in np.flatnonzero(pieces < 0):
-        raw = chr(int(c[i])).encode("utf-8", "surrogatepass")
-        out[at[i] : at[i] + len(raw)] = [byte_base + x for x in raw]
+    lone = pieces < 0
+    if lone.any():
+        raw = "".join(map(chr, c[lone].tolist())).encode("utf-8", "surrogatepass")
+        out[np.repeat(lone, many)] = byte_base + np.frombuffer(raw, np.uint8).astype(np.int64)
     ends = np.concatenate([[0], np.cumsum(many)])
     stop = np.cumsum(count)
     return out.astype(np.int32), ends[stop] - ends[stop - count]
@@ -77,6 +77,27 @@ def byte_table(v: L.Vocabulary) -> list[bytes]:
     return table
 
 
+def spans(units) -> list[tuple[int, int]]:
+    """Ranges of units with about PART_BYTES of text each."""
+    ends = np.frombuffer(units.buffers()[1], np.int64)[units.offset + 1 : units.offset + len(units) + 1] if len(units) else np.empty(0, np.int64)
+    out, at = [], 0
+    while at < len(ends):
+        start = ends[at - 1] if at else ends[0]
+        to = max(at + 1, int(np.searchsorted(ends, start + PART_BYTES, "right")))
+        out.append((at, to))
+        at = to
+    return out
+
+
+def _draw(v: L.Vocabulary, p: np.ndarray, units, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A segmentation of each unit, and how many pieces it has."""
+    coded = units.dictionary_encode()
+    lat = L.build(coded.dictionary.to_pylist(), v)
+    alpha, _, shift = L.forward(lat, p[None])
+    pieces, count, _ = L.sample(lat, alpha[0], shift, p, coded.indices.to_numpy(), stream)
+    return pieces, count
+
+
 def _encode(shared, seed: int, digests: bool):
     def run(batches):
         fields, p = shared.value
@@ -85,15 +106,13 @@ def _encode(shared, seed: int, digests: bool):
         for whole in batches:
             for b in C.text_parts(whole, part=PART_BYTES):
                 units, off = cut_units(b.column("text"))
-                coded = units.dictionary_encode()
-                lat = L.build(coded.dictionary.to_pylist(), v)
-                alpha, _, shift = L.forward(lat, p[None])
                 key = C.mix(b.column("key").to_numpy().view(np.uint64) ^ np.uint64(seed))
                 n = np.diff(off)
                 place = np.arange(off[-1]) - np.repeat(off[:-1], n)
                 stream = C.mix(np.repeat(key, n) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                pieces, count, _ = L.sample(lat, alpha[0], shift, p, coded.indices.to_numpy(), stream)
-                del lat, alpha, shift, units, coded, stream
+                drawn = [_draw(v, p, units[a:z], stream[a:z]) for a, z in spans(units)]
+                pieces, count = (np.concatenate(x) for x in zip(*drawn, strict=True)) if drawn else (np.empty(0, np.int64), np.empty(0, np.int64))
+                del units, stream, drawn
                 stops = np.concatenate([[0], np.cumsum(count)])[off]
                 ids, rows = expand(pieces, v.byte_base, np.diff(stops))
                 ends = np.concatenate([[0], np.cumsum(rows)]).astype(np.int64)

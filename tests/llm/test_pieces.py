@@ -41,8 +41,8 @@ def test_sums_and_expectations(vocabulary):
         total.append(np.log(chance.sum()))
         for x, c in zip(ways, chance / chance.sum(), strict=True):
             np.add.at(use, x, w * c)
-    for block in (40, 3):
-        old, L.BLOCK = L.BLOCK, block
+    for block, tiny, long in ((8, 1e-60, 256), (3, 1e9, 256), (3, 1e9, 5), (8, 1e-60, 1)):
+        old, (L.BLOCK, L.TINY, L.LONG) = (L.BLOCK, L.TINY, L.LONG), (block, tiny, long)
         try:
             lat = L.build(units, v)
             order = np.empty(len(units))
@@ -50,7 +50,7 @@ def test_sums_and_expectations(vocabulary):
             np.testing.assert_allclose(L.forward(lat, p[None])[1][0][lat.where], total, rtol=1e-9)
             np.testing.assert_allclose(L.expected(lat, p, order), use, atol=1e-9)
         finally:
-            L.BLOCK = old
+            L.BLOCK, L.TINY, L.LONG = old
 
 
 def test_round_trip_and_batches(spark):
@@ -107,3 +107,66 @@ def test_executors_need_no_package(vocabulary, tmp_path):
         run = "import pickle, sys; f = lambda n: open(sys.argv[1] + '/' + n, 'rb').read(); k = pickle.loads(f('job'))(f('sent')); print(sum(b.num_rows for b in k([pickle.loads(f('batch'))]))); assert 'quire' not in sys.modules"
         out = subprocess.run([sys.executable, "-c", run, str(tmp_path)], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True)
         assert out.stdout.strip() == "1", out.stderr
+
+
+RARE = "".join(chr(c) for c in range(0x3400, 0x3400 + 200))
+
+
+@pytest.mark.parametrize("run", [RARE[:30], RARE, RARE * 25, "\U0001FAE0" * 200, "\U00020000" * 300])
+def test_runs_of_rare_characters(vocabulary, run):
+    """Sums stay finite and equal those of the parts; what follows such a run is drawn from the lattice and differs between keys."""
+    v, p = vocabulary, L.zipf(vocabulary, 0.3)
+    n_bytes = len(run[0].encode())
+    lone = sum(L.build([c], v).ids[0, 0] > len(v.pieces) for c in set(run))
+    assert lone == len(set(run))
+    p = p.copy()
+    p[[vocabulary.pieces.index(x) for x in ("the", "th", "he", "t", "h", "e")]] = 0.3, 0.1, 0.1, 0.5, 0.4, 0.3
+    both = np.stack([p, L.zipf(vocabulary, 1.0)])
+    lat = L.build([f" the{run}", " the"], v)
+    _, logs, _ = L.forward(lat, both)
+    whole, short = logs[:, lat.where[0]], logs[:, lat.where[1]]
+    np.testing.assert_allclose(whole, short + len(run) * np.log(both[:, len(v.pieces) + n_bytes]), rtol=1e-9)
+    use = L.expected(lat, p, np.ones(2))
+    assert np.isfinite(use).all() and use[len(v.pieces) + n_bytes] == pytest.approx(len(run), rel=1e-6)
+    unit = f" {run}the"
+    lat = L.build([unit], v)
+    alpha, _, shift = L.forward(lat, p[None])
+    n = 20000 if len(run) < 1000 else 300
+    pieces, count, stop = L.sample(lat, alpha[0], shift, p, np.zeros(n, np.int64), common.mix(np.arange(n)))
+    seen = {}
+    for i in range(n):
+        own = pieces[stop[i] - count[i] : stop[i]]
+        tail = tuple(own[len(run) + 1 :].tolist())
+        seen[tail] = seen.get(tail, 0) + 1
+        assert (own[1 : len(run) + 1] == [-1 - ord(c) for c in run]).all() if i < 3 else True
+    ways = {tuple(x): np.prod(p[x]) for x in segmentations("the", v)}
+    assert set(seen) <= set(ways)
+    for k, w in ways.items():
+        want = n * w / sum(ways.values())
+        assert abs(seen.get(k, 0) - want) < 5 * want**0.5 + 3
+
+
+def test_languages_with_rare_characters(spark):
+    """A foreign run in a text, or in the training texts, leaves scores finite and the language right."""
+    english = ["the house and the garden of the king", "a man went to the city with his friend", "there is nothing that the people want"]
+    french = ["la maison et le jardin du roi", "un homme est allé dans la ville avec son ami", "il n'y a rien que les gens veulent"]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(f"{t} {i}", "en") for i in range(20) for t in english] + [(f"{t} {i}", "fr") for i in range(20) for t in french])]
+    train = spark.createDataFrame([*rows, (900, f"the {RARE} king", "en"), (901, "本" * 500, "fr")], "doc_id bigint, text string, lang string")
+    model = langid.fit(train)
+    assert np.isfinite(model.p).all()
+    given = [(1, f"the people of {RARE[:30]} want the garden", "en"), (2, f"les gens {RARE * 25} dans la ville", "fr"), (3, "the man " + "😀" * 200 + " and the friend", "en"), (4, RARE * 25, None), (5, "日" * 5000 + " the king of the city", "en")]
+    got = langid.predict(spark.createDataFrame([(i, t) for i, t, _ in given], "doc_id bigint, text string"), model).collect()
+    for r in got:
+        assert 0 <= r["score"] <= 1 and r["score"] == r["score"]
+        assert given[r["doc_id"] - 1][2] in (None, r["lang_pred"])
+
+
+def test_a_million_characters_without_a_space(vocabulary):
+    import time
+
+    v = vocabulary
+    text = " " + "".join(chr(0x4E00 + (i * i) % 3000) for i in range(400_000)) + "thecat" * 100_000
+    began = time.time()
+    pieces, count = sentencepieces._draw(v, L.zipf(v), pa.array([text], pa.large_string()), np.array([7], np.uint64))
+    ids, _ = sentencepieces.expand(pieces, v.byte_base, count)
+    assert sentencepieces.decode_ids(ids.tolist(), sentencepieces.byte_table(v)) == text[1:] and time.time() - began < 60

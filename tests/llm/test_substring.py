@@ -32,3 +32,19 @@ def test_brute(spark, monkeypatch, hot, flush):
     got = substring_dedup.remove_repeats(docs.repartition(7), hot=hot).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in got} == want
     assert len(got) == len(want) and sum(n for _, n, _ in want.values()) > 0
+
+
+def test_words_whose_polynomials_are_equal(spark):
+    """The doubling sequence of a and b and its complement are different words: nothing is removed, nothing linked."""
+    from quire.llm import jaccard_join
+
+    rest, rows = " ".join(f"w{i}" for i in range(12)), []
+    for size in (1024, 2048):
+        word = "a"
+        while len(word) < size:
+            word += word.translate(str.maketrans("ab", "ba"))
+        rows += [(len(rows) + 1, f"{word} {rest} {size}"), (len(rows) + 2, f"{word.translate(str.maketrans('ab', 'ba'))} {rest} {size}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert all(r["n_removed"] == 0 for r in substring_dedup.remove_repeats(docs.where("doc_id < 3")).collect())
+    pairs = spark.createDataFrame([(i, t.split()[0] + " x") for i, t in rows], "doc_id bigint, text string")
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard_join.jaccard_components(pairs, 1, 30, 100).where("doc_id < 3").collect())
