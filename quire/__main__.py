@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--page-range")
     run.add_argument("--dpi", type=int)
     run.add_argument("--no-crops", action="store_true")
+    run.add_argument("--force", action="store_true", help="also volumes that haven't changed")
     merge = sub.add_parser("merge-graphs")
     merge.add_argument("out")
     merge.add_argument("inputs", nargs="+")
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
         io.volumes_table(spark, volumes)  # slugs must differ over all roots
         for root in sorted({v.output_root for v in volumes}):
             own = [v for v in volumes if v.output_root == root]
-            took = volume.run(spark, io.read_volumes(spark, root, own), io.volumes_table(spark, own), f"{root}/tables", root)
+            took = volume.run(spark, io.read_volumes(spark, root, own), io.volumes_table(spark, own), f"{root}/tables", root, a.force)
             for name, seconds in took.items():
                 print(f"{root}\t{name}\t{seconds:.2f}")
         return 0

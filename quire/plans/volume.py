@@ -98,22 +98,67 @@ def documents(tables: dict[str, DataFrame], volumes: DataFrame, as_of: str, pref
     }
 
 
-def run(spark: SparkSession, raw_pages: DataFrame, volumes: DataFrame, out: str, files: str | None = None) -> dict[str, float]:
-    """Write the structure tables and timings as Parquet under out, by volume, and the files of all volumes under files, if given."""
-    from ..sources import io
+def inputs(raw_pages: DataFrame, volumes: DataFrame) -> DataFrame:
+    """part, digest of every volume: what its tables are made from, its own row and all of its pages."""
+    page = F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(raw_pages.columns)])), 256)
+    pages = raw_pages.groupBy("volume_slug").agg(F.array_sort(F.collect_list(F.struct("page_num", page.alias("d")))).alias("pages"))
+    own = volumes.select("volume_slug", F.to_json(F.struct(*[F.col(c) for c in sorted(volumes.columns)])).alias("own")).join(pages, "volume_slug", "left")
+    return own.select(F.col("volume_slug").alias("part"), F.sha2(F.concat_ws("|", "own", F.to_json("pages")), 256).alias("digest"))
+
+
+FILES = "volume_slug string, path string, sha string"
+LOG = "volume_slug string, date string, slug string, pages bigint, articles bigint"
+
+
+def run(spark: SparkSession, raw_pages: DataFrame, volumes: DataFrame, out: str, files: str | None = None, force: bool = False, date: str | None = None) -> dict[str, float]:
+    """Write the structure tables, timings and the log under out, by volume, and the files of all volumes under files, if given.
+
+    Volumes whose pages and configuration are as they were when their tables were made are skipped (unless force). The others'
+    tables replace the old ones at once, when all of them are written; their files are rewritten where they differ, and removed
+    where a volume no longer has them. The log gets one entry for each date and volume. `commits.Store(spark, out).read` reads
+    the tables. Returns the seconds that each stage took; nothing if there was nothing to do.
+    """
+    from ..sources import commits, io
 
     took: dict[str, float] = {}
+    store = commits.Store(spark, out)
+    commit = store.begin()
+    todo = inputs(raw_pages, volumes)
+    if not force:
+        todo = todo.join(store.manifest().select("part", "digest"), ["part", "digest"], "left_anti")
+    todo = store.write("_inputs", commit, todo)
+    if todo.isEmpty():
+        commits.remove(spark, f"{out}/_inputs/commit={commit}")
+        return took
+    own = todo.select(F.col("part").alias("volume_slug"))
+    raw_pages, volumes = raw_pages.join(own, "volume_slug", "left_semi"), volumes.join(own, "volume_slug", "left_semi")
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         with stage(name, took):
-            writer = df.write.mode("overwrite")
-            (writer.partitionBy("volume_slug") if "volume_slug" in df.columns else writer).parquet(f"{out}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{out}/{name}").select(df.columns)
+            return store.write(name, commit, df)
 
     tables = structure(raw_pages, volumes, keep=keep)
     keep("crops", render.crop_manifest(tables["ordered"]))
-    for name, df in documents(tables, volumes, "1970-01-01T00:00:00").items() if files else ():
-        with stage(name, took):
-            io.write_files(df, files)
+    if files:
+        before = store.read("files", FILES).join(own, "volume_slug", "left_semi")
+        made = None
+        for name, df in documents(tables, volumes, "1970-01-01T00:00:00").items():
+            with stage(name, took):
+                df = store.write(f"_files_{name}", commit, df.select("path", "content"))
+                list_of = df.select(F.substring_index("path", "/", 1).alias("volume_slug"), "path", F.sha2(F.coalesce("content", F.lit("")), 256).alias("sha"))
+                made = list_of if made is None else made.unionByName(list_of)
+                same = before.join(list_of, ["path", "sha"], "left_semi").select("path")
+                io.write_files(df.join(same, "path", "left_anti"), files)
+        made = keep("files", made)
+        io.remove_files(before.join(made, "path", "left_anti"), files)
+    entry = tables["ordered"].groupBy("volume_slug").agg(F.count_distinct("page_num").alias("pages")).join(tables["articles"].groupBy("volume_slug").agg(F.count_if(F.col("num") > 0).alias("articles")), "volume_slug", "left")
+    entry = entry.select("volume_slug", F.lit(date or time.strftime("%Y-%m-%d")).alias("date"), F.col("volume_slug").alias("slug"), "pages", F.coalesce("articles", F.lit(0)).alias("articles"))
+    before = store.read("log", LOG).join(own, "volume_slug", "left_semi")
+    keep("log", before.unionByName(io.log_entries(before, entry)))
     keep("timings", timings(spark.createDataFrame(list(took.items()), "stage string, seconds double")))
+    store.publish(commit, todo)
+    for name in commits.children(spark, out):
+        if name.startswith(("_files_", "_inputs")):
+            commits.remove(spark, f"{out}/{name}/commit={commit}")
+    store.vacuum()
     return took

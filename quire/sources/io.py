@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from dataclasses import dataclass, field, fields
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph
 from ..schemas import RAW_PAGE
+from .interim import InterimPages, opened
 
 
 @dataclass
@@ -68,18 +70,23 @@ def volumes_table(spark: SparkSession, volumes: list[Volume]) -> DataFrame:
     return spark.createDataFrame(rows, "volume_slug string, series_name string, publisher string, editor string, volume_title string, volume_number int, volume_number_roman string, volume_year int, language string, toc_section_labels array<string>, printed_page_offset int")
 
 
-def read_interim(spark: SparkSession, root: str, page_range: tuple[int, int] | None = None) -> DataFrame:
-    """Interim pages under root/<slug>/interim/page_*.json, with volume_slug from the path; page_range is inclusive."""
-    pages = spark.read.schema(RAW_PAGE).option("multiLine", True).json(f"{root}/*/interim/page_*.json")
-    pages = pages.withColumn("volume_slug", F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/interim/[^/]+$", 1))
+def read_interim(spark: SparkSession, root: str, page_range: tuple[int, int] | None = None, volumes: dict[str, tuple[int, int] | None] | None = None) -> DataFrame:
+    """Interim pages under root/<slug>/interim/page_<n>.json, with volume_slug from the path.
+
+    page_range is inclusive; volumes: the slugs to read, each with a range of its own or None. Files of other volumes or with
+    numbers outside the range are not opened. A file that isn't a JSON object gives no page.
+    """
+    spark.dataSource.register(InterimPages)
+    source = spark.read.format("interim_pages").option("path", root).option("pages", json.dumps(page_range or (None, None)))
+    if volumes is not None:
+        source = source.option("ranges", json.dumps({s: r or (None, None) for s, r in volumes.items()}))
+    pages = source.load().select("volume_slug", F.from_json("value", RAW_PAGE).alias("p")).where("p.page_num is not null").select("volume_slug", "p.*")
     return pages.where(F.col("page_num").between(*page_range)) if page_range else pages
 
 
 def read_volumes(spark: SparkSession, root: str, volumes: list[Volume]) -> DataFrame:
-    """Interim pages of these volumes under one root, each within its own page range."""
-    ranges = spark.createDataFrame([(v.slug, *(v.page_range or (None, None))) for v in volumes], "volume_slug string, _first int, _last int")
-    pages = read_interim(spark, root).join(F.broadcast(ranges), "volume_slug")
-    return pages.where("_first is null or page_num between _first and _last").drop("_first", "_last")
+    """Interim pages of these volumes under one root, each within its own page range; no other file is opened."""
+    return read_interim(spark, root, volumes={v.slug: v.page_range for v in volumes})
 
 
 def missing_pages(index: DataFrame, interim: DataFrame) -> DataFrame:
@@ -148,9 +155,7 @@ def write_files(rows: DataFrame, root: str) -> None:
         raise IllegalArgumentException("paths must be relative and may not hold ..")
 
     def write(part):
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
+        store, base = opened(root)
         for r in part:
             target = f"{base}/{r['path']}"
             store.create_dir(target.rsplit("/", 1)[0], recursive=True)
@@ -160,6 +165,20 @@ def write_files(rows: DataFrame, root: str) -> None:
     rows.select("path", "content").foreachPartition(write)
 
 
+def remove_files(rows: DataFrame, root: str) -> None:
+    """Remove the files (path) under root; those that are gone already are left at that."""
+
+    def remove(part):
+        from pyarrow import fs
+
+        store, base = opened(root)
+        for r in part:
+            if store.get_file_info(f"{base}/{r['path']}").type == fs.FileType.File:
+                store.delete_file(f"{base}/{r['path']}")
+
+    rows.select("path").foreachPartition(remove)
+
+
 def log_entries(log: DataFrame, new: DataFrame) -> DataFrame:
     """Entries to append: those whose date and slug the log lacks."""
     return new.join(log.select("date", "slug").distinct(), ["date", "slug"], "left_anti").dropDuplicates(["date", "slug"])
