@@ -1,4 +1,4 @@
-"""python -m quire run CONFIG... | merge-graphs OUT IN... | init-wiki DIR | add-volume CORPUS GRAPH [--wiki DIR]"""
+"""python -m quire run CONFIG... | order ROOT SLUG [--page N] | merge-graphs OUT IN... | init-wiki DIR | add-volume CORPUS GRAPH [--wiki DIR] | follow SOURCE CORPUS CHECKPOINT | export CORPUS OUT"""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import argparse
 import os
 import shutil
 import sys
+import time
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -28,6 +29,16 @@ def main(argv: list[str] | None = None) -> int:
     add.add_argument("corpus")
     add.add_argument("graph")
     add.add_argument("--wiki", help="folder of the volume's pages, <slug>/wiki")
+    add.add_argument("--date", help="of the entry in the log, today by default")
+    order = sub.add_parser("order", help="print the blocks of a volume's pages in reading order")
+    order.add_argument("root")
+    order.add_argument("slug")
+    order.add_argument("--page", type=int)
+    follow = sub.add_parser("follow", help="merge node files into a corpus in buckets as they arrive")
+    export = sub.add_parser("export", help="write a corpus in buckets as one JSON-LD document")
+    for x, names in ((follow, ("source", "corpus", "checkpoint")), (export, ("corpus", "out"))):
+        for name in names:
+            x.add_argument(name)
     a = p.parse_args(argv)
     pages = None
     if a.command == "run" and a.page_range:
@@ -50,9 +61,10 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
-    from .operators import graph, wiki
+    from .operators import blocks, graph, layout, wiki
     from .plans import volume
     from .sources import io
+    from .streaming import merge
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "run":
@@ -64,23 +76,45 @@ def main(argv: list[str] | None = None) -> int:
             for name, seconds in took.items():
                 print(f"{root}\t{name}\t{seconds:.2f}")
         return 0
-    paths = a.inputs if a.command == "merge-graphs" else [x for x in (os.path.join(a.corpus, "graph", "corpus.jsonld"),) if os.path.exists(x)] + [a.graph]
-    out = a.out if a.command == "merge-graphs" else os.path.join(a.corpus, "graph", "corpus.jsonld")
+    if a.command == "order":
+        pages = io.read_interim(spark, a.root, (a.page, a.page) if a.page is not None else None, {a.slug: None})
+        found = layout.reading_order(layout.detect_columns(layout.pages_of(blocks.describe(blocks.unify(blocks.extract_blocks(pages))))))
+        for r in found.select("page_num", "reading_pos", "col", "type", "block_id", F.substring("text", 1, 60).alias("text")).orderBy("page_num", "reading_pos").toLocalIterator():
+            print(*("" if x is None else x for x in r), sep="\t")
+        return 0
+    if a.command == "follow":
+        merge.start(spark, a.source, a.corpus, a.checkpoint).awaitTermination()
+        return 0
+    if a.command == "export":
+        io.write_graph(merge.corpus(spark, a.corpus), a.out)
+        return 0
+    known = os.path.join(getattr(a, "corpus", ""), "graph", "corpus.jsonld")
+    paths, out = (a.inputs, a.out) if a.command == "merge-graphs" else ([x for x in (known,) if os.path.exists(x)] + [a.graph], known)
     nodes = graph.merge(io.read_graphs(spark, paths))
-    document = io.graph_text(nodes).first()["document"]
-    if a.command == "add-volume":
-        pages = wiki.index_page(nodes)
-        if a.wiki:
-            slug = os.path.basename(os.path.dirname(os.path.abspath(a.wiki)))
-            new = io.read_wiki(spark, os.path.abspath(a.wiki)).withColumn("volume_slug", F.lit(slug))
-            pages = pages.unionByName(wiki.add_volumes(new, io.read_wiki(spark, os.path.abspath(a.corpus))))
-        # the pages read are among those written, so that all of them are made first
-        made = os.path.join(a.corpus, ".made")
-        pages.write.mode("overwrite").parquet(made)
-        io.write_files(spark.read.parquet(made), a.corpus)
-        shutil.rmtree(made)
-    with open(out, "w", encoding="utf-8") as f:
-        f.write(document)
+    if a.command == "merge-graphs":
+        io.write_graph(nodes, out, io.read_context(spark, paths))
+        return 0
+    # what is read is among what is written, so that all of it is made first
+    made = os.path.join(a.corpus, ".made")
+    nodes.write.mode("overwrite").parquet(f"{made}/nodes")
+    nodes = spark.read.parquet(f"{made}/nodes")
+    slug = os.path.basename(a.graph).removesuffix(".jsonld")
+    counts = [0, 0, 0]
+    if a.wiki:
+        new = io.read_wiki(spark, os.path.abspath(a.wiki)).withColumn("volume_slug", F.lit(slug))
+        before = io.read_wiki(spark, os.path.abspath(a.corpus))
+        wiki.add_volumes(new, before).write.mode("overwrite").parquet(f"{made}/pages")
+        pages = spark.read.parquet(f"{made}/pages")
+        here = before.select("path", F.lit(True).alias("old"))
+        kinds = pages.join(here, "path", "left").groupBy(F.split("path", "/")[0].alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.count("old").alias("old")).collect()
+        by = {r["kind"]: (r["n"], r["old"]) for r in kinds}
+        people = by.get("people", (0, 0))
+        counts = [by.get("articles", (0, 0))[0], people[0] - people[1], people[1]]
+        io.write_files(pages, a.corpus)
+    io.write_ordered(wiki.index_rows(nodes), os.path.join(a.corpus, "index.md"), wiki.INDEX_HEAD, "\n", "\n")
+    io.write_graph(nodes, out, io.read_context(spark, paths))
+    io.append_log(os.path.join(a.corpus, "log.md"), a.date or time.strftime("%Y-%m-%d"), slug, [f"articles added: {counts[0]}", f"people: {counts[1]} new, {counts[2]} merged", "graph/corpus.jsonld merged"])
+    shutil.rmtree(made)
     return 0
 
 

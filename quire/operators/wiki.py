@@ -204,10 +204,14 @@ def index_lines(nodes: DataFrame) -> DataFrame:
     return rows.where(part.isNotNull()).select(part.alias("part"), F.struct(key.alias("by"), F.col("node_id").alias("id")).alias("key"), line.alias("line")).unionByName(rest)
 
 
-def index_page(nodes: DataFrame) -> DataFrame:
-    """path, content: the index, one file of all lines, made in two steps so that no row but the last holds more than one part."""
-    parts = index_lines(nodes).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "line"))), lambda r: r["line"]), "\n").alias("_b"))
+#: What stands above the index's lines.
+INDEX_HEAD = "# Index\n\nAll pages by class. Cite by the id that stands beside each.\n"
+
+
+def index_rows(nodes: DataFrame) -> DataFrame:
+    """key, line: the lines of the index and the headings of its parts; `io.write_ordered` makes the file, which no row holds as a whole."""
+    lines = index_lines(nodes)
     counted = lambda title: F.format_string(f"## {title} (%d)", "n")
     title = F.when(F.col("part") == 0, "## Series").when(F.col("part") == 1, counted("Volumes")).when(F.col("part") == 2, counted("Articles")).when(F.col("part") == 3, counted("People")).otherwise("## Other nodes of the graph")
-    parts = parts.withColumn("_b", F.concat(title, F.lit("\n\n"), "_b", F.lit("\n")))
-    return parts.agg(F.concat(F.lit("# Index\n\nAll pages by class. Cite by the id that stands beside each.\n\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "_b"))), lambda r: r["_b"]), "\n")).alias("content")).select(F.lit("index.md").alias("path"), "content")
+    heads = lines.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(F.struct("part", F.lit(0).alias("rank"), F.struct(F.lit("").alias("by"), F.lit("").alias("id")).alias("key")).alias("key"), F.concat(F.lit("\n"), title, F.lit("\n")).alias("line"))
+    return heads.unionByName(lines.select(F.struct("part", F.lit(1).alias("rank"), "key").alias("key"), "line"))

@@ -108,11 +108,95 @@ def read_graphs(spark: SparkSession, paths: list[str]) -> DataFrame:
     return nodes.select("source_ord", "node_pos", F.get_json_object("node", "$.@id").alias("node_id"), types.alias("types"), props.alias("props"))
 
 
-def graph_text(merged: DataFrame, context: str = "{}") -> DataFrame:
-    """One row with the JSON-LD document of merged nodes, in the order they were first seen."""
-    body = graph.node_json()
-    rows = F.array_sort(F.collect_list(F.struct("seen", body.alias("b"))))
-    return merged.agg(F.concat(F.lit(f'{{"@context":{context},"@graph":['), F.array_join(F.transform(rows, lambda r: r["b"]), ",\n"), F.lit("]}")).alias("document"))
+def read_context(spark: SparkSession, paths: list[str]) -> str:
+    """The context of the first of these JSON-LD documents, as JSON; empty where it has none."""
+    value = F.to_json(F.variant_get(F.parse_json("value"), F.lit("$['@context']"), "variant"))
+    return (spark.read.text(paths[0], wholetext=True).select(value.alias("c")).first()["c"] or "{}") if paths else "{}"
+
+
+def write_graph(nodes: DataFrame, path: str, context: str = "{}") -> None:
+    """Write the JSON-LD document of merged nodes (node_id, types, props, seen), in the order they were first seen."""
+    write_ordered(nodes.select(F.col("seen").alias("key"), graph.node_json().alias("line")), path, f'{{"@context":{context},"@graph":[', "]}", ",\n")
+
+
+def write_ordered(rows: DataFrame, path: str, head: str = "", tail: str = "", sep: str = "\n", in_place: bool | None = None) -> None:
+    """Write one file of all lines in order of key (key, line), with sep between them, head before and tail after.
+
+    Rows are sorted by range; each task writes its part to a file of its own and tells its length, the running sums of which are
+    the parts' places. On a file system that all executors share the parts are then copied to their places side by side
+    (in_place), elsewhere by one task that streams them. The file appears when it is whole. Only lengths reach the driver.
+    """
+    import uuid
+
+    from pyarrow import fs
+
+    spark, mark = rows.sparkSession, uuid.uuid4().hex
+    store, target = opened(path)
+    in_place = isinstance(store, fs.LocalFileSystem) if in_place is None else in_place
+    parts, made, glue = f"{path}.parts-{mark}", f"{path}.new-{mark}", sep.encode()
+
+    def put(batches):
+        import uuid
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        store, base = opened(parts)
+        name, size, first = uuid.uuid4().hex, 0, True
+        with store.open_output_stream(f"{base}/{name}") as out:
+            for b in batches:
+                for x in b.column("line").to_pylist():
+                    line = (b"" if first else glue) + (x or "").encode()
+                    size, first = size + out.write(line), False
+        if not first:
+            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "name": [name], "size": [size]})
+
+    store.create_dir(opened(parts)[1], recursive=True)
+    sorted_rows = rows.select("key", "line").repartitionByRange("key").sortWithinPartitions("key").select("line")
+    found = sorted(map(tuple, sorted_rows.mapInArrow(put, "part bigint, name string, size bigint").collect()))
+    places, at = [], len(head.encode())
+    for _, name, size in found:
+        at += len(glue) if places else 0
+        places.append((name, at))
+        at += size
+
+    def copy(part):
+        store, base = opened(parts)
+        with open(opened(made)[1], "r+b") as out:
+            for name, place in part:
+                out.seek(place)
+                if place > len(head.encode()):
+                    out.seek(place - len(glue))
+                    out.write(glue)
+                with store.open_input_stream(f"{base}/{name}") as given:
+                    while x := given.read(1 << 24):
+                        out.write(x)
+
+    def stream(part):
+        store, base = opened(parts)
+        with store.open_output_stream(opened(made)[1]) as out:
+            out.write(head.encode())
+            for i, (name, _) in enumerate(part):
+                out.write(glue if i else b"")
+                with store.open_input_stream(f"{base}/{name}") as given:
+                    while x := given.read(1 << 24):
+                        out.write(x)
+            out.write(tail.encode())
+
+    listed = spark.createDataFrame(places, "name string, place bigint")
+    if not places:
+        with store.open_output_stream(opened(made)[1]) as out:
+            out.write((head + tail).encode())
+    elif in_place:
+        with open(opened(made)[1], "wb") as out:
+            out.write(head.encode())
+            out.seek(at)
+            out.write(tail.encode())
+        listed.repartition(max(1, len(places))).foreachPartition(copy)
+    else:
+        listed.coalesce(1).sortWithinPartitions("place").foreachPartition(stream)
+    store.move(opened(made)[1], target)
+    store.delete_dir(opened(parts)[1])
 
 
 def read_pages(spark: SparkSession, glob: str) -> DataFrame:
@@ -179,6 +263,24 @@ def remove_files(rows: DataFrame, root: str) -> None:
     rows.select("path").foreachPartition(remove)
 
 
+def append_log(path: str, date: str, slug: str, lines: list[str]) -> bool:
+    """Add an entry to a log of Markdown sections, unless it has one of this date and slug; False then. The headings are fixed by the log's format."""
+    from pyarrow import fs
+
+    store, target = opened(path)
+    before = "# Log"
+    if store.get_file_info(target).type == fs.FileType.File:
+        with store.open_input_stream(target) as f:
+            before = f.read().decode()
+    heading = f"## [{date}] add-volume | {slug}\n"
+    if heading in before:
+        return False
+    text = before.rstrip() + "\n\n" + heading + "".join(f"- {x}\n" for x in lines)
+    with store.open_output_stream(target) as out:
+        out.write(text.encode())
+    return True
+
+
 def log_entries(log: DataFrame, new: DataFrame) -> DataFrame:
     """Entries to append: those whose date and slug the log lacks."""
     return new.join(log.select("date", "slug").distinct(), ["date", "slug"], "left_anti").dropDuplicates(["date", "slug"])

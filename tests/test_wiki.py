@@ -80,7 +80,8 @@ def test_merge_people(spark):
 
 def test_index(spark):
     rows = [("d:series/s", ["PublicationSeries"], {"name": '"S"'}), ("d:vol/b", ["PublicationVolume", "Book"], {"name": '"V I"', "datePublished": '"2001"'}), ("d:vol/c", ["PublicationVolume", "Book"], {"name": '"V"', "datePublished": '"1999"'}), ("d:person/z", ["Person"], {"name": '"A"'}), ("d:person/a", ["Person"], {"name": '"B"'}), ("d:x/1", ["WebPage"], {}), ("d:x/2", ["WebPage"], {})]
-    got = wiki.index_page(spark.createDataFrame(rows, "node_id string, types array<string>, props map<string,string>")).first()["content"]
+    lines = wiki.index_rows(spark.createDataFrame(rows, "node_id string, types array<string>, props map<string,string>")).orderBy("key").collect()
+    got = wiki.INDEX_HEAD + "\n".join(r["line"] for r in lines) + "\n"
     assert got.endswith("## Series\n\n- [S](series.md) · `d:series/s`\n\n## Volumes (2)\n\n- [V (1999)](volumes/c.md) · `d:vol/c`\n- [V I (2001)](volumes/b.md) · `d:vol/b`\n\n## People (2)\n\n- [A](people/z.md) · `d:person/z`\n- [B](people/a.md) · `d:person/a`\n\n## Other nodes of the graph\n\n- WebPage: 2\n")
 
 
@@ -130,6 +131,8 @@ def test_run_and_add_volume(spark, tmp_path):
     assert "](../articles/vol-001-2000-art01.md)" in (corpus / "volumes/vol-001-2000.md").read_text() and "- [Eva Maier](people/eva-maier.md)" in (corpus / "index.md").read_text()
     page = corpus / "articles/vol-001-2000-art01.md"
     page.write_text(page.read_text().replace("## Summary\n\n*To be added.*", "## Summary\n\nmine"))
+    log = (corpus / "log.md").read_text()
+    assert log.count("add-volume | vol-001-2000\n- articles added: 2\n- people: 2 new, 0 merged\n") == 1
     before = {p: p.read_text() for p in corpus.rglob("*.md")}
     assert main(add) == 0
     assert {p: p.read_text() for p in corpus.rglob("*.md")} == before and "## Summary\n\nmine" in page.read_text()
