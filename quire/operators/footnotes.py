@@ -110,12 +110,7 @@ def with_html(rows: DataFrame, linked: DataFrame, found: DataFrame) -> DataFrame
 def link_markers(c: Column, targets: Column) -> Column:
     """HTML with `<sup>N</sup>` and `N^` in its text as links to targets (array of n, target_id); as it is where there are none.
 
-    Raised numbers without a note get the class only; tags are left alone.
+    Text nodes alone are looked at, in tables within tables as elsewhere; what is left open is closed, and end tags of nothing go.
+    Raised numbers without a note get the class only, and one that holds a link is left as it is.
     """
-    caret = "(?<![0-9]){}\\^(?![^<]*>)"
-    link = lambda t: F.concat(F.lit('<sup class="fn-ref"><a href="#'), t["target_id"], F.lit('">'), t["n"].cast("string"), F.lit("</a></sup>"))
-    number = lambda t: F.concat(F.lit("0*"), t["n"].cast("string"))
-    one = lambda s, t: F.regexp_replace(F.regexp_replace(s, F.concat(F.lit("<sup>\\s*"), number(t), F.lit("\\s*</sup>")), link(t)), F.concat(F.lit("(?<![0-9])"), number(t), F.lit("\\^(?![^<]*>)")), link(t))
-    done = F.aggregate(targets, c, one)
-    done = F.regexp_replace(F.regexp_replace(done, "<sup>(\\s*[0-9]+\\s*)</sup>", '<sup class="fn-ref">$1</sup>'), caret.format("([0-9]{1,3})"), '<sup class="fn-ref">$1</sup>')
-    return F.when(F.coalesce(F.size(targets), F.lit(0)) > 0, done).otherwise(c)
+    return T.link_numbers(c, F.transform(targets, lambda t: t["n"]), F.transform(targets, lambda t: t["target_id"]))

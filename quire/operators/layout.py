@@ -19,11 +19,28 @@ def pages_of(blocks: DataFrame, keys: tuple[str, ...] = ("volume_slug", "page_nu
     return fixed(blocks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("emit_pos", *[c for c in fields if c != "emit_pos"]))).alias("blocks")))
 
 
-def detect_columns(pages: DataFrame, min_blocks: int = 2, width: float = 0.6, min_gap: float = 0.06) -> DataFrame:
-    """Add cols (l0, l1, r0, r1), null on pages of one column: blocks either side of the widest gap between block centres."""
+def masthead_top(blocks: Column) -> Column:
+    """Where the columns of a page begin: the top of the highest block that stands beside another, null if none does.
+
+    Beside: one ends before the other starts, and their heights overlap. Of a pair the upper top counts; as that is the top of a
+    block that has a neighbour, and no block with one lies higher than its pair, it is enough to ask each block for a neighbour.
+    """
+    inside = F.filter(blocks, lambda b: ~b["type"].isin(*SPANNING))
+    beside = lambda a, b: (a["emit_pos"] != b["emit_pos"]) & (F.least(a["y2"], b["y2"]) > F.greatest(a["y1"], b["y1"])) & ((a["x2"] <= b["x1"]) | (b["x2"] <= a["x1"]))
+    return F.array_min(F.transform(F.filter(inside, lambda a: F.exists(inside, lambda b: beside(a, b))), lambda b: b["y1"]))
+
+
+def detect_columns(pages: DataFrame, min_blocks: int = 2, width: float = 0.6, min_gap: float = 0.06, masthead: bool = False) -> DataFrame:
+    """Add cols (l0, l1, r0, r1), null on pages of one column: blocks either side of the widest gap between block centres.
+
+    masthead: blocks that lie wholly above where columns begin span the page and tell nothing of the gap; masthead_top is added.
+    """
     w = F.col("image_width")
     centre = lambda b: (b["x1"] + b["x2"]) / 2
-    pages = fixed(pages.withColumn("_c", F.filter("blocks", lambda b: ~b["type"].isin(*SPANNING) & (b["x2"] - b["x1"] <= w * width))))
+    if masthead:
+        pages = fixed(pages.withColumn("masthead_top", masthead_top(F.col("blocks"))))
+    above = lambda b: F.coalesce(b["y2"] <= F.col("masthead_top"), F.lit(False)) if masthead else F.lit(False)
+    pages = fixed(pages.withColumn("_c", F.filter("blocks", lambda b: ~b["type"].isin(*SPANNING) & (b["x2"] - b["x1"] <= w * width) & ~above(b))))
     pages = fixed(pages.withColumn("_m", F.when(F.size("_c") >= 2 * min_blocks, F.array_sort(F.transform("_c", centre)))))
     gap = lambda i: F.struct((F.element_at("_m", i) - F.element_at("_m", i - 1)).alias("gap"), (-i).alias("rank"), ((F.element_at("_m", i) + F.element_at("_m", i - 1)) / 2).alias("mid"))
     pages = fixed(pages.withColumn("_g", F.when(F.size("_m") >= 2, F.array_max(F.transform(F.sequence(F.lit(2), F.greatest(F.size("_m"), F.lit(2))), gap)))))
@@ -51,8 +68,9 @@ def column_of(b: Column, cols: Column, page_width: Column) -> Column:
 
 
 def assign_columns(pages: DataFrame) -> DataFrame:
-    """Each block gets col."""
-    return fixed(pages.withColumn("blocks", F.transform("blocks", lambda b: b.withField("col", column_of(b, F.col("cols"), F.col("image_width"))))))
+    """Each block gets col; blocks above masthead_top, where the pages have it, span."""
+    above = lambda b: F.coalesce(b["y2"] <= F.col("masthead_top"), F.lit(False)) if "masthead_top" in pages.columns else F.lit(False)
+    return fixed(pages.withColumn("blocks", F.transform("blocks", lambda b: b.withField("col", F.when(~above(b), column_of(b, F.col("cols"), F.col("image_width")))))))
 
 
 def reading_order(pages: DataFrame) -> DataFrame:

@@ -98,6 +98,17 @@ def _(spark, sf):
     return layout.order_audit(_ordered(spark, sf))
 
 
+_TOP = """mt AS (SELECT x.page_num, min(least(x.y1, y.y1)) AS top FROM b x JOIN b y ON x.page_num = y.page_num AND x.emit_pos < y.emit_pos AND least(x.y2, y.y2) > greatest(x.y1, y.y1) AND (x.x2 <= y.x1 OR y.x2 <= x.x1)
+WHERE x.type NOT IN ('page-header', 'page-footer', 'table-of-contents', 'title') AND y.type NOT IN ('page-header', 'page-footer', 'table-of-contents', 'title') GROUP BY x.page_num),
+cand AS (SELECT b.*, (x1 + x2) / 2.0 AS c FROM b LEFT JOIN mt USING (page_num) WHERE NOT coalesce(y2 <= top, false) AND type NOT IN"""
+
+
+@query("masthead", P.SQL.replace("cand AS (SELECT *, (x1 + x2) / 2.0 AS c FROM b WHERE type NOT IN", _TOP) + "SELECT page_num, emit_pos, top::BIGINT AS top, CASE WHEN NOT coalesce(y2 <= top, false) THEN col END::BIGINT AS col FROM a LEFT JOIN mt USING (page_num)")
+def _(spark, sf):
+    pages = layout.assign_columns(layout.detect_columns(P.pages(spark, sf), masthead=True))
+    return pages.select("page_num", F.col("masthead_top").alias("top"), F.explode("blocks").alias("b")).select("page_num", "b.emit_pos", "top", "b.col")
+
+
 @query("overlay_geometry", P.SQL + "SELECT page_num, emit_pos, printf('%.3f', x1 * 100.0 / 1400) AS \"left\", printf('%.3f', y1 * 100.0 / 2000) AS top, printf('%.3f', (least(1400, x2) - x1) * 100.0 / 1400) AS width, printf('%.3f', (least(2000, y2) - y1) * 100.0 / 2000) AS height FROM b")
 def _(spark, sf):
     rows = P.pages(spark, sf).select("page_num", "image_width", "image_height", F.explode("blocks").alias("b"))
@@ -248,6 +259,16 @@ def _(spark, sf):
     return P.pages(spark, sf).select("page_num", F.inline("blocks")).select("page_num", "block_id", render.pagexml_region().alias("region"))
 
 
+@query("html_links", """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, concat('<table><tr><td colspan="', j, '">x < y ', CASE WHEN k IN (1, 2) THEN concat('<sup class="fn-ref"><a href="#t', k, '">', k, '</a></sup>') ELSE concat('<sup class="fn-ref">', k, '</sup>') END,
+' &amp; <table><tr><td>', CASE WHEN j IN (1, 2) THEN concat('<sup class="fn-ref"><a href="#t', j, '">', j, '</a></sup>') ELSE concat('<sup class="fn-ref"> ', j, ' </sup>') END, '<i>end ', l_partkey, '</i></td></tr></table></td></tr></table>') AS html
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, 1 + l_partkey % 4 AS k, 1 + l_suppkey % 4 AS j FROM lineitem)""".replace("x < y", "x &lt; y"))
+def _(spark, sf):
+    l = P.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (1 + F.col("l_partkey") % 4).alias("k"), (1 + F.col("l_suppkey") % 4).alias("j"))
+    # a table within a table, an end tag of nothing, tags left open
+    given = F.format_string('<table><tr><td colspan="%d">x &lt; y %d^ &amp; <table><tr><td><sup> %d </sup></b><i>end %d</table></td></tr>', "j", "k", "j", "l_partkey")
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", footnotes.link_markers(given, F.expr("array(named_struct('n', 1, 'target_id', 't1'), named_struct('n', 2, 'target_id', 't2'))")).alias("html"))
+
+
 @query("html_escape", "SELECT doc_id, md5(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')) AS escaped_md5 FROM documents")
 def _(spark, sf):
     return P.read(spark, sf, "documents").select("doc_id", F.md5(T.html_escape(F.col("text")).cast("binary")).alias("escaped_md5"))

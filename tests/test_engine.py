@@ -45,6 +45,17 @@ def test_reading_order(spark):
     assert order(spark, TWO[:1])[2] is None
 
 
+def test_masthead(spark):
+    """A byline and a title above the columns, centred across the gutter, span and come first; a heading within the columns doesn't."""
+    rows = [("by", "text", 500, 100, 900, 150), ("ti", "section-header", 450, 160, 950, 220), ("l1", "text", 100, 300, 650, 900), ("r1", "text", 750, 310, 1300, 900), ("l2", "text", 100, 920, 650, 1500), ("sub", "section-header", 800, 920, 1200, 960), ("r2", "text", 750, 980, 1300, 1500)]
+    pages = layout.detect_columns(layout.pages_of(page(spark, rows)), masthead=True)
+    got = layout.reading_order(pages).orderBy("reading_pos").collect()
+    assert [r["block_id"] for r in got] == ["by", "ti", "l1", "l2", "r1", "sub", "r2"] and [r["col"] for r in got] == [None, None, 0, 0, 1, 1, 1]
+    assert got[0]["masthead_top"] == 300
+    alone = layout.detect_columns(layout.pages_of(page(spark, [("a", "text", 100, 50, 1300, 120), ("b", "text", 100, 200, 100, 300)])), masthead=True).first()
+    assert alone["masthead_top"] is None and alone["cols"] is None
+
+
 def test_bands(spark):
     got = layout.bands(layout.detect_columns(layout.pages_of(page(spark, BANDS)))).collect()
     assert {(r["block_id"], r["band"], r["kind"]) for r in got} == {("top", 0, "columns"), ("topR", 0, "columns"), ("mid", 0, "spanning"), ("bot", 1, "columns"), ("botR", 1, "columns")}

@@ -43,6 +43,8 @@ def test_html_references(spark):
     link = '<sup class="fn-ref"><a href="#a">1</a></sup>'
     assert text(spark, footnotes.link_markers(F.col("c0"), one), "<td>x<sup> 1 </sup>1^ 11^ <sup>2</sup></td>") == f'<td>x{link}{link} <sup class="fn-ref">11</sup> <sup class="fn-ref">2</sup></td>'
     assert text(spark, footnotes.link_markers(F.col("c0"), one), '<a href="1^">1</a>') == '<a href="1^">1</a>'
+    nested = "<table><tr><td>1^<table><tr><td><sup>1</sup> &lt; 1^</td></tr></table><sup><i>1</i></sup><sup><a href=\"#x\">1</a></sup></div><b>open"
+    assert text(spark, footnotes.link_markers(F.col("c0"), one), nested) == f'<table><tr><td>{link}<table><tr><td>{link} &lt; {link}</td></tr></table>{link}<sup><a href="#x">1</a></sup><b>open</b></td></tr></table>'
     none = F.lit(None).cast("array<struct<n:int,target_id:string>>")
     assert text(spark, footnotes.link_markers(F.col("c0"), none), "<sup>1</sup> 1^") == "<sup>1</sup> 1^"
 
