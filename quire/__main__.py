@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--page-range")
     run.add_argument("--dpi", type=int)
     run.add_argument("--no-crops", action="store_true")
+    run.add_argument("--bundle", action="store_true", help="also an archive of each volume's files")
     run.add_argument("--force", action="store_true", help="also volumes that haven't changed")
     merge = sub.add_parser("merge-graphs")
     merge.add_argument("out")
@@ -25,6 +26,9 @@ def main(argv: list[str] | None = None) -> int:
     init = sub.add_parser("init-wiki")
     init.add_argument("root")
     init.add_argument("--force", action="store_true")
+    init.add_argument("--date", help="of the entry in the log, today by default")
+    for name in ("series", "publisher", "editor", "description"):
+        init.add_argument(f"--{name}", default="Series" if name == "series" else "")
     add = sub.add_parser("add-volume")
     add.add_argument("corpus")
     add.add_argument("graph")
@@ -49,13 +53,16 @@ def main(argv: list[str] | None = None) -> int:
             print("page range must look like 3-10", file=sys.stderr)
             return 2
     if a.command == "init-wiki":
+        from .operators import wiki
+
         if os.path.isdir(a.root) and any(x not in (".git", ".gitignore") for x in os.listdir(a.root)) and not a.force:
             print(f"{a.root} is not empty", file=sys.stderr)
             return 1
+        made = wiki.scaffold(a.series, a.publisher, a.editor, a.description, a.date or time.strftime("%Y-%m-%d"))
         for d in ("volumes", "articles", "people", "graph"):
             os.makedirs(os.path.join(a.root, d), exist_ok=True)
-        for name, text in (("index.md", "# Index\n"), ("log.md", "# Log\n"), ("series.md", "# Series\n")):
-            with open(os.path.join(a.root, name), "w", encoding="utf-8") as f:
+        for path, text in made.items():
+            with open(os.path.join(a.root, path), "w", encoding="utf-8") as f:
                 f.write(text)
         return 0
     from pyspark.sql import SparkSession
@@ -63,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from .operators import blocks, graph, layout, wiki
     from .plans import volume
-    from .sources import io
+    from .sources import archive, io
     from .streaming import merge
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -73,6 +80,8 @@ def main(argv: list[str] | None = None) -> int:
         for root in sorted({v.output_root for v in volumes}):
             own = [v for v in volumes if v.output_root == root]
             took = volume.run(spark, io.read_volumes(spark, root, own), io.volumes_table(spark, own), f"{root}/tables", root, a.force)
+            if a.bundle and took:
+                archive.bundle(spark, os.path.abspath(root), io.volumes_table(spark, own))
             for name, seconds in took.items():
                 print(f"{root}\t{name}\t{seconds:.2f}")
         return 0

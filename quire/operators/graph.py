@@ -10,6 +10,14 @@ from ..schemas import VISUAL
 from .layout import fixed
 
 
+def context(prefix: str = "doc", base: str = "urn:doc:") -> str:
+    """The JSON-LD context of graphs, as JSON: names are those of schema.org, ids start with the prefix, and what points to a node is an id."""
+    import json
+
+    links = ("inVolume", "inArticle", "inSection", "inSeries", "inPage", "footnoteOf", "hasPart")
+    return json.dumps({"@vocab": "https://schema.org/", prefix: base, **{k: {"@type": "@id"} for k in links}})
+
+
 def iri(prefix: str, kind: str, *parts) -> Column:
     """`prefix:kind/part/part`; page numbers come as format_string('%04d')."""
     return F.concat(F.lit(f"{prefix}:{kind}/"), *[x for i, p in enumerate(parts) for x in ([F.lit("/")] if i else []) + [p if isinstance(p, Column) else F.lit(p)]])

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 
 from ..functions import text as T
 from . import footnotes, graph
+from .layout import fixed
 
 #: Fixed values of the page format: sections that editors own, what stands in empty ones, and block types whose numbers may be references.
 KEPT = ("Summary", "Mentions", "Notes")
@@ -36,18 +37,46 @@ def front_matter(context: str = "../_context.json") -> Column:
     return F.concat(F.lit("---\n"), yaml_of(graph.node_json(f'"@context":"{context}",')), F.lit("---\n"))
 
 
+def scaffold(series: str, publisher: str, editor: str, description: str, date: str) -> dict[str, str]:
+    """Path and text of the files of an empty corpus: the context, a graph of the series alone, its page, index, log and a read-me."""
+    import yaml
+
+    slug = T.nfkd_slug.func(pd.Series([series]))[0]
+    node = {"@id": f"doc:series/{slug}", "@type": "PublicationSeries", "name": series, "description": description, "publisher": {"@type": "Organization", "name": publisher}}
+    front = yaml.safe_dump({"@context": "./_context.json", **node}, sort_keys=False, allow_unicode=True, default_flow_style=False, width=10_000)
+    page = f"---\n{front}---\n\n# {series}\n\n{description}\n\n**Publisher.** {publisher}.\n**Editorial body.** {editor}.\n\n## Volumes\n\n*(filled as volumes are added)*\n\n## Summary\n\n{EMPTY}\n\n## Notes\n\n{EMPTY}\n"
+    return {
+        "_context.json": f'{{"@context": {graph.context()}}}\n',
+        "graph/corpus.jsonld": f'{{"@context":{graph.context()},"@graph":[{json.dumps(node, ensure_ascii=False)}]}}',
+        "series.md": page,
+        "index.md": f"{INDEX_HEAD}\n## Series\n\n- [{series}](series.md) · `{node['@id']}`\n",
+        "log.md": f"# Log\n\n## [{date}] init-wiki | bootstrap\n- made the folders, the context, series.md and a graph of the series\n",
+        "README.md": f"# {series}\n\nPages of volumes, articles and people, made by `quire add-volume`. What you write under {', '.join(KEPT)} stays.\n",
+        ".gitignore": ".made/\n",
+    }
+
+
 def note_tag(page: Column, n: Column, numbered: Column) -> Column:
     """`p018-1`, `p018-u1` without a number of its own, `p???-1` without a page."""
     return F.concat(F.when(page.isNull(), "p???").otherwise(F.format_string("p%03d", page)), F.when(numbered, "-").otherwise("-u"), n.cast("string"))
 
 
-def with_links(rows: DataFrame, refs: DataFrame) -> DataFrame:
-    """rows whose running text links bare numbers to the notes of their page."""
-    tag = note_tag(F.col("page_num"), F.col("n"), F.lit(True))
-    mark = F.concat(F.lit('<sup><a id="fnref-'), tag, F.lit('" href="#fn-'), tag, F.lit('">'), F.col("n").cast("string"), F.lit("</a></sup>"))
-    found = refs.where("kind = 'plain'").groupBy("article_id", "page_num", "block_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", mark.alias("mark")))).alias("_refs"))
-    linked = F.when(F.col("type").isin(*LINKED) & F.col("_refs").isNotNull(), footnotes.splice(F.col("text"), F.col("_refs"))).otherwise(F.col("text"))
-    return rows.join(found, ["article_id", "page_num", "block_id"], "left").withColumn("text", linked).drop("_refs")
+def with_links(rows: DataFrame) -> DataFrame:
+    """rows whose running text links bare numbers to the notes of their page: one pass over the blocks of each page, as an array.
+
+    A number is a reference where its page has a note of that number (see `footnotes.plain_refs`). Columns and rows stay.
+    """
+    keys = ("article_id", "page_num")
+    rest = [c for c in rows.columns if c not in keys]
+    pages = fixed(rows.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_b")))
+    pages = fixed(pages.withColumn("_n", F.transform(F.filter("_b", lambda b: b["type"] == "footnote"), lambda b: footnotes.parse_body(b["text"])["n"])))
+    tag = lambda n: note_tag(F.col("page_num"), n, F.lit(True))
+    mark = lambda n: F.concat(F.lit('<sup><a id="fnref-'), tag(n), F.lit('" href="#fn-'), tag(n), F.lit('">'), n.cast("string"), F.lit("</a></sup>"))
+    found = lambda t: F.transform(F.filter(footnotes.plain_refs(t), lambda x: F.array_contains("_n", x["n"])), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), mark(x["n"]).alias("mark")))
+    # a number needs a digit, so that most blocks are left alone
+    text = lambda b: F.when(b["type"].isin(*LINKED) & (F.size("_n") > 0) & b["text"].rlike("[0-9]"), footnotes.splice(b["text"], found(b["text"]))).otherwise(b["text"])
+    out = pages.select(*keys, "_n", F.explode("_b").alias("_x"))
+    return out.select(*keys, *[F.col(f"_x.{c}").alias(c) for c in rest if c != "text"], text(F.col("_x")).alias("text")).select(rows.columns)
 
 
 def note_section(found: DataFrame) -> DataFrame:

@@ -221,8 +221,7 @@ def _(spark, sf):
 @query("wiki_refs", P.SQL + _NOTES + """, pl AS (SELECT page_num, block_id, n AS note, concat(printf('p%03d-', page_num), n) AS tag FROM rt WHERE kind = 'plain')
 SELECT o.page_num, o.block_id, CASE WHEN type = 'text' AND note IS NOT NULL THEN replace(text, concat(' ', note, ' .'), concat(' <sup><a id="fnref-', tag, '" href="#fn-', tag, '">', note, '</a></sup> .')) ELSE text END AS text FROM o LEFT JOIN pl USING (page_num, block_id)""")
 def _(spark, sf):
-    rows = _cut(_rows(spark, sf))
-    return wiki.with_links(rows, footnotes.refs(rows, footnotes.notes(rows))).select("page_num", "block_id", "text")
+    return wiki.with_links(_rows(spark, sf)).select("page_num", "block_id", "text")
 
 
 @query("footnote_section", P.SQL + _NOTES + """, ft AS (SELECT fn.*, concat(printf('p%03d-', page_num), CASE WHEN is_numbered THEN '' ELSE 'u' END, n) AS tag, CASE WHEN is_numbered THEN regexp_replace(text, '^\\s*([0-9]{1,3})[.°)\\s]\\s*', '') ELSE text END AS body FROM fn JOIN (SELECT page_num, block_id, text FROM fn0) USING (page_num, block_id)),
@@ -230,7 +229,7 @@ fl AS (SELECT *, concat('<a id="fn-', tag, '"></a>', CASE WHEN is_numbered THEN
 fp AS (SELECT vol, page_num, concat(chr(10), '### Page ', page_num, chr(10), chr(10), string_agg(f, '' ORDER BY reading_pos)) AS f FROM fl GROUP BY vol, page_num)
 SELECT printf('vol-%03d-2000-art01', vol) AS article_id, md5(concat(chr(10), '## Footnotes', chr(10), string_agg(f, '' ORDER BY page_num))) AS notes_md5 FROM fp GROUP BY vol""")
 def _(spark, sf):
-    return wiki.note_section(footnotes.notes(_cut(_rows(spark, sf)))).select("article_id", F.md5(F.col("notes").cast("binary")).alias("notes_md5"))
+    return wiki.note_section(footnotes.notes(_rows(spark, sf))).select("article_id", F.md5(F.col("notes").cast("binary")).alias("notes_md5"))
 
 
 _MD = "CASE type WHEN 'section-header' THEN concat('#### ', text, chr(10), chr(10)) WHEN 'text' THEN concat(text, chr(10), chr(10)) ELSE '' END"

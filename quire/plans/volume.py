@@ -84,7 +84,7 @@ def documents(tables: dict[str, DataFrame], volumes: DataFrame, as_of: str, pref
     tail = F.substring_index("node_id", "/", -1)
     pages = [
         wiki.volume_pages(volumes, arts, wiki.section_order(tables["entries"], arts), of("PublicationVolume")),
-        wiki.article_pages(arts, render.article_markdown(wiki.with_links(rows, refs)), wiki.note_section(notes), of("ScholarlyArticle").select("node_id", "types", "props", tail.alias("article_id"))),
+        wiki.article_pages(arts, render.article_markdown(wiki.with_links(rows)), wiki.note_section(notes), of("ScholarlyArticle").select("node_id", "types", "props", tail.alias("article_id"))),
         wiki.person_pages(volumes, arts, of("Person").select("volume_slug", "node_id", "types", "props", tail.alias("slug")).dropDuplicates(["volume_slug", "slug"])),
     ]
     made = pages[0].unionByName(pages[1]).unionByName(pages[2])
@@ -93,8 +93,8 @@ def documents(tables: dict[str, DataFrame], volumes: DataFrame, as_of: str, pref
         "pagexml": page(render.pagexml(tables["ordered"], as_of), "pagexml/page_", ".xml", "xml"),
         "tei": here(render.tei(rows, volumes).withColumnRenamed("xml", "content"), "/tei/", "volume_slug", ".xml"),
         "html": here(index, "/html/index.html").unionByName(here(read, "/html/articles/", "article_id", ".html")).unionByName(page(views, "html/pages/page-", ".html", "html")),
-        "wiki": here(made, "/wiki/", "path"),
-        "graph": here(lines.withColumn("content", F.concat(F.lit('{"@context":{},"@graph":['), "j", F.lit("]}"))), "/graph/", "volume_slug", ".jsonld"),
+        "wiki": here(made, "/wiki/", "path").unionByName(here(volumes.withColumn("content", F.lit(f'{{"@context": {graph.context(prefix)}}}\n')), "/wiki/_context.json")),
+        "graph": here(lines.withColumn("content", F.concat(F.lit(f'{{"@context":{graph.context(prefix)},"@graph":['), "j", F.lit("]}"))), "/graph/", "volume_slug", ".jsonld"),
     }
 
 

@@ -23,8 +23,7 @@ def text(spark, expr, *values):
 def test_links_and_notes(spark):
     r = rows(spark, (18, "text", "bezogen 2 . Im Jahr 1825 . und 3 ."), (18, "caption", "Bild 2 ."), (18, "footnote", "2. Zu <b>Fahnen</b>\ntieren"), (18, "footnote", "ohne Zahl"), (19, "text", "leer 2 ."))
     notes = footnotes.notes(r)
-    refs = footnotes.refs(r, notes)
-    got = {x["block_id"]: x["text"] for x in wiki.with_links(r, refs).collect()}
+    got = {x["block_id"]: x["text"] for x in wiki.with_links(r).collect()}
     assert got["b0"] == 'bezogen <sup><a id="fnref-p018-2" href="#fn-p018-2">2</a></sup> . Im Jahr 1825 . und 3 .'
     assert got["b1"] == "Bild 2 ." and got["b4"] == "leer 2 ."
     section = wiki.note_section(notes).first()["notes"]
