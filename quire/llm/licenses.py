@@ -5,7 +5,7 @@ A softmax regression over word 1- to 3-grams is trained on the driver from the p
 no licence. Its temperature and threshold are set on variants that it wasn't trained on. Each line is classified, and each
 paragraph: the lines up to a blank one, joined, so that a wrapped notice is seen whole. What a paragraph is said to be counts if
 it is confirmed by the family's templates, either way: most word pairs of a template stand in it, or most of its own stand in a
-template; and it holds a word that is told of licences (`told`), of which every template has so many that the first way can't do
+template; it holds what tells its version or variant from others (`MUST`, `NEVER`); and it holds a word that is told of licences (`told`), of which every template has so many that the first way can't do
 without one. Texts and paragraphs without such a word are therefore left out before anything else is computed. Scoring uses DataFrame
 functions only; the weights are a table of fixed size.
 """
@@ -32,7 +32,7 @@ _BSD = (
 #: Fixed public notices, by family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": (
-        "Released under the MIT License.", "Licensed under the MIT license.", "The MIT License (MIT)", "SPDX-License-Identifier: MIT",
+        "MIT License", "Released under the MIT License.", "Licensed under the MIT license.", "The MIT License (MIT)", "SPDX-License-Identifier: MIT",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         _AS_IS + ", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
@@ -77,6 +77,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC": ("Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC0": ("Released under CC0 1.0 Universal.", "SPDX-License-Identifier: CC0-1.0", "The person who associated a work with this deed has dedicated the work to the public domain by waiving all rights"),
 }
+#: Fixed words and word pairs that tell versions and variants apart: of the first a notice of the family must hold one, of the second none.
+MUST = {
+    "GPL-2.0": ("version 2", "gpl 2", "gplv2"), "GPL-3.0": ("version 3", "gpl 3", "gplv3"), "AGPL-3.0": ("affero", "agpl"), "LGPL": ("lesser general", "library general", "lgpl"),
+    "CC-BY-SA": ("sharealike", "by sa"), "CC-BY-NC": ("noncommercial", "by nc"),
+}
+NEVER = {
+    "GPL-2.0": ("affero", "agpl", "lesser", "lgpl"), "GPL-3.0": ("affero", "agpl", "lesser", "lgpl"), "Apache-2.0": ("version 1", "apache 1", "license 1"), "MPL-2.0": ("version 1", "v 1", "mpl 1"), "EPL-2.0": ("version 1", "license 1", "epl 1"),
+    "CC-BY": ("sharealike", "noncommercial", "noderivatives", "noderivs", "by sa", "by nc", "by nd"), "CC-BY-SA": ("noncommercial", "noderivatives", "noderivs", "by nc", "by nd"), "CC-BY-NC": ("sharealike", "noderivatives", "noderivs", "nc sa", "nc nd"),
+}
 UNKNOWN = "unknown"
 #: Fixed sentences that sound alike and are no licence.
 OTHERS = (
@@ -185,8 +194,8 @@ def _units(text: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, n_notices, families, best_probability, notices of every row of docs (doc_id, text, ...).
 
-    Paragraphs are lines up to a blank one. n_notices counts confirmed lines, and paragraphs confirmed as a family that none of
-    their lines is; families lists the families in order of name, empty where there is none; notices holds each one's place
+    Paragraphs are lines up to a blank one. n_notices counts confirmed paragraphs, and confirmed lines whose paragraph isn't
+    confirmed as their family; families lists the families in order of name, empty where there is none; notices holds each one's place
     (paragraph and line from 0, line -1 for a whole paragraph), family, probability and the share of word pairs found. Empty and
     null texts have no paragraphs. Rows that share a doc_id and a text are scanned as one and answered each. Other columns are
     ignored, whatever their names; an empty table gives no rows.
@@ -215,9 +224,13 @@ def scan(docs: DataFrame) -> DataFrame:
     share = F.array_max(F.transform(own, lambda t: F.size(F.array_intersect(t, F.col("pairs"))) / F.size(t)))
     within = F.array_max(F.transform(own, lambda t: F.size(F.array_intersect(t, F.col("pairs"))) / F.greatest(F.size("pairs"), F.lit(1))))
     named = named.withColumn("share", F.greatest(share, within)).where((share >= CONFIRM) | ((F.size("words") >= WITHIN_WORDS) & (within >= WITHIN)))
+    # what tells versions apart: wrapped lines of two versions are alike, so only what holds its own version counts
+    held = F.concat("words", "pairs")
+    of = lambda fixed: F.coalesce(F.try_element_at(F.create_map(*[x for f, ws in fixed.items() for x in (F.lit(f), F.array(*map(F.lit, ws)))]), F.col("family")))
+    named = named.where(F.coalesce(F.arrays_overlap(held, of(MUST)), F.lit(True)) & ~F.coalesce(F.arrays_overlap(held, of(NEVER)), F.lit(False)))
     notices = named.groupBy("doc_id", "t").agg(F.array_sort(F.collect_list(F.struct("place", "line", "family", F.round("best", 6).alias("probability"), F.round("share", 6).alias("share")))).alias("n"))
-    # a whole paragraph counts only if none of its lines is of its family
-    counted = F.filter("n", lambda x: (x["line"] >= 0) | ~F.exists("n", lambda y: (y["line"] >= 0) & (y["place"] == x["place"]) & (y["family"] == x["family"])))
+    # a paragraph that is a notice as a whole is one, however many of its lines are of its family
+    counted = F.filter("n", lambda x: (x["line"] < 0) | ~F.exists("n", lambda y: (y["line"] < 0) & (y["place"] == x["place"]) & (y["family"] == x["family"])))
     notices = notices.select(F.col("doc_id").alias("id"), F.col("t").alias("of"), counted.alias("notices"))
     blocks = F.size(F.filter(F.split("text", "\\n[ \\t\\r]*(?:\\n[ \\t\\r]*)+"), lambda x: F.length(F.btrim(x, F.lit(" \t\r\n"))) > 0))
     out = rows.select("doc_id", F.xxhash64("text").alias("t"), blocks.cast("long").alias("n_paragraphs"))

@@ -58,3 +58,19 @@ def test_nothing_is_left_out_by_the_words_told(spark, monkeypatch):
     words = licenses.told()
     monkeypatch.setattr(licenses, "told", lambda: ["[a-z0-9]+", *words])
     assert sorted(map(str, licenses.scan(docs).collect())) == want and any("families='MIT'" in x for x in want)
+
+
+def test_versions_and_variants(spark):
+    """One family for a wrapped notice, none for versions and variants that aren't known, a title alone, one notice for one paragraph."""
+    wrap = lambda t, w=60: "\n".join(textwrap.wrap(t, w))
+    long = lambda f: max(licenses.TEMPLATES[f], key=len)
+    cases = [(wrap(long(f), w), f) for f in ("GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL", "Apache-2.0", "MIT") for w in (45, 60, 79)]
+    cases += [
+        ("Licensed under the GNU General Public License, version 1.", ""), ("Licensed under the Apache License, Version 1.1.", ""), ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", ""),
+        ("Licensed under CC BY-NC-SA 4.0.", ""), ("Licensed under CC BY-ND 4.0.", ""), ("Licensed under the Mozilla Public License, version 1.1.", ""), ("MIT License", "MIT"), ("MIT License\n\nCopyright (c) 2020 A. Person", "MIT"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA"), ("Licensed under the GNU Lesser General Public License.", "LGPL"),
+    ]
+    got = scanned(spark, [t for t, _ in cases])
+    wrong = [(t, want, got[i]["families"]) for i, (t, want) in enumerate(cases) if got[i]["families"] != want]
+    assert wrong == []
+    assert all(got[i]["n_notices"] == 1 for i, (_, want) in enumerate(cases) if want)
