@@ -30,11 +30,19 @@ vp AS (SELECT o_custkey % 50 AS vol, o_orderkey AS page_num FROM orders)
 """
 
 
+#: Blocks of all types, one for each line item: what a text, markup and description may hold.
+KINDS = ("text", "section-header", "caption", "footnote", "table", "image", "figure", "diagram", "equation", "code", "bibliography", "table-of-contents", "page-header", "page-footer", "list", "form")
+KINDS_SQL = """WITH k AS (SELECT l_orderkey, l_linenumber, l_partkey, concat('b', cast(l_partkey AS {s}), '_', cast(l_linenumber AS {s})) AS block_id, {array}[{at}] AS type, cast(l_linenumber AS int) AS emit_pos,
+cast(l_suppkey % 900 AS int) AS x1, cast(l_partkey % 1500 AS int) AS y1, cast(l_suppkey % 900 + 300 AS int) AS x2, cast(l_partkey % 1500 + 40 AS int) AS y2,
+CASE WHEN l_partkey % 23 = 0 THEN '' WHEN l_partkey % 3 = 0 THEN concat('One <x> & ', cast(l_partkey AS {s}), chr(10), chr(10), '  two "q" ', chr(10)) ELSE concat('Line ', cast(l_partkey AS {s})) END AS text,
+CASE WHEN l_suppkey % 2 = 0 THEN concat('<table onclick="x"><tr><td>', cast(l_partkey AS {s}), '</td></tr></table>') ELSE '' END AS html, CASE WHEN l_suppkey % 5 = 0 THEN concat('A "view" ', cast(l_suppkey AS {s})) END AS description FROM {rows}) """
+KINDS_ORACLE = KINDS_SQL.format(s="VARCHAR", array=f"([{', '.join(repr(k) for k in KINDS)}])", at="l_partkey % 16 + 1", rows="lineitem")
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page for each order with its line items as blocks: one exchange, by page."""
     l = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -53,6 +61,12 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of all types: l_orderkey, l_linenumber, l_partkey and the columns that renderings take."""
+    text = KINDS_SQL.format(s="string", array=f"array({', '.join(repr(k) for k in KINDS)})", at="cast(l_partkey % 16 AS int)", rows="{rows}")
+    return spark.sql(text + "SELECT *, type AS raw_type FROM k", rows=read(spark, sf_dir, "lineitem"))
+
+
 def volume_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     return o.select(F.format_string("vol-%03d-2000", F.col("o_custkey") % 50).alias("volume_slug"), F.col("o_orderkey").cast("int").alias("page_num"), "o_orderpriority")

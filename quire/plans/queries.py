@@ -258,6 +258,57 @@ def _(spark, sf):
     return P.pages(spark, sf).select("page_num", F.inline("blocks")).select("page_num", "block_id", render.pagexml_region().alias("region"))
 
 
+_KEY = "l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey"
+_VIS = "type IN ('figure', 'image', 'diagram')"
+_FACS = " facs=\"#z_', block_id, '\">"
+
+
+def _quoted(x: str) -> str:
+    return f"replace(replace({x}, '\"', '&quot;'), '''', '&#x27;')"
+
+
+def _each(before: str, x: str, after: str, sep: str) -> str:
+    return f"coalesce(array_to_string(list_transform(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> ''), lambda x: concat('{before}', {x}, '{after}')), {sep}), '')"
+
+
+def _items(tag: str) -> str:
+    return _each(f"<{tag}>", _ESC.replace("(text", "(x"), f"</{tag}>", "''")
+
+
+@query("kinds_tei", P.KINDS_ORACLE + f"""SELECT {_KEY}, CASE WHEN type = 'section-header' THEN concat('<head{_FACS}', {_ESC}, '</head>') WHEN type IN ('page-header', 'page-footer') THEN concat('<fw type="', type, '"{_FACS}', {_ESC}, '</fw>')
+WHEN type = 'footnote' THEN concat('<note place="foot" n="', emit_pos, '" xml:id="fn_', block_id, '"{_FACS}', {_ESC}, '</note>') WHEN type = 'caption' THEN concat('<figure{_FACS}<figDesc>', {_ESC}, '</figDesc></figure>')
+WHEN {_VIS} THEN concat('<figure type="', type, '"{_FACS}<graphic url="#z_', block_id, '"/>', CASE WHEN text <> '' THEN concat('<figDesc>', {_ESC}, '</figDesc>') ELSE '' END, '</figure>')
+WHEN type = 'table' THEN concat('<table{_FACS}<row><cell>', {_ESC}, '</cell></row></table>') WHEN type = 'bibliography' THEN concat('<listBibl{_FACS}', {_items("bibl")}, '</listBibl>') WHEN type = 'table-of-contents' THEN concat('<list type="contents"{_FACS}', {_items("item")}, '</list>')
+WHEN type = 'list' THEN concat('<list{_FACS}', {_items("item")}, '</list>') WHEN type = 'equation' THEN concat('<formula notation="TeX"{_FACS}', {_ESC}, '</formula>') ELSE concat('<p{_FACS}', {_ESC}, '</p>') END AS tei FROM k""")
+def _(spark, sf):
+    return P.kinds(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", render.tei_fragment(F.col("emit_pos")).alias("tei"))
+
+
+@query("kinds_pagexml", P.KINDS_ORACLE + f"""SELECT {_KEY}, concat('<', e, ' id="', block_id, '" custom="layout:', type, '"', CASE WHEN a <> '' THEN concat(' type="', a, '"') ELSE '' END, '><Coords points="', printf('%d,%d %d,%d %d,%d %d,%d', x1, y1, x2, y1, x2, y2, x1, y2), '"/>',
+CASE WHEN e = 'TextRegion' AND text <> '' THEN concat('<TextEquiv><Unicode>', {_ESC}, '</Unicode></TextEquiv>') ELSE '' END, '</', e, '>') AS region
+FROM (SELECT *, CASE WHEN type = 'table' THEN 'TableRegion' WHEN {_VIS} THEN 'ImageRegion' WHEN type = 'equation' THEN 'MathsRegion' ELSE 'TextRegion' END AS e, CASE type WHEN 'text' THEN 'paragraph' WHEN 'section-header' THEN 'heading' WHEN 'page-header' THEN 'header' WHEN 'page-footer' THEN 'footer'
+WHEN 'list' THEN 'list-label' WHEN 'table-of-contents' THEN 'TOC-entry' WHEN 'caption' THEN 'caption' WHEN 'footnote' THEN 'footnote' WHEN 'bibliography' THEN 'other' WHEN 'form' THEN 'other' WHEN 'code' THEN 'other' ELSE '' END AS a FROM k)""")
+def _(spark, sf):
+    return P.kinds(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", render.pagexml_region().alias("region"))
+
+
+@query("kinds_markdown", P.KINDS_ORACLE + f"""SELECT {_KEY}, CASE WHEN type IN ('page-header', 'page-footer', 'table-of-contents', 'footnote') THEN '' WHEN {_VIS} THEN concat('> **[', upper(substr(type, 1, 1)), substr(type, 2), ' · ', block_id, ']**', CASE WHEN t <> '' THEN concat(' ', t) WHEN description IS NOT NULL THEN concat(' ', description) ELSE '' END, chr(10), chr(10))
+WHEN type = 'table' AND html <> '' THEN concat(html, chr(10), chr(10)) WHEN type IN ('bibliography', 'list') THEN CASE WHEN r <> '' THEN concat(r, chr(10), chr(10)) ELSE '' END WHEN t = '' THEN '' WHEN type = 'section-header' THEN concat('#### ', t, chr(10), chr(10)) WHEN type = 'caption' THEN concat('*', t, '*', chr(10), chr(10))
+WHEN type = 'equation' THEN concat('$$', chr(10), t, chr(10), '$$', chr(10), chr(10)) ELSE concat(t, chr(10), chr(10)) END AS md FROM (SELECT *, trim(text, concat(' ', chr(10))) AS t, {_each("- ", "x", "", "chr(10)")} AS r FROM k)""")
+def _(spark, sf):
+    return P.kinds(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", render.markdown_fragment().alias("md"))
+
+
+_BR = f"replace({_ESC}, chr(10), '<br>')"
+
+
+@query("kinds_html", P.KINDS_ORACLE + f"""SELECT {_KEY}, CASE WHEN type IN ('page-header', 'page-footer', 'footnote', 'table-of-contents') THEN '' WHEN type = 'section-header' THEN concat('<h3>', {_BR}, '</h3>') WHEN type = 'caption' THEN concat('<figcaption>', {_BR}, '</figcaption>')
+WHEN {_VIS} THEN concat('<figure><img src="../regions/', block_id, '.png" alt="', {_quoted(_ESC.replace("(text", "(coalesce(description, text)"))}, '"></figure>') WHEN type = 'table' AND html <> '' THEN replace(html, ' onclick="x"', '')
+WHEN type IN ('bibliography', 'list') THEN concat('<ul>', {_items("li")}, '</ul>') WHEN type = 'equation' THEN concat('<div class="equation">', {_BR}, '</div>') ELSE concat('<p>', {_BR}, '</p>') END AS html FROM k""")
+def _(spark, sf):
+    return P.kinds(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", render.html_block().alias("html"))
+
+
 @query("html_links", """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, concat('<table><tr><td colspan="', j, '">x < y ', CASE WHEN k IN (1, 2) THEN concat('<sup class="fn-ref"><a href="#t', k, '">', k, '</a></sup>') ELSE concat('<sup class="fn-ref">', k, '</sup>') END,
 ' &amp; <table><tr><td>', CASE WHEN j IN (1, 2) THEN concat('<sup class="fn-ref"><a href="#t', j, '">', j, '</a></sup>') ELSE concat('<sup class="fn-ref"> ', j, ' </sup>') END, '<i>end ', l_partkey, '</i></td></tr></table></td></tr></table>') AS html
 FROM (SELECT l_orderkey, l_linenumber, l_partkey, 1 + l_partkey % 4 AS k, 1 + l_suppkey % 4 AS j FROM lineitem)""".replace("x < y", "x &lt; y"))
