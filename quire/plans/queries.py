@@ -175,7 +175,10 @@ def _cut(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp())
     return df.checkpoint()
 
 
@@ -319,6 +322,23 @@ def _(spark, sf):
     return l.select("l_orderkey", "l_linenumber", "l_partkey", footnotes.link_markers(given, F.expr("array(named_struct('n', 1, 'target_id', 't1'), named_struct('n', 2, 'target_id', 't2'))")).alias("html"))
 
 
+@query("index_lines", """WITH n AS (SELECT 1 AS part, CAST(1900 + n_nationkey AS VARCHAR) AS sort_by, concat('d:vol/n', n_nationkey) AS id, concat('- [', n_name, ' (', 1900 + n_nationkey, ')](volumes/n', n_nationkey, '.md) · `d:vol/n', n_nationkey, '`') AS line FROM nation
+UNION ALL SELECT 2, '', concat('d:art/a', o_orderkey), concat('- [a', o_orderkey, '](articles/a', o_orderkey, '.md) · `d:art/a', o_orderkey, '`') FROM orders
+UNION ALL SELECT 3, c_name, concat('d:person/c', c_custkey), concat('- [', c_name, '](people/c', c_custkey, '.md) · `d:person/c', c_custkey, '`') FROM customer
+UNION ALL SELECT 4, '', 'WebPage', concat('- WebPage: ', count(*)) FROM part)
+SELECT part::BIGINT AS part, 1::BIGINT AS rank, sort_by, id, line FROM n UNION ALL SELECT part, 0, '', '', concat(chr(10), '## ', CASE part WHEN 1 THEN concat('Volumes (', count(*), ')') WHEN 2 THEN concat('Articles (', count(*), ')') WHEN 3 THEN concat('People (', count(*), ')') ELSE 'Other nodes of the graph' END, chr(10)) FROM n GROUP BY part""")
+def _(spark, sf):
+    def nodes(name, kind, ident, label=None, year=None):
+        json = lambda c: F.to_json(F.struct(c.alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(c.alias("v")))) - 6)
+        props = [x for k, c in (("name", label), ("datePublished", year)) if c is not None for x in (F.lit(k), json(c))]
+        return P.read(spark, sf, name).select(ident.alias("node_id"), F.array(F.lit(kind)).alias("types"), (F.create_map(*props) if props else F.create_map()).cast("map<string,string>").alias("props"))
+
+    ident = lambda kind, c: F.concat(F.lit(f"d:{kind}"), F.col(c).cast("string"))
+    all_of = nodes("nation", "PublicationVolume", ident("vol/n", "n_nationkey"), F.col("n_name"), (1900 + F.col("n_nationkey")).cast("string"))
+    all_of = all_of.unionByName(nodes("orders", "ScholarlyArticle", ident("art/a", "o_orderkey"))).unionByName(nodes("customer", "Person", ident("person/c", "c_custkey"), F.col("c_name"))).unionByName(nodes("part", "WebPage", ident("p/", "p_partkey")))
+    return wiki.index_rows(all_of).select(F.col("key.part").alias("part"), F.col("key.rank").alias("rank"), F.col("key.key.by").alias("sort_by"), F.col("key.key.id").alias("id"), "line")
+
+
 @query("html_escape", "SELECT doc_id, md5(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')) AS escaped_md5 FROM documents")
 def _(spark, sf):
     return P.read(spark, sf, "documents").select("doc_id", F.md5(T.html_escape(F.col("text")).cast("binary")).alias("escaped_md5"))
