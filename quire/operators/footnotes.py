@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .layout import fixed
 
 #: What the format takes for a note's number and for references to notes.
 BODY = "^\\s*([0-9]{1,3})[.°)\\s]\\s*"
@@ -59,19 +60,24 @@ def plain_refs(c: Column) -> Column:
     return F.transform(T.matches(c, PLAIN, "n"), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["n"].cast("int").alias("n")))
 
 
-def refs(rows: DataFrame, found: DataFrame) -> DataFrame:
+def refs(rows: DataFrame) -> DataFrame:
     """article_id, block_id, page_num, kind, start, end, n, target_id: references of body blocks, target null where the page has no such note.
 
-    Bare numbers are references only on pages that have the note. Of notes with the same number on a page the last is meant.
+    Bare numbers are references only on pages that have the note. One pass over the blocks of each page as an array: the id of a
+    numbered note follows from article, page and number (see `notes`), so that nothing is joined.
     """
-    body = rows.where(~F.col("type").isin(*QUIET)).select("article_id", "block_id", "page_num", "page_ord", "reading_pos", "text")
-    sets = numbered_sets(found)
-    r = body.join(sets, ["article_id", "page_num"], "left")
-    plain = F.when(F.col("numbers").isNotNull(), F.filter(plain_refs(F.col("text")), lambda x: F.array_contains("numbers", x["n"])))
-    r = r.select("article_id", "block_id", "page_num", "page_ord", "reading_pos", F.explode(F.array(F.struct(F.lit("marked").alias("kind"), marked_refs(F.col("text")).alias("m")), F.struct(F.lit("plain").alias("kind"), plain.alias("m")))).alias("k"))
-    r = r.select("article_id", "block_id", "page_num", "page_ord", "reading_pos", "k.kind", F.explode("k.m").alias("m")).select("*", "m.start", "m.end", "m.n").drop("m")
-    target = found.where("is_numbered").groupBy("article_id", "page_num", "n").agg(F.max_by("html_id", F.struct("page_ord", "reading_pos")).alias("target_id"))
-    return r.join(target, ["article_id", "page_num", "n"], "left")
+    keys = ("article_id", "page_num")
+    pages = fixed(rows.groupBy(*keys).agg(F.collect_list(F.struct("block_id", "page_ord", "reading_pos", "type", "text")).alias("_b")))
+    numbers = F.transform(F.filter("_b", lambda b: b["type"] == "footnote"), lambda b: parse_body(b["text"])["n"])
+    pages = pages.withColumn("_n", F.when(F.col("page_num").isNotNull(), F.filter(numbers, lambda n: n.isNotNull())))
+    body = fixed(pages.select(*keys, "_n", F.inline("_b")).where(~F.col("type").isin(*QUIET)))
+    known = lambda n: F.coalesce(F.array_contains("_n", n), F.lit(False))
+    plain = F.when(F.size("_n") > 0, F.filter(plain_refs(F.col("text")), lambda x: known(x["n"])))
+    kinds = F.array(F.struct(F.lit("marked").alias("kind"), marked_refs(F.col("text")).alias("m")), F.struct(F.lit("plain").alias("kind"), plain.alias("m")))
+    r = body.where(F.col("text").rlike("[0-9¹²³⁰⁴⁵⁶⁷⁸⁹]")).select(*keys, "block_id", "page_ord", "reading_pos", "_n", F.explode(kinds).alias("k"))
+    r = r.select(*keys, "block_id", "page_ord", "reading_pos", "_n", "k.kind", F.explode("k.m").alias("m"))
+    target = F.when(known(F.col("m.n")), F.concat(F.lit("fn-"), "article_id", F.format_string("-p%03d-", "page_num"), F.col("m.n").cast("string")))
+    return r.select(*keys, "block_id", "page_ord", "reading_pos", "kind", "m.start", "m.end", "m.n", target.alias("target_id"))
 
 
 def stats(found: DataFrame, linked: DataFrame) -> DataFrame:

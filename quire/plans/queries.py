@@ -211,14 +211,14 @@ def _(spark, sf):
 @query("ref_links", P.SQL + _NOTES + "SELECT page_num, block_id, kind, n, start, target_id FROM rt")
 def _(spark, sf):
     rows = _rows(spark, sf)
-    return footnotes.refs(rows, footnotes.notes(rows)).select("page_num", "block_id", "kind", "n", "start", "target_id")
+    return footnotes.refs(rows).select("page_num", "block_id", "kind", "n", "start", "target_id")
 
 
 @query("ref_resolution_stats", P.SQL + _NOTES + ", v AS (SELECT DISTINCT vol, page_num FROM b) SELECT printf('vol-%03d-2000-art01', vol) AS article_id, sum(a)::BIGINT AS n_notes, sum(c)::BIGINT AS n_refs, sum(d)::BIGINT AS resolved, (sum(c) - sum(d))::BIGINT AS unresolved FROM (SELECT vol, count(*) AS a, 0 AS c, 0 AS d FROM fn GROUP BY vol UNION ALL SELECT vol, 0, count(*), count(target_id) FROM rt JOIN v USING (page_num) GROUP BY vol) GROUP BY vol")
 def _(spark, sf):
     rows = _rows(spark, sf)
     found = footnotes.notes(rows)
-    return footnotes.stats(found, footnotes.refs(rows, found))
+    return footnotes.stats(found, footnotes.refs(rows))
 
 
 @query("wiki_refs", P.SQL + _NOTES + """, pl AS (SELECT page_num, block_id, n AS note, concat(printf('p%03d-', page_num), n) AS tag FROM rt WHERE kind = 'plain')

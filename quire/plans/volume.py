@@ -34,7 +34,7 @@ def structure(raw_pages: DataFrame, volumes: DataFrame, prefix: str = "doc", kee
     rows = bridge.select("volume_slug", "article_id", "num", "page_num", F.col("ord").alias("page_ord")).join(ordered, ["volume_slug", "page_num"]).join(arts.select("article_id", "title"), "article_id")
     rows = keep("rows", rows)
     notes = keep("notes", footnotes.notes(rows))
-    refs = keep("refs", footnotes.refs(rows, notes))
+    refs = keep("refs", footnotes.refs(rows))
     owners = articles.page_owner(bridge, pages)
     nodes = keep("nodes", graph.volume_graph(volumes, ordered, arts, bridge, owners, notes, prefix))
     return {"columns": columns, "ordered": ordered, "tokens": tokens, "entries": found, "articles": arts, "bridge": bridge, "rows": rows, "notes": notes, "refs": refs, "nodes": nodes}

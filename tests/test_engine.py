@@ -86,7 +86,7 @@ def test_footnotes(spark):
     rows = spark.createDataFrame([("a", f"b{i}", 3, 0, i, t, x) for i, (t, x) in enumerate(texts)], "article_id string, block_id string, page_num int, page_ord int, reading_pos int, type string, text string")
     notes = footnotes.notes(rows)
     assert [(r["n"], r["is_numbered"], r["text"], r["html_id"]) for r in notes.orderBy("reading_pos").collect()] == [(1, True, "First body.", "fn-a-p003-1"), (2, True, "Second body.", "fn-a-p003-2"), (1, False, "no number", "fn-a-p003-u1")]
-    refs = footnotes.refs(rows, notes).orderBy("reading_pos", "start").collect()
+    refs = footnotes.refs(rows).orderBy("reading_pos", "start").collect()
     assert [(r["block_id"], r["n"], r["target_id"]) for r in refs] == [("b0", 1, "fn-a-p003-1"), ("b0", 2, "fn-a-p003-2"), ("b1", 2, "fn-a-p003-2"), ("b3", 1, "fn-a-p003-1"), ("b3", 2, "fn-a-p003-2"), ("b7", 7, None)]
     assert "Einheit bezogen "[refs[2]["start"] :] == "" and refs[2]["end"] - refs[2]["start"] == 1
 

@@ -35,7 +35,7 @@ def test_links_and_notes(spark):
 def test_html_references(spark):
     r = rows(spark, (18, "text", "ein 1^ <i>zwei</i>\n7^ <x>"), (18, "footnote", "1. Note"))
     notes = footnotes.notes(r)
-    got = footnotes.with_html(r, footnotes.refs(r, notes), notes).where("block_id = 'b0'").first()
+    got = footnotes.with_html(r, footnotes.refs(r), notes).where("block_id = 'b0'").first()
     assert got["text_html"] == 'ein <sup class="fn-ref"><a href="#fn-v-1-2000-art01-p018-1">1</a></sup> <i>zwei</i><br><sup class="fn-ref">7</sup> '
     assert [tuple(t) for t in got["targets"]] == [(1, "fn-v-1-2000-art01-p018-1")]
     one = F.expr("array(named_struct('n', 1, 'target_id', 'a'))")
