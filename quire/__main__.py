@@ -17,6 +17,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--output-root")
     run.add_argument("--page-range")
     run.add_argument("--dpi", type=int)
+    run.add_argument("--pdf", help="the volume's document; with one config only")
+    run.add_argument("--ocr-method", choices=("hf", "vllm"))
+    run.add_argument("--vllm-url")
     run.add_argument("--no-crops", action="store_true")
     run.add_argument("--bundle", action="store_true", help="also an archive of each volume's files")
     run.add_argument("--force", action="store_true", help="also volumes that haven't changed")
@@ -52,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
         except ValueError:
             print("page range must look like 3-10", file=sys.stderr)
             return 2
+    if a.command == "run" and a.pdf and len(a.config) > 1:
+        print("--pdf goes with one config", file=sys.stderr)
+        return 2
     if a.command == "init-wiki":
         from .operators import wiki
 
@@ -75,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "run":
-        volumes = [io.read_config(c, output_root=a.output_root, page_range=pages, dpi=a.dpi, crop_regions=False if a.no_crops else None) for c in a.config]
+        volumes = [io.read_config(c, ocr_method=a.ocr_method, vllm_url=a.vllm_url, pdf_path=a.pdf, output_root=a.output_root, page_range=pages, dpi=a.dpi, crop_regions=False if a.no_crops else None) for c in a.config]
         io.volumes_table(spark, volumes)  # slugs must differ over all roots
         for root in sorted({v.output_root for v in volumes}):
             own = [v for v in volumes if v.output_root == root]

@@ -9,11 +9,11 @@ from ..functions import text as T
 from ..schemas import CANON_TYPES, VISUAL
 
 
-def canonical_type(c: Column) -> Column:
-    """The canonical type of a label such as `List_Item` or `BlockType.PICTURE`; text for null and unknown ones."""
+def canonical_type(c: Column, types: dict[str, str] = CANON_TYPES) -> Column:
+    """The canonical type of a label such as `List_Item` or `BlockType.PICTURE`; text for null and unknown ones. types: by label, as in schemas."""
     label = T.strip(F.replace(F.lower(c), F.lit("_"), F.lit("-")))
     label = F.regexp_replace(label, "^.*\\.", "")
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in CANON_TYPES.items() for x in kv]), label), F.lit("text"))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in types.items() for x in kv]), label), F.lit("text"))
 
 
 def pixel_bbox(bbox: Column, w: Column, h: Column) -> Column:

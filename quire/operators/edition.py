@@ -24,11 +24,15 @@ def contents_html(toks: DataFrame, key: str = "volume_slug") -> DataFrame:
     return rows.select(key, F.array_join(F.transform("_r", lambda r: r["_f"]), "").alias("html"))
 
 
-def totals(articles: DataFrame, bridge: DataFrame) -> DataFrame:
-    """volume_slug, n_articles (front matter apart), n_pages (a page counts in each article that has it)."""
+def totals(articles: DataFrame, bridge: DataFrame, ordered: DataFrame | None = None) -> DataFrame:
+    """volume_slug, n_articles (front matter apart), n_pages (a page counts in each article that has it), and n_regions, the blocks of `ordered`, if given."""
     named = articles.groupBy("volume_slug").agg(F.count_if(F.col("num") > 0).alias("n_articles"))
     held = bridge.groupBy("volume_slug").agg(F.count(F.lit(1)).alias("n_pages"))
-    return named.join(held, "volume_slug", "left").na.fill(0, ["n_pages"])
+    out = named.join(held, "volume_slug", "left").na.fill(0, ["n_pages"])
+    if ordered is None:
+        return out
+    regions = ordered.groupBy("volume_slug").agg(F.count(F.lit(1)).alias("n_regions"))
+    return out.join(regions, "volume_slug", "left").na.fill(0, ["n_regions"])
 
 
 def volume_index(volumes: DataFrame, articles: DataFrame, bridge: DataFrame, pages: DataFrame) -> DataFrame:

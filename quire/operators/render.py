@@ -24,11 +24,11 @@ def points(b: Column | None = None) -> Column:
     return F.format_string("%d,%d %d,%d %d,%d %d,%d", "x1", "y1", "x2", "y1", "x2", "y2", "x1", "y2")
 
 
-def pagexml_region() -> Column:
-    """One region element: text only in text regions that have some."""
+def pagexml_region(types: dict[str, tuple[str, str | None]] = PAGEXML_TYPES) -> Column:
+    """One region element: text only in text regions that have some. types: element and attribute of each type, as in schemas."""
     esc = lambda c: T.html_escape(c)
-    kinds = F.create_map(*[F.lit(x) for k, v in PAGEXML_TYPES.items() for x in (k, v[0])])
-    attrs = F.create_map(*[F.lit(x) for k, v in PAGEXML_TYPES.items() for x in (k, v[1] or "")])
+    kinds = F.create_map(*[F.lit(x) for k, v in types.items() for x in (k, v[0])])
+    attrs = F.create_map(*[F.lit(x) for k, v in types.items() for x in (k, v[1] or "")])
     kind = F.coalesce(F.try_element_at(kinds, F.col("type")), F.lit("TextRegion"))
     attr = F.coalesce(F.try_element_at(attrs, F.col("type")), F.lit("other"))
     body = F.when((kind == "TextRegion") & (F.coalesce("text", F.lit("")) != ""), F.concat(F.lit("<TextEquiv><Unicode>"), T.html_escape(F.col("text"), False), F.lit("</Unicode></TextEquiv>"))).otherwise("")

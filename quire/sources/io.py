@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from dataclasses import dataclass, field, fields
+from dataclasses import asdict, dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,28 @@ from ..schemas import RAW_PAGE
 from .interim import InterimPages, opened
 
 
+#: Folders of a volume, as files of a run lie in them.
+FOLDERS = ("pages", "interim", "pagexml", "tei", "html", "graph", "regions", "wiki", "logs")
+#: Ways to recognise pages: a model that is loaded here, or a server's address.
+METHODS = ("hf", "vllm")
+
+
+@dataclass
+class Recognition:
+    """How pages are recognised, for the function that `scan.scan` is given; unknown keys are errors."""
+
+    method: str = "hf"
+    vllm_url: str | None = None
+    model: str = ""
+    batch_size: int = 1
+
+    def __post_init__(self):
+        if self.method not in METHODS:
+            raise ValueError(f"method must be one of {', '.join(METHODS)}")
+        if self.method == "vllm" and not self.vllm_url:
+            raise ValueError("vllm needs vllm_url")
+
+
 @dataclass
 class Volume:
     """Identity and options of a volume; unknown keys of a config are errors."""
@@ -36,19 +58,36 @@ class Volume:
     dpi: int = 200
     crop_regions: bool = True
     slug_prefix: str = "vol"
-    ocr: dict = field(default_factory=dict)
+    ocr: Recognition = field(default_factory=Recognition)
 
     def __post_init__(self):
+        if isinstance(self.ocr, dict):
+            self.ocr = Recognition(**self.ocr)
         self.slug = self.slug or f"{self.slug_prefix}-{self.volume_number:03d}-{self.volume_year}"
 
+    def folder(self, kind: str | None = None) -> str:
+        """The volume's folder, or one of FOLDERS in it."""
+        if kind is not None and kind not in FOLDERS:
+            raise ValueError(f"no folder {kind}")
+        return "/".join([self.output_root.rstrip("/"), self.slug, *([kind] if kind else [])])
+
+    def as_dict(self) -> dict:
+        """All fields as plain values, as `read_config` takes them."""
+        return {k: list(v) if isinstance(v, tuple) else v for k, v in asdict(self).items()}
+
 
-def read_config(path: str, **override) -> Volume:
-    """A volume from YAML; `~` and variables are expanded in paths, overrides that are not None win."""
+def read_config(path: str, ocr_method: str | None = None, vllm_url: str | None = None, **override) -> Volume:
+    """A volume from YAML; `~` and variables are expanded in paths, overrides that are not None win, ocr_method and vllm_url those within ocr."""
     import yaml
 
     with open(path, encoding="utf-8") as f:
         data = yaml.safe_load(f) or {}
     data |= {k: v for k, v in override.items() if v is not None}
+    ocr = {k: v for k, v in (("method", ocr_method), ("vllm_url", vllm_url)) if v is not None}
+    if ocr:
+        data["ocr"] = {**(data.get("ocr") or {}), **ocr}
+    if data.get("ocr", 0) is None:
+        del data["ocr"]
     unknown = set(data) - {f.name for f in fields(Volume)}
     if unknown:
         raise TypeError(f"unknown keys: {', '.join(sorted(unknown))}")

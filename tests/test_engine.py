@@ -18,6 +18,16 @@ def test_canonical_types(spark):
     assert all(r["got"] == r["want"] for r in df.select("want", blocks.canonical_type(F.col("t")).alias("got")).collect())
 
 
+def test_types_of_ones_own(spark):
+    """Tables of types can be given; the given ones stay as they are."""
+    from quire import schemas
+
+    own = {**schemas.CANON_TYPES, "marginal": "note"}
+    row = spark.createDataFrame([("Marginal", "note", "b", "note", 1, 2, 3, 4, "x")], "t string, type string, block_id string, raw_type string, x1 int, y1 int, x2 int, y2 int, text string")
+    got = row.select(blocks.canonical_type(F.col("t"), own).alias("a"), blocks.canonical_type(F.col("t")).alias("b"), render.pagexml_region({**schemas.PAGEXML_TYPES, "note": ("TextRegion", "marginalia")}).alias("c"), render.pagexml_region().alias("d")).first()
+    assert (got["a"], got["b"]) == ("note", "text") and 'type="marginalia"' in got["c"] and 'type="other"' in got["d"]
+
+
 def test_pixel_boxes(spark):
     cases = [([0.1, 0.2, 0.5, 0.6], (10, 40, 50, 120)), ([10.0, 20.0, 90.0, 180.0], (10, 20, 90, 180)), ([-5.0, -10.0, 200.0, 300.0], (0, 0, 100, 200)), ([], (0, 0, 100, 200)), (None, (0, 0, 100, 200)), ([90.0, 180.0, 10.0, 20.0], (10, 20, 90, 180))]
     df = spark.createDataFrame([(c, list(w)) for c, w in cases], "b array<double>, want array<int>")

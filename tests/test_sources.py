@@ -114,3 +114,25 @@ def test_slugs_of_all_characters(spark):
     df = spark.createDataFrame(pd.DataFrame({"w": words})).repartition(4)
     wrong = df.select("w", T.slug(F.col("w")).alias("a"), T.nfkd_slug(F.col("w")).alias("b")).where("not a <=> b").limit(5).collect()
     assert wrong == [] and len(words) > 65000
+
+
+def test_configs(tmp_path):
+    """Recognition's record, folders and plain values; a config written from a volume reads as the same volume."""
+    import yaml
+
+    path = tmp_path / "v.yaml"
+    path.write_text("volume_number: 7\nvolume_year: 2001\noutput_root: out/\npage_range: [2, 5]\nocr: {batch_size: 4}\n")
+    v = io.read_config(str(path))
+    assert (v.ocr.method, v.ocr.batch_size, v.folder(), v.folder("interim")) == ("hf", 4, "out/vol-007-2001", "out/vol-007-2001/interim")
+    w = io.read_config(str(path), ocr_method="vllm", vllm_url="http://x/v1", pdf_path="a.pdf")
+    assert (w.ocr.method, w.ocr.vllm_url, w.ocr.batch_size, w.pdf_path) == ("vllm", "http://x/v1", 4, "a.pdf")
+    path.write_text(yaml.safe_dump(w.as_dict()))
+    assert io.read_config(str(path)) == w
+    with pytest.raises(ValueError, match="vllm_url"):
+        io.read_config(str(path), vllm_url="")
+    for bad in ("ocr: {method: x}", "ocr: {speed: 1}", "colour: 1"):
+        path.write_text(f"volume_number: 7\nvolume_year: 2001\n{bad}\n")
+        with pytest.raises((ValueError, TypeError)):
+            io.read_config(str(path))
+    with pytest.raises(ValueError, match="no folder"):
+        v.folder("x")
