@@ -472,12 +472,22 @@ def _(spark, sf):
     return P.read(spark, sf, "customer").select("c_custkey", T.nfkd_slug(F.col("c_name")).alias("slug"))
 
 
-@query("pagexml_pages")
+_REGION = f"""concat('<TextRegion id="', block_id, '" custom="layout:', type, '" type="', {_PX}, '"><Coords points="', printf('%d,%d %d,%d %d,%d %d,%d', x1, y1, x2, y1, x2, y2, x1, y2), '"/>', CASE WHEN text <> '' THEN concat('<TextEquiv><Unicode>', {_ESC}, '</Unicode></TextEquiv>') ELSE '' END, '</TextRegion>')"""
+
+
+@query("pagexml_pages", P.SQL + f"""SELECT {_SLUG} AS volume_slug, page_num, concat('<?xml version="1.0" encoding="UTF-8"?>', chr(10), '<PcGts xmlns="http://schema.primaresearch.org/PAGE/gts/pagecontent/2019-07-15">', chr(10), '<Metadata><Creator>quire</Creator><Created>2020-01-01T00:00:00</Created><LastChange>2020-01-01T00:00:00</LastChange></Metadata>', chr(10),
+printf('<Page imageFilename="page_%04d.png" imageWidth="1400" imageHeight="2000">', page_num), chr(10), string_agg({_REGION}, chr(10) ORDER BY reading_pos), chr(10), '</Page>', chr(10), '</PcGts>') AS xml FROM o GROUP BY vol, page_num""")
 def _(spark, sf):
     return render.pagexml(_ordered(spark, sf), "2020-01-01T00:00:00")
 
 
-@query("tei_volumes")
+@query("tei_volumes", P.SQL + f""", nn AS (SELECT *, row_number() OVER (PARTITION BY vol, type = 'footnote' ORDER BY page_num, reading_pos) AS note FROM o),
+f AS (SELECT *, CASE type WHEN 'section-header' THEN concat('<head{_FACS}', {_ESC}, '</head>') WHEN 'page-header' THEN concat('<fw type="page-header"{_FACS}', {_ESC}, '</fw>') WHEN 'page-footer' THEN concat('<fw type="page-footer"{_FACS}', {_ESC}, '</fw>')
+WHEN 'footnote' THEN concat('<note place="foot" n="', note, '" xml:id="fn_', block_id, '"{_FACS}', {_ESC}, '</note>') ELSE concat('<p{_FACS}', {_ESC}, '</p>') END AS x,
+concat('<zone xml:id="z_', block_id, '" points="', printf('%d,%d %d,%d %d,%d %d,%d', x1, y1, x2, y1, x2, y2, x1, y2), '"/>') AS z FROM nn),
+tp AS (SELECT vol, page_num, concat(printf('<pb n="%d" facs="#page_%04d"/>', page_num, page_num), chr(10), string_agg(x, chr(10) ORDER BY reading_pos)) AS x, concat(printf('<surface xml:id="page_%04d">', page_num), string_agg(z, '' ORDER BY reading_pos), '</surface>') AS z FROM f GROUP BY vol, page_num)
+SELECT {_SLUG} AS volume_slug, concat('<?xml version="1.0" encoding="UTF-8"?>', chr(10), '<TEI xmlns="http://www.tei-c.org/ns/1.0">', chr(10), '<teiHeader><fileDesc><titleStmt><title>', {_SLUG}, '</title></titleStmt><publicationStmt><publisher>P</publisher><date>2000</date></publicationStmt></fileDesc></teiHeader>', chr(10),
+'<facsimile>', chr(10), string_agg(z, chr(10) ORDER BY page_num), chr(10), '</facsimile>', chr(10), '<text><body>', chr(10), '<div type="article" xml:id="', {_SLUG}, '-art01"><head>Whole volume</head>', chr(10), string_agg(x, chr(10) ORDER BY page_num), chr(10), '</div>', chr(10), '</body></text></TEI>') AS xml FROM tp GROUP BY vol""")
 def _(spark, sf):
     rows = _rows(spark, sf).withColumn("num", F.lit(1)).withColumn("title", F.lit("Whole volume"))
     volumes = rows.select("volume_slug").distinct().select("volume_slug", F.col("volume_slug").alias("volume_title"), F.lit("P").alias("publisher"), F.lit(2000).alias("volume_year"))
