@@ -457,12 +457,16 @@ def _(spark, sf):
     return volume.timings(P.read(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("stage")).agg(F.count(F.lit(1)).cast("double").alias("seconds")))
 
 
-@query("sanitize_inline")
+_MARKUP = """SELECT page_id, translate(regexp_replace(regexp_replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), {keep}, 'g'), '<[^>]*>', '', 'g'), concat(chr(1), chr(2)), '<>') AS clean
+FROM (SELECT page_id, regexp_replace(replace(html, s, replace(replace(replace(s, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')), '<!--.*?-->', '', 'g') AS h FROM (SELECT *, regexp_extract(html, '<script>(.*?)</script>', 1) AS s FROM pages))"""
+
+
+@query("sanitize_inline", _MARKUP.format(keep="'<(/?(?:b|strong|i|em|u|sub|sup|br|small|s|code|span))>', concat(chr(1), '\\1', chr(2))"))
 def _(spark, sf):
     return P.read(spark, sf, "pages").select("page_id", T.sanitize_inline(F.col("html")).alias("clean"))
 
 
-@query("sanitize_block")
+@query("sanitize_block", _MARKUP.format(keep="'<(/?(?:b|strong|i|em|u|sub|sup|br|small|s|code|span|p|div|table|thead|tbody|tr|th|td|ul|ol|li|a)|a href=\"/[^\"]*\")>', concat(chr(1), '\\1', chr(2))").replace("replace(h, '&copy;'", "replace(regexp_replace(h, '<div class=\"[^\"]*\">', '<div>', 'g'), '&copy;'"))
 def _(spark, sf):
     return P.read(spark, sf, "pages").select("page_id", T.sanitize_block(F.col("html")).alias("clean"))
 
