@@ -498,7 +498,28 @@ def _(spark, sf):
     return render.tei(rows, volumes)
 
 
-@query("volume_graph")
+def _said(**members: str) -> str:
+    """SQL for the props of a node: names with texts (in quotes of their own) or, under names that end in _, whole numbers and lists."""
+    parts = ["'\"" + k.rstrip("_") + "\":\"" + ("" if k.endswith("_") else "\\\"") + "', " + v + ", '" + ("" if k.endswith("_") else "\\\"") + "\"'" for k, v in members.items()]
+    return "concat('{', " + ", ',', ".join(parts) + ", '}')"
+
+
+_VOL, _PAGE, _ART = f"concat('doc:vol/', {_SLUG})", f"concat('doc:vol/', {_SLUG}, printf('/page/%04d', page_num))", "concat('doc:art/', article_id)"
+_ORG = "'{{\\\"@type\\\":\\\"Organization\\\",\\\"name\\\":\\\"{}\\\"}}'"
+
+
+@query("volume_graph", P.SQL + _NOTES + f""", pgs AS (SELECT DISTINCT vol, page_num FROM o), ends AS (SELECT vol, min(page_num) AS lo, max(page_num) AS hi FROM pgs GROUP BY vol),
+head AS (SELECT vol, page_num, text FROM (SELECT *, row_number() OVER (PARTITION BY page_num ORDER BY y1, reading_pos) AS r FROM o WHERE type = 'section-header' AND y1 < 2000 / 3.0) WHERE r = 1),
+anc AS (SELECT vol, page_num, text AS title FROM head UNION ALL SELECT vol, lo, 'Volume' FROM ends WHERE vol NOT IN (SELECT vol FROM head)),
+ga AS (SELECT vol, title, page_num AS page_first, row_number() OVER w AS num, greatest(coalesce(lead(page_num) OVER w - 1, hi), page_num) AS page_last FROM anc JOIN ends USING (vol) WINDOW w AS (PARTITION BY vol ORDER BY page_num)),
+gn AS (SELECT *, printf('vol-%03d-2000-art%02d', vol, num) AS article_id FROM ga),
+gb AS (SELECT gn.vol, article_id, page_num FROM gn JOIN pgs ON gn.vol = pgs.vol AND page_num BETWEEN page_first AND page_last),
+gf AS (SELECT fn.vol, fn.page_num, n, CASE WHEN is_numbered THEN regexp_replace(text, '^\\s*([0-9]{{1,3}})[.°)\\s]\\s*', '') ELSE text END AS body FROM fn JOIN (SELECT page_num, block_id, text FROM fn0) USING (page_num, block_id))
+SELECT {_SLUG} AS volume_slug, 'doc:series/series' AS node_id, 'PublicationSeries' AS types, {_said(name="'Series'", publisher_=_ORG.format("P"))} AS props FROM ends
+UNION ALL SELECT {_SLUG}, {_VOL}, 'PublicationVolume,Book', {_said(name="'Volume I'", volumeNumber_="'1'", datePublished="'2000'", inLanguage="'de'", inSeries="'doc:series/series'", publisher_=_ORG.format("P"), editor_=_ORG.format("E"))} FROM ends
+UNION ALL SELECT {_SLUG}, {_PAGE}, 'WebPage', CASE WHEN article_id IS NOT NULL THEN {_said(name="concat('Page ', page_num)", pageStart_="page_num", facsimile="printf('pages/page_%04d.png', page_num)", inArticle=_ART)} ELSE {_said(name="concat('Page ', page_num)", pageStart_="page_num", facsimile="printf('pages/page_%04d.png', page_num)", inVolume=_VOL)} END FROM pgs LEFT JOIN gb USING (vol, page_num)
+UNION ALL SELECT {_SLUG}, {_ART}, 'ScholarlyArticle', {_said(name="title", pageStart_="page_first", pageEnd_="page_last", position_="num", inVolume=_VOL, hasPart_="concat('[', parts, ']')")} FROM gn JOIN (SELECT article_id, string_agg(concat('\\"', {_PAGE}, '\\"'), ',' ORDER BY page_num) AS parts FROM gb GROUP BY article_id) USING (article_id)
+UNION ALL SELECT {_SLUG}, concat({_ART}, '/fn/', n), 'Comment', {_said(name="concat('Footnote ', n)", text="body", footnoteOf=_ART, position_="n", inPage=_PAGE, pageStart_="page_num")} FROM gf JOIN gb USING (vol, page_num)""")
 def _(spark, sf):
     ordered = _cut(_ordered(spark, sf))
     arts = articles.heuristic_anchors(ordered, ordered.select("volume_slug").distinct().withColumn("title", F.lit("Volume")))
