@@ -43,8 +43,8 @@ def test_words_whose_polynomials_are_equal(spark):
         word = "a"
         while len(word) < size:
             word += word.translate(str.maketrans("ab", "ba"))
-        rows += [(len(rows) + 1, f"{word} {rest} {size}"), (len(rows) + 2, f"{word.translate(str.maketrans('ab', 'ba'))} {rest} {size}")]
+        rows += [(len(rows) + 1, f"{word} {rest}"), (len(rows) + 2, f"{word.translate(str.maketrans('ab', 'ba'))} {rest}")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert all(r["n_removed"] == 0 for r in substring_dedup.remove_repeats(docs.where("doc_id < 3")).collect())
+    assert all(r["n_removed"] == 0 for r in substring_dedup.remove_repeats(docs).collect())
     pairs = spark.createDataFrame([(i, t.split()[0] + " x") for i, t in rows], "doc_id bigint, text string")
-    assert all(r["component_id"] == r["doc_id"] for r in jaccard_join.jaccard_components(pairs, 1, 30, 100).where("doc_id < 3").collect())
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard_join.jaccard_components(pairs, 1, 50, 100).collect())
