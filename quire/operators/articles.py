@@ -47,11 +47,16 @@ def spans(anchors: DataFrame, pages: DataFrame) -> DataFrame:
     return out.withColumn("article_id", F.when(F.col("num") == 0, F.concat("volume_slug", F.lit("-frontmatter"))).otherwise(F.format_string("%s-art%02d", "volume_slug", "num")))
 
 
-def article_pages(articles: DataFrame, pages: DataFrame) -> DataFrame:
-    """article_id, page_num, ord: the pages of each article that exist; a page may belong to several. A range join as an equi-join."""
-    run = F.when(F.col("page_last") >= F.col("page_first"), F.sequence("page_first", "page_last"))
-    rows = articles.select("volume_slug", "article_id", "num", F.posexplode(run).alias("ord", "page_num"))
-    return rows.join(pages.select("volume_slug", "page_num").distinct(), ["volume_slug", "page_num"])
+def article_pages(articles: DataFrame, pages: DataFrame, run: int = 256) -> DataFrame:
+    """article_id, page_num, ord: the pages of each article that exist; a page may belong to several.
+
+    A range join by runs of page numbers: an article stands once in each run that it touches, whether its pages are there or not.
+    """
+    at = lambda c: F.floor(F.col(c) / run)
+    runs = F.when(F.col("page_last") >= F.col("page_first"), F.sequence(at("page_first"), at("page_last")))
+    rows = articles.select("volume_slug", "article_id", "num", "page_first", "page_last", F.explode(runs).alias("_run"))
+    held = pages.select("volume_slug", "page_num").distinct().withColumn("_run", at("page_num")).join(rows, ["volume_slug", "_run"]).where("page_num between page_first and page_last")
+    return held.select("volume_slug", "page_num", "article_id", "num", (F.col("page_num") - F.col("page_first")).cast("int").alias("ord"))
 
 
 def page_owner(bridge: DataFrame, pages: DataFrame) -> DataFrame:
