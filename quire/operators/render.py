@@ -79,17 +79,33 @@ def tei(rows: DataFrame, volumes: DataFrame) -> DataFrame:
     rows = rows.withColumn("_f", tei_fragment(F.row_number().over(w)))
     repeats = (F.col("type") == "section-header") & F.startswith("text", F.substring("title", 1, 30)) & (F.col("page_ord") == 0)
     rows = rows.withColumn("_f", F.when(~repeats, F.col("_f")))
-    pages = rows.groupBy("volume_slug", "article_id", "num", "title", "page_ord", "page_num").agg(_join(["reading_pos"], "_f", "\n").alias("_p"))
-    pages = pages.withColumn("_p", F.concat(F.format_string('<pb n="%d" facs="#page_%04d"/>\n', "page_num", "page_num"), "_p"))
-    divs = pages.groupBy("volume_slug", "article_id", "num", "title").agg(_join(["page_ord"], "_p", "\n").alias("_d"))
-    divs = divs.withColumn("_d", F.concat(F.lit('<div type="article" xml:id="'), "article_id", F.lit('"><head>'), T.html_escape(F.col("title"), False), F.lit("</head>\n"), "_d", F.lit("\n</div>")))
-    body = divs.groupBy("volume_slug").agg(_join(["num"], "_d", "\n").alias("body"))
+    # a document is the lines of one aggregate, which is its only whole copy beside its parts
+    line = lambda df, section, at, text: df.select("volume_slug", F.lit(section).alias("_s"), *[F.coalesce(c, F.lit(z)).alias(f"_o{i}") for i, (c, z) in enumerate(zip(at, (0, "", 0, 0, 0)))], text.alias("_line"))
+    zero, empty = F.lit(0), F.lit("")
+    pages = rows.where("title is not null").groupBy("volume_slug", "article_id", "num", "page_ord", "page_num").agg(_join(["reading_pos"], "_f", "\n").alias("_p"))
+    page = F.concat(F.format_string('<pb n="%d" facs="#page_%04d"/>\n', "page_num", "page_num"), "_p")
+    divs = rows.where("title is not null").select("volume_slug", "article_id", "num", "title").distinct()
+    begin = F.concat(F.lit('<div type="article" xml:id="'), "article_id", F.lit('"><head>'), T.html_escape(F.col("title"), False), F.lit("</head>"))
     zone = F.concat(F.lit('<zone xml:id="z_'), "block_id", F.lit('" points="'), points(), F.lit('"/>'))
     zones = rows.dropDuplicates(["volume_slug", "block_id"]).withColumn("_z", zone).groupBy("volume_slug", "page_num").agg(_join(["reading_pos"], "_z").alias("_z"))
-    zones = zones.withColumn("_z", F.concat(F.format_string('<surface xml:id="page_%04d">', "page_num"), "_z", F.lit("</surface>"))).groupBy("volume_slug").agg(_join(["page_num"], "_z", "\n").alias("facs"))
-    out = body.join(zones, "volume_slug").join(volumes.select("volume_slug", "volume_title", "publisher", "volume_year"), "volume_slug")
+    surface = F.concat(F.format_string('<surface xml:id="page_%04d">', "page_num"), "_z", F.lit("</surface>"))
     head = F.concat(F.lit("<teiHeader><fileDesc><titleStmt><title>"), T.html_escape(F.col("volume_title"), False), F.lit("</title></titleStmt><publicationStmt><publisher>"), T.html_escape(F.col("publisher"), False), F.lit("</publisher><date>"), F.col("volume_year").cast("string"), F.lit("</date></publicationStmt></fileDesc></teiHeader>"))
-    return out.select("volume_slug", F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0">\n'), head, F.lit("\n<facsimile>\n"), "facs", F.lit("\n</facsimile>\n<text><body>\n"), "body", F.lit("\n</body></text></TEI>")).alias("xml"))
+    top = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0">\n'), head, F.lit("\n<facsimile>"))
+    parts = [
+        line(volumes, 0, (zero, empty, zero, zero, zero), top),
+        line(zones, 1, (zero, empty, zero, zero, F.col("page_num")), surface),
+        line(volumes, 2, (zero, empty, zero, zero, zero), F.lit("</facsimile>\n<text><body>")),
+        line(divs, 3, (F.col("num"), F.col("article_id"), F.lit(0), zero, zero), begin),
+        line(pages, 3, (F.col("num"), F.col("article_id"), F.lit(1), F.col("page_ord"), F.col("page_num")), page),
+        line(divs, 3, (F.col("num"), F.col("article_id"), F.lit(2), zero, zero), F.lit("</div>")),
+        line(volumes, 4, (zero, empty, zero, zero, zero), F.lit("</body></text></TEI>")),
+    ]
+    lines = parts[0]
+    for part in parts[1:]:
+        lines = lines.unionByName(part)
+    whole = F.expr("listagg(_line, '\n') WITHIN GROUP (ORDER BY _s, _o0, _o1, _o2, _o3, _o4)")
+    out = lines.groupBy("volume_slug").agg(whole.alias("xml"), F.count_if(F.col("_s") == 0).alias("_known"), F.count_if((F.col("_s") == 0) & F.col("_line").isNull()).alias("_bare"), F.count_if(F.col("_s") == 3).alias("_parts"))
+    return out.where("_known > 0 and _parts > 0").select("volume_slug", F.when(F.col("_bare") == 0, F.col("xml")).alias("xml"))
 
 
 def markdown_fragment() -> Column:
