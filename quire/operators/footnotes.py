@@ -13,6 +13,8 @@ BODY = "^\\s*([0-9]{1,3})[.°)\\s]\\s*"
 CARET = "(?<![0-9])([0-9]{1,3})\\^"
 SUPERSCRIPT = f"(?<={T.WORD_CHAR[:-1]}¹²³⁰⁴⁵⁶⁷⁸⁹])([¹²³⁰⁴⁵⁶⁷⁸⁹]+)"
 PLAIN = f"(?<={T.WORD_CHAR}\\s{{1,9}})([0-9]{{1,3}})(?=\\s+[.,;:!?\\-)\\]]|\\s*$)"
+#: What every text with a match of PLAIN has, told without looking behind each place.
+MAY_BE_PLAIN = "\\s[0-9]{1,3}(?:\\s|$)"
 #: Types whose text holds no references.
 QUIET = ("footnote", "page-header", "page-footer", "table-of-contents")
 
@@ -48,36 +50,46 @@ def _drop_overlaps(refs: Column) -> Column:
 
 
 def marked_refs(c: Column) -> Column:
-    """start, end, n of caret and superscript markers, by place, without overlaps."""
-    caret = F.transform(T.matches(c, CARET, "n"), lambda r: F.struct(r["start"].alias("start"), (r["end"] + 1).alias("end"), r["n"].cast("int").alias("n")))
+    """start, end, n of caret and superscript markers, by place, without overlaps; patterns are tried only where their sign stands."""
+    none = F.array().cast("array<struct<start:int,end:int,n:int>>")
+    caret = F.transform(T.matches(c, CARET), lambda r: F.struct(r["start"].alias("start"), (r["end"] + 1).alias("end"), r["n"].cast("int").alias("n")))
     digits = lambda r: F.translate(r["n"], *T.SUPERSCRIPTS).try_cast("int")
-    sup = F.filter(F.transform(T.matches(c, SUPERSCRIPT, "n"), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), digits(r).alias("n"))), lambda r: r["n"].between(1, 499))
-    return _drop_overlaps(F.array_sort(F.concat(caret, sup)))
+    sup = F.filter(F.transform(T.matches(c, SUPERSCRIPT), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), digits(r).alias("n"))), lambda r: r["n"].between(1, 499))
+    carets, raised = F.contains(c, F.lit("^")), F.translate(c, T.SUPERSCRIPTS[0], "") != c
+    return F.when(carets & raised, _drop_overlaps(F.array_sort(F.concat(caret, sup)))).when(carets, caret).when(raised, sup).otherwise(none)
 
 
 def plain_refs(c: Column) -> Column:
     """start, end, n of bare numbers after a word and before punctuation or the end; only those with a note on the page count."""
-    return F.transform(T.matches(c, PLAIN, "n"), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["n"].cast("int").alias("n")))
+    found = F.transform(T.matches(c, PLAIN), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["n"].cast("int").alias("n")))
+    return F.when(c.rlike(MAY_BE_PLAIN), found).otherwise(F.array().cast("array<struct<start:int,end:int,n:int>>"))
 
 
 def refs(rows: DataFrame) -> DataFrame:
-    """article_id, block_id, page_num, kind, start, end, n, target_id: references of body blocks, target null where the page has no such note.
+    """article_id, page_num, block_id, page_ord, reading_pos, kind, start, end, n, target_id: references of body blocks (see `page_refs`)."""
+    keys, place = ("article_id", "page_num"), ("page_ord", "reading_pos")
+    return page_refs(fixed(rows.groupBy(*keys).agg(F.collect_list(F.struct("block_id", *place, "type", "text")).alias("blocks"))), place)
 
-    Bare numbers are references only on pages that have the note. One pass over the blocks of each page as an array: the id of a
-    numbered note follows from article, page and number (see `notes`), so that nothing is joined.
+
+def page_refs(pages: DataFrame, place: tuple[str, ...] = ()) -> DataFrame:
+    """article_id, page_num, block_id, kind, start, end, n, target_id of pages with their blocks as an array; target null where the page has no such note.
+
+    Bare numbers are references only on pages that have the note. One pass over the blocks of each page: the id of a numbered note
+    follows from article, page and number (see `notes`), so that nothing is joined. place: fields of blocks that come along. The
+    order of blocks plays no part.
     """
     keys = ("article_id", "page_num")
-    pages = fixed(rows.groupBy(*keys).agg(F.collect_list(F.struct("block_id", "page_ord", "reading_pos", "type", "text")).alias("_b")))
-    numbers = F.transform(F.filter("_b", lambda b: b["type"] == "footnote"), lambda b: parse_body(b["text"])["n"])
-    pages = pages.withColumn("_n", F.when(F.col("page_num").isNotNull(), F.filter(numbers, lambda n: n.isNotNull())))
-    body = fixed(pages.select(*keys, "_n", F.inline("_b")).where(~F.col("type").isin(*QUIET)))
+    numbers = F.transform(F.filter("blocks", lambda b: b["type"] == "footnote"), lambda b: parse_body(b["text"])["n"])
+    numbered = F.when(F.col("page_num").isNotNull(), F.filter(numbers, lambda n: n.isNotNull())).alias("_n")
+    rows = pages.select(*keys, numbered, F.filter("blocks", lambda b: ~b["type"].isin(*QUIET) & b["text"].rlike("[0-9¹²³⁰⁴⁵⁶⁷⁸⁹]")).alias("blocks"))
+    body = fixed(rows).select(*keys, "_n", F.explode("blocks").alias("_b")).select(*keys, "_n", *[f"_b.{c}" for c in ("block_id", *place, "text")])
     known = lambda n: F.coalesce(F.array_contains("_n", n), F.lit(False))
     plain = F.when(F.size("_n") > 0, F.filter(plain_refs(F.col("text")), lambda x: known(x["n"])))
     kinds = F.array(F.struct(F.lit("marked").alias("kind"), marked_refs(F.col("text")).alias("m")), F.struct(F.lit("plain").alias("kind"), plain.alias("m")))
-    r = body.where(F.col("text").rlike("[0-9¹²³⁰⁴⁵⁶⁷⁸⁹]")).select(*keys, "block_id", "page_ord", "reading_pos", "_n", F.explode(kinds).alias("k"))
-    r = r.select(*keys, "block_id", "page_ord", "reading_pos", "_n", "k.kind", F.explode("k.m").alias("m"))
+    r = body.select(*keys, "block_id", *place, "_n", F.explode(kinds).alias("k"))
+    r = r.select(*keys, "block_id", *place, "_n", "k.kind", F.explode("k.m").alias("m"))
     target = F.when(known(F.col("m.n")), F.concat(F.lit("fn-"), "article_id", F.format_string("-p%03d-", "page_num"), F.col("m.n").cast("string")))
-    return r.select(*keys, "block_id", "page_ord", "reading_pos", "kind", "m.start", "m.end", "m.n", target.alias("target_id"))
+    return r.select(*keys, "block_id", *place, "kind", "m.start", "m.end", "m.n", target.alias("target_id"))
 
 
 def stats(found: DataFrame, linked: DataFrame) -> DataFrame:

@@ -187,6 +187,11 @@ def _rows(spark, sf):
     return _ordered(spark, sf).select(F.concat("volume_slug", F.lit("-art01")).alias("article_id"), "volume_slug", "page_num", F.col("page_num").alias("page_ord"), "reading_pos", "block_id", "type", "raw_type", "text", "html", "description", "x1", "y1", "x2", "y2", "image_filename", "image_width", "image_height")
 
 
+def _article_pages(spark, sf):
+    """Pages with their blocks as emitted, as one article for each volume: for what doesn't depend on the reading order."""
+    return P.pages(spark, sf).withColumn("article_id", F.concat("volume_slug", F.lit("-art01")))
+
+
 _NOTES = """, fn0 AS (SELECT *, nullif(regexp_extract(text, '^\\s*([0-9]{1,3})[.°)\\s]\\s*', 1), '')::BIGINT AS num FROM o WHERE type = 'footnote'),
 fn AS (SELECT vol, page_num, reading_pos, block_id, coalesce(num, row_number() OVER (PARTITION BY page_num, num IS NULL ORDER BY reading_pos)) AS n, num IS NOT NULL AS is_numbered FROM fn0),
 tgt AS (SELECT page_num, n, arg_max(concat(printf('fn-vol-%03d-2000-art01-p%03d-', vol, page_num), n), reading_pos) AS target_id FROM fn WHERE is_numbered GROUP BY page_num, n),
@@ -210,15 +215,15 @@ def _(spark, sf):
 
 @query("ref_links", P.SQL + _NOTES + "SELECT page_num, block_id, kind, n, start, target_id FROM rt")
 def _(spark, sf):
-    rows = _rows(spark, sf)
-    return footnotes.refs(rows).select("page_num", "block_id", "kind", "n", "start", "target_id")
+    return footnotes.page_refs(_article_pages(spark, sf)).select("page_num", "block_id", "kind", "n", "start", "target_id")
 
 
 @query("ref_resolution_stats", P.SQL + _NOTES + ", v AS (SELECT DISTINCT vol, page_num FROM b) SELECT printf('vol-%03d-2000-art01', vol) AS article_id, sum(a)::BIGINT AS n_notes, sum(c)::BIGINT AS n_refs, sum(d)::BIGINT AS resolved, (sum(c) - sum(d))::BIGINT AS unresolved FROM (SELECT vol, count(*) AS a, 0 AS c, 0 AS d FROM fn GROUP BY vol UNION ALL SELECT vol, 0, count(*), count(target_id) FROM rt JOIN v USING (page_num) GROUP BY vol) GROUP BY vol")
 def _(spark, sf):
-    rows = _rows(spark, sf)
-    found = footnotes.notes(rows)
-    return footnotes.stats(found, footnotes.refs(rows))
+    pages = _article_pages(spark, sf)
+    rows = pages.select("article_id", "page_num", F.explode(F.filter("blocks", lambda b: b["type"] == "footnote")).alias("b"))
+    found = footnotes.notes(rows.select("article_id", "page_num", F.col("page_num").alias("page_ord"), F.col("b.emit_pos").alias("reading_pos"), "b.block_id", "b.type", "b.text"))
+    return footnotes.stats(found, footnotes.page_refs(pages))
 
 
 @query("wiki_refs", P.SQL + _NOTES + """, pl AS (SELECT page_num, block_id, n AS note, concat(printf('p%03d-', page_num), n) AS tag FROM rt WHERE kind = 'plain')
