@@ -322,6 +322,8 @@ def _(spark, sf):
 FROM (SELECT l_orderkey, l_linenumber, l_partkey, 1 + l_partkey % 4 AS k, 1 + l_suppkey % 4 AS j FROM lineitem)""".replace("x < y", "x &lt; y"))
 def _(spark, sf):
     l = P.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (1 + F.col("l_partkey") % 4).alias("k"), (1 + F.col("l_suppkey") % 4).alias("j"))
+    # dealt to all tasks: a file of few row groups would be parsed in as few
+    l = l.repartition("l_orderkey", "l_linenumber")
     # a table within a table, an end tag of nothing, tags left open
     given = F.format_string('<table><tr><td colspan="%d">x &lt; y %d^ &amp; <table><tr><td><sup> %d </sup></b><i>end %d</table></td></tr>', "j", "k", "j", "l_partkey")
     return l.select("l_orderkey", "l_linenumber", "l_partkey", footnotes.link_markers(given, F.expr("array(named_struct('n', 1, 'target_id', 't1'), named_struct('n', 2, 'target_id', 't2'))")).alias("html"))
