@@ -50,17 +50,29 @@ def people(articles: DataFrame) -> DataFrame:
 def _node(df: DataFrame, rank: int, order: list, node_id: Column, types: list[str], props: dict[str, Column]) -> DataFrame:
     """Rows of one class; props that are null are left out, in the order given."""
     key = F.array(F.lit(rank).cast("long"), *[F.coalesce(o.cast("long"), F.lit(0)) for o in order])
-    made = fixed(df.select("volume_slug", key.alias("node_pos"), node_id.alias("node_id"), *[v.alias(f"_{i}") for i, v in enumerate(props.values())]))
-    text = lambda v: F.to_json(F.struct(v.alias("v")))
-    entries = F.array(*[F.when(F.col(f"_{i}").isNotNull(), F.struct(F.lit(k).alias("key"), text(F.col(f"_{i}")).substr(F.lit(6), F.length(text(F.col(f"_{i}"))) - 6).alias("value"))) for i, k in enumerate(props)])
-    return made.select("volume_slug", "node_pos", "node_id", F.array(*map(F.lit, types)).alias("types"), F.map_from_entries(F.filter(entries, lambda e: e.isNotNull())).alias("props"))
+    made = df.select("volume_slug", key.alias("node_pos"), node_id.alias("node_id"), *[v.alias(f"_{i}") for i, v in enumerate(props.values())])
+    made = fixed(made.select("volume_slug", "node_pos", "node_id", *[_as_json(f.name, f.dataType.typeName()).alias(f.name) for f in made.schema[3:]]))
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"_{i}").alias("value")) for i, k in enumerate(props)])
+    return made.select("volume_slug", "node_pos", "node_id", F.array(*map(F.lit, types)).alias("types"), F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())).alias("props"))
 
 
-def volume_graph(volumes: DataFrame, ordered: DataFrame, articles: DataFrame, bridge: DataFrame, owners: DataFrame, found: DataFrame, prefix: str = "doc", page_scoped_notes: bool = False) -> DataFrame:
+def _as_json(name: str, kind: str) -> Column:
+    """A value as JSON, null for null. Whole numbers and texts without signs to escape need no generator of JSON."""
+    whole = F.to_json(F.struct(F.col(name).alias("v")))
+    made = whole.substr(F.lit(6), F.length(whole) - 6)
+    if kind in ("long", "integer", "short", "byte"):
+        made = F.col(name).cast("string")
+    elif kind == "string":
+        made = F.when(F.col(name).rlike('["\\\\\\x00-\\x1f]') | ~F.is_valid_utf8(name), made).otherwise(F.concat(F.lit('"'), name, F.lit('"')))
+    return F.when(F.col(name).isNotNull(), made)
+
+
+def volume_graph(volumes: DataFrame, ordered: DataFrame, articles: DataFrame, bridge: DataFrame, owners: DataFrame, found: DataFrame, prefix: str = "doc", page_scoped_notes: bool = False, pages: DataFrame | None = None) -> DataFrame:
     """All nodes of all volumes: volume_slug, node_pos (an array to sort by), node_id, types, props.
 
     Order: series, volume, sections, each page with its figures, each article with its notes, people. volumes: volume_slug,
-    series_name, publisher, editor, volume_title, volume_number, volume_number_roman, volume_year, language.
+    series_name, publisher, editor, volume_title, volume_number, volume_number_roman, volume_year, language. Of ordered only pictures
+    are read, and the pages, unless pages has them: volume_slug, page_num, image_filename, one row for each.
     """
     slug = F.col("volume_slug")
     org = lambda c: F.struct(F.lit("Organization").alias("@type"), c.alias("name"))
@@ -78,7 +90,9 @@ def volume_graph(volumes: DataFrame, ordered: DataFrame, articles: DataFrame, br
     here = page_iri(prefix, slug, F.col("page_num"))
     figures = ordered.where(F.col("type").isin(*VISUAL)).withColumn("_iri", F.concat(here, F.lit("/figure/"), "block_id"))
     shown = figures.groupBy("volume_slug", "page_num").agg(F.transform(F.array_sort(F.collect_list(F.struct("reading_pos", "_iri"))), lambda f: f["_iri"]).alias("figs"))
-    pages = ordered.select("volume_slug", "page_num", "image_filename").distinct().join(shown, ["volume_slug", "page_num"], "left").join(owners, ["volume_slug", "page_num"], "left")
+    if pages is None:
+        pages = ordered.select("volume_slug", "page_num", "image_filename").distinct()
+    pages = pages.select("volume_slug", "page_num", "image_filename").join(shown, ["volume_slug", "page_num"], "left").join(owners, ["volume_slug", "page_num"], "left")
     out.append(_node(pages, 3, [F.col("page_num"), F.lit(-1)], here, ["WebPage"], {
         "name": F.concat(F.lit("Page "), F.col("page_num").cast("string")), "pageStart": F.col("page_num"), "facsimile": F.concat(F.lit("pages/"), "image_filename"),
         "inArticle": F.when(F.col("owner").isNotNull(), iri(prefix, "art", F.col("owner"))), "inVolume": F.when(F.col("owner").isNull(), vol), "hasPart": F.col("figs"),

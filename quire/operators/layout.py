@@ -40,20 +40,20 @@ def detect_columns(pages: DataFrame, min_blocks: int = 2, width: float = 0.6, mi
     if masthead:
         pages = fixed(pages.withColumn("masthead_top", masthead_top(F.col("blocks"))))
     above = lambda b: F.coalesce(b["y2"] <= F.col("masthead_top"), F.lit(False)) if masthead else F.lit(False)
-    pages = fixed(pages.withColumn("_c", F.filter("blocks", lambda b: ~b["type"].isin(*SPANNING) & (b["x2"] - b["x1"] <= w * width) & ~above(b))))
-    pages = fixed(pages.withColumn("_m", F.when(F.size("_c") >= 2 * min_blocks, F.array_sort(F.transform("_c", centre)))))
-    gap = lambda i: F.struct((F.element_at("_m", i) - F.element_at("_m", i - 1)).alias("gap"), (-i).alias("rank"), ((F.element_at("_m", i) + F.element_at("_m", i - 1)) / 2).alias("mid"))
-    pages = fixed(pages.withColumn("_g", F.when(F.size("_m") >= 2, F.array_max(F.transform(F.sequence(F.lit(2), F.greatest(F.size("_m"), F.lit(2))), gap)))))
-    pages = fixed(pages.withColumn("_mid", F.when((F.col("_g.gap") > 0) & (F.col("_g.gap") >= w * min_gap), F.col("_g.mid"))))
-    left, right = F.filter("_c", lambda b: centre(b) < F.col("_mid")), F.filter("_c", lambda b: centre(b) >= F.col("_mid"))
-    x = lambda a, k: F.transform(a, lambda b: b[k])
-    mid = F.floor("_mid").cast("int")
+    inside = F.filter("blocks", lambda b: ~b["type"].isin(*SPANNING) & (b["x2"] - b["x1"] <= w * width) & ~above(b))
+    # few narrow layers: what a layer holds is copied, and sort_array compares without a lambda
+    pages = fixed(pages.withColumn("_m", F.sort_array(F.transform(inside, lambda b: F.struct(centre(b).alias("c"), b["x1"].alias("x1"), b["x2"].alias("x2"))))))
+    gap = lambda m, i: F.when(i > 0, F.struct((m["c"] - F.get("_m", i - 1)["c"]).alias("gap"), (-i).alias("rank")))
+    pages = fixed(pages.withColumn("_g", F.when(F.size("_m") >= max(2, 2 * min_blocks), F.array_max(F.transform("_m", gap)))))
+    n = -F.col("_g.rank")  # so many lie left of the gap
+    mid = F.floor((F.get("_m", n)["c"] + F.get("_m", n - 1)["c"]) / 2).cast("int")
+    left, right = F.slice("_m", F.lit(1), n), F.slice("_m", n + 1, F.size("_m"))
     cols = F.struct(
-        F.array_min(x(left, "x1")).alias("l0"), F.least(F.array_max(x(left, "x2")), mid).alias("l1"),
-        F.greatest(F.array_min(x(right, "x1")), mid).alias("r0"), F.array_max(x(right, "x2")).alias("r1"),
+        F.array_min(left["x1"]).alias("l0"), F.least(F.array_max(left["x2"]), mid).alias("l1"),
+        F.greatest(F.array_min(right["x1"]), mid).alias("r0"), F.array_max(right["x2"]).alias("r1"),
     )
-    ok = F.col("_mid").isNotNull() & (F.size(left) >= min_blocks) & (F.size(right) >= min_blocks)
-    return fixed(pages.withColumn("cols", F.when(ok, cols)).drop("_c", "_m", "_g", "_mid"))
+    ok = (F.col("_g.gap") > 0) & (F.col("_g.gap") >= w * min_gap) & (n >= min_blocks) & (F.size("_m") - n >= min_blocks)
+    return fixed(pages.withColumn("cols", F.when(ok, cols)).drop("_m", "_g"))
 
 
 def column_of(b: Column, cols: Column, page_width: Column) -> Column:
@@ -67,27 +67,48 @@ def column_of(b: Column, cols: Column, page_width: Column) -> Column:
     return F.when(cols.isNull() | spans, None).when(far(*l) <= far(*r), 0).otherwise(1)
 
 
+def _column(pages: DataFrame):
+    """The column of a block of pages that have cols; blocks above masthead_top, where the pages have it, span."""
+    above = lambda b: F.coalesce(b["y2"] <= F.col("masthead_top"), F.lit(False)) if "masthead_top" in pages.columns else F.lit(False)
+    return lambda b: F.when(~above(b), column_of(b, F.col("cols"), F.col("image_width")))
+
+
 def assign_columns(pages: DataFrame) -> DataFrame:
     """Each block gets col; blocks above masthead_top, where the pages have it, span."""
-    above = lambda b: F.coalesce(b["y2"] <= F.col("masthead_top"), F.lit(False)) if "masthead_top" in pages.columns else F.lit(False)
-    return fixed(pages.withColumn("blocks", F.transform("blocks", lambda b: b.withField("col", F.when(~above(b), column_of(b, F.col("cols"), F.col("image_width")))))))
+    col = _column(pages)
+    return fixed(pages.withColumn("blocks", F.transform("blocks", lambda b: b.withField("col", col(b)))))
 
 
-def reading_order(pages: DataFrame) -> DataFrame:
-    """One row for each block, with col and reading_pos from 0.
+def _sorted(pages: DataFrame) -> tuple[DataFrame, Column]:
+    """Pages with what their order is made from (_k, _ys), and their blocks (b, with its col) in reading order.
 
     On pages of two columns blocks are ordered by band (how many spanning blocks start above), columns before what spans,
     column and height; elsewhere as they were emitted.
     """
-    pages = fixed(assign_columns(pages).withColumn("_ys", F.transform(F.filter("blocks", lambda b: b["col"].isNull()), lambda b: b["y1"])))
-    key = lambda b: F.struct(
-        F.size(F.filter("_ys", lambda y: y < b["y1"])).alias("band"), b["col"].isNull().cast("int").alias("phase"),
-        F.coalesce(b["col"], F.lit(0)).alias("c"), b["y1"].alias("y"), b["emit_pos"].alias("e"), b.alias("b"),
+    col, two, zero = _column(pages), F.col("cols").isNotNull(), F.lit(0)
+    pages = fixed(pages.withColumn("_k", F.when(two, F.transform("blocks", lambda b: F.struct(col(b).alias("col"), b["y1"].alias("y"))))))
+    pages = fixed(pages.withColumn("_ys", F.filter("_k", lambda k: k["col"].isNull())["y"]).withColumn("_k", F.col("_k.col")))
+    at = lambda i: F.get("_k", i)
+    key = lambda b, i: F.struct(
+        F.size(F.filter("_ys", lambda y: y < b["y1"])).alias("band"), at(i).isNull().cast("int").alias("phase"),
+        F.coalesce(at(i), zero).alias("c"), b["y1"].alias("y"), b["emit_pos"].alias("e"), b.alias("b"), at(i).alias("col"),
     )
-    flat = lambda b: F.struct(F.lit(0).alias("band"), F.lit(0).alias("phase"), F.lit(0).alias("c"), F.lit(0).alias("y"), b["emit_pos"].alias("e"), b.alias("b"))
-    ordered = F.when(F.col("cols").isNotNull(), F.array_sort(F.transform("blocks", key))).otherwise(F.array_sort(F.transform("blocks", flat)))
-    keep = [c for c in pages.columns if c not in ("blocks", "_ys")]
-    return pages.select(*keep, F.posexplode(ordered).alias("reading_pos", "_o")).select(*keep, "reading_pos", "_o.b.*")
+    flat = lambda b: F.struct(zero.alias("band"), zero.alias("phase"), zero.alias("c"), zero.alias("y"), b["emit_pos"].alias("e"), b.alias("b"), F.lit(None).cast("int").alias("col"))
+    return pages, F.sort_array(F.when(two, F.transform("blocks", key)).otherwise(F.transform("blocks", flat)))
+
+
+def ordered_pages(pages: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Pages with these fields of their blocks, in reading order: for what is made of whole pages, without a row for each block."""
+    pages, ordered = _sorted(pages)
+    return fixed(pages.withColumn("blocks", F.transform(ordered, lambda o: F.struct(*[o["b"][f].alias(f) for f in fields]))).drop("_k", "_ys"))
+
+
+def reading_order(pages: DataFrame) -> DataFrame:
+    """One row for each block in reading order (see `_sorted`), with col and reading_pos from 0."""
+    fields = [f.name for f in pages.schema["blocks"].dataType.elementType if f.name != "col"]
+    keep = [c for c in pages.columns if c != "blocks"]
+    pages, ordered = _sorted(pages)
+    return pages.select(*keep, F.posexplode(ordered).alias("reading_pos", "_o")).select(*keep, "reading_pos", *[f"_o.b.{f}" for f in fields], "_o.col")
 
 
 def bands(pages: DataFrame) -> DataFrame:

@@ -53,8 +53,9 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def of(expr: str) -> str:
         return re.sub(r"\b([psn])\b(?![a-z'])", lambda m: flat[m[1]], expr)
 
-    block = f"""transform(items, x -> named_struct('emit_pos', x.emit_pos, 'block_id', concat('p', pg, '_b', CASE WHEN x.emit_pos < 9 THEN '00' WHEN x.emit_pos < 99 THEN '0' ELSE '' END, x.emit_pos + 1), 'type', {of(TYPE)}, 'raw_type', {of(TYPE)},
-        'x1', cast({of(X1)} AS int), 'y1', cast({of(Y1)} AS int), 'x2', cast({of(X1)} + ({of(W)}) AS int), 'y2', cast({of(Y1)} + 50 AS int), 'text', {of(TEXT.format(s="string"))}, 'html', '', 'description', cast(null AS string), 'p', x.p, 's', x.s, 'n', x.n))"""
+    items = f"transform(items, x -> named_struct('emit_pos', x.emit_pos, 'p', x.p, 's', x.s, 'n', x.n, 't', {of(TYPE)}, 'x1', {of(X1)}, 'y1', {of(Y1)}))"
+    block = f"""transform({items}, x -> named_struct('emit_pos', x.emit_pos, 'block_id', concat('p', pg, '_b', CASE WHEN x.emit_pos < 9 THEN '00' WHEN x.emit_pos < 99 THEN '0' ELSE '' END, x.emit_pos + 1), 'type', x.t, 'raw_type', x.t,
+        'x1', cast(x.x1 AS int), 'y1', cast(x.y1 AS int), 'x2', cast(x.x1 + ({of(W)}) AS int), 'y2', cast(x.y1 + 50 AS int), 'text', {of(TEXT.format(s="string"))}, 'html', '', 'description', cast(null AS string), 'p', x.p, 's', x.s, 'n', x.n))"""
     return fixed(named.select(
         F.col("pg").cast("int").alias("page_num"), (F.col("pg") % 50).alias("vol"), F.format_string("vol-%03d-2000", F.col("pg") % 50).alias("volume_slug"),
         F.lit(WIDTH).alias("image_width"), F.lit(HEIGHT).alias("image_height"), F.format_string("page_%04d.png", "pg").alias("image_filename"), F.expr(block).alias("blocks"),

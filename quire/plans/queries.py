@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import articles, blocks, footnotes, graph, layout, render, toc, wiki
-from ..schemas import CANON_TYPES
+from ..schemas import CANON_TYPES, VISUAL
 from . import proxies as P
 from . import volume
 
@@ -528,12 +528,16 @@ UNION ALL SELECT {_SLUG}, {_PAGE}, 'WebPage', CASE WHEN article_id IS NOT NULL T
 UNION ALL SELECT {_SLUG}, {_ART}, 'ScholarlyArticle', {_said(name="title", pageStart_="page_first", pageEnd_="page_last", position_="num", inVolume=_VOL, hasPart_="concat('[', parts, ']')")} FROM gn JOIN (SELECT article_id, string_agg(concat('\\"', {_PAGE}, '\\"'), ',' ORDER BY page_num) AS parts FROM gb GROUP BY article_id) USING (article_id)
 UNION ALL SELECT {_SLUG}, concat({_ART}, '/fn/', n), 'Comment', {_said(name="concat('Footnote ', n)", text="body", footnoteOf=_ART, position_="n", inPage=_PAGE, pageStart_="page_num")} FROM gf JOIN gb USING (vol, page_num)""")
 def _(spark, sf):
-    ordered = _cut(_ordered(spark, sf))
-    arts = articles.heuristic_anchors(ordered, ordered.select("volume_slug").distinct().withColumn("title", F.lit("Volume")))
-    pages = ordered.select("volume_slug", "page_num").distinct()
+    # what the graph is made from: headers, notes, pictures, and a block of each page
+    used = F.col("type").isin("section-header", "footnote", *VISUAL) | (F.col("reading_pos") == 0)
+    ordered = _ordered(spark, sf).where(used)
+    ordered = _cut(ordered.select("volume_slug", "page_num", "image_filename", "image_height", "reading_pos", "block_id", "type", "text", "description", "x1", "y1", "x2", "y2"))
+    pages = ordered.where("reading_pos = 0").select("volume_slug", "page_num", "image_filename")
+    slugs = _cut(pages.select("volume_slug").distinct())
+    arts = articles.heuristic_anchors(ordered, slugs.select("volume_slug", F.lit("Volume").alias("title")))
     arts = _cut(articles.spans(arts, pages))
     bridge = _cut(articles.article_pages(arts, pages))
-    rows = bridge.select("article_id", "volume_slug", "page_num", F.col("ord").alias("page_ord")).join(ordered, ["volume_slug", "page_num"])
-    vols = ordered.select("volume_slug").distinct().select("volume_slug", F.lit("Series").alias("series_name"), F.lit("P").alias("publisher"), F.lit("E").alias("editor"), F.lit("Volume").alias("volume_title"), F.lit(1).alias("volume_number"), F.lit("I").alias("volume_number_roman"), F.lit(2000).alias("volume_year"), F.lit("de").alias("language"))
-    nodes = graph.volume_graph(vols, ordered, arts, bridge, articles.page_owner(bridge, pages), footnotes.notes(rows))
+    rows = bridge.select("article_id", "volume_slug", "page_num", F.col("ord").alias("page_ord")).join(ordered.where("type = 'footnote'"), ["volume_slug", "page_num"])
+    vols = slugs.select("volume_slug", F.lit("Series").alias("series_name"), F.lit("P").alias("publisher"), F.lit("E").alias("editor"), F.lit("Volume").alias("volume_title"), F.lit(1).alias("volume_number"), F.lit("I").alias("volume_number_roman"), F.lit(2000).alias("volume_year"), F.lit("de").alias("language"))
+    nodes = graph.volume_graph(vols, ordered, arts, bridge, articles.page_owner(bridge, pages), footnotes.notes(rows), pages=pages)
     return nodes.select("volume_slug", "node_id", F.array_join("types", ",").alias("types"), F.to_json("props").alias("props"))
