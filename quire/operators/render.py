@@ -12,7 +12,7 @@ from . import footnotes
 
 def _join(order: list[str], fragment: str, sep: str = "") -> Column:
     """Fragments of a group in order; empty and null ones leave no gap."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, fragment)))
+    rows = F.sort_array(F.collect_list(F.struct(*order, fragment)))
     return F.array_join(F.filter(F.transform(rows, lambda r: r[fragment]), lambda x: x.isNotNull()), sep)
 
 
@@ -108,18 +108,19 @@ def tei(rows: DataFrame, volumes: DataFrame) -> DataFrame:
     return out.where("_known > 0 and _parts > 0").select("volume_slug", F.when(F.col("_bare") == 0, F.col("xml")).alias("xml"))
 
 
-def markdown_fragment() -> Column:
-    """One block as Markdown that ends in a blank line; nothing for headers, footers, contents and notes."""
-    t, kind = T.strip(F.coalesce("text", F.lit(""))), F.col("type")
+def markdown_fragment(b: Column | None = None) -> Column:
+    """One block (a struct, or else the row) as Markdown that ends in a blank line; nothing for headers, footers, contents and notes."""
+    c = lambda name: F.col(name) if b is None else b[name]
+    t, kind = T.strip(F.coalesce(c("text"), F.lit(""))), c("type")
     some = lambda body: F.when(t != "", body).otherwise("")
-    say = F.coalesce(F.nullif(t, F.lit("")), F.nullif(T.strip(F.coalesce("description", F.lit(""))), F.lit("")))
+    say = F.coalesce(F.nullif(t, F.lit("")), F.nullif(T.strip(F.coalesce(c("description"), F.lit(""))), F.lit("")))
     rows = F.array_join(F.transform(_lines(t), lambda x: F.concat(F.lit("- "), x)), "\n")
-    markup = T.strip(F.coalesce("html", F.lit("")))
+    markup = T.strip(F.coalesce(c("html"), F.lit("")))
     return (
         F.when(kind.isin("page-header", "page-footer", "table-of-contents", "footnote"), "")
         .when(kind == "section-header", some(F.concat(F.lit("#### "), t, F.lit("\n\n"))))
         .when(kind == "caption", some(F.concat(F.lit("*"), t, F.lit("*\n\n"))))
-        .when(kind.isin(*VISUAL), F.concat(F.lit("> **["), F.initcap("type"), F.lit(" · "), "block_id", F.lit("]**"), F.coalesce(F.concat(F.lit(" "), say), F.lit("")), F.lit("\n\n")))
+        .when(kind.isin(*VISUAL), F.concat(F.lit("> **["), F.initcap(kind), F.lit(" · "), c("block_id"), F.lit("]**"), F.coalesce(F.concat(F.lit(" "), say), F.lit("")), F.lit("\n\n")))
         .when((kind == "table") & (markup != ""), F.concat(markup, F.lit("\n\n")))
         .when(kind == "equation", some(F.concat(F.lit("$$\n"), t, F.lit("\n$$\n\n"))))
         .when(kind.isin("bibliography", "list"), F.when(rows != "", F.concat(rows, F.lit("\n\n"))).otherwise(""))
@@ -130,8 +131,20 @@ def markdown_fragment() -> Column:
 def article_markdown(rows: DataFrame) -> DataFrame:
     """article_id, body: pages under their headings, blocks in reading order, broken words joined within a page."""
     pages = rows.withColumn("_f", markdown_fragment()).groupBy("article_id", "page_ord", "page_num").agg(_join(["reading_pos"], "_f").alias("_p"))
-    pages = pages.withColumn("_p", F.concat(F.lit("### Page "), F.col("page_num").cast("string"), F.lit("\n\n"), T.join_hyphens(F.col("_p"))))
-    return pages.groupBy("article_id").agg(_join(["page_ord"], "_p").alias("body"))
+    return _bodies(pages)
+
+
+def pages_markdown(pages: DataFrame) -> DataFrame:
+    """article_id, body, as `article_markdown`, of pages with their blocks in reading order (`layout.ordered_pages`): no row for each block."""
+    made = F.array_join(F.transform("blocks", lambda b: markdown_fragment(b)), "")
+    return _bodies(pages.where(F.size("blocks") > 0).select("article_id", "page_ord", "page_num", made.alias("_p")))
+
+
+def _bodies(pages: DataFrame, run: int = 4096) -> DataFrame:
+    """Pages under their headings, joined by article: runs of pages first, by all tasks, so that none sorts all pages of an article."""
+    page = F.concat(F.lit("### Page "), F.col("page_num").cast("string"), F.lit("\n\n"), T.join_hyphens(F.col("_p")))
+    runs = pages.select("article_id", "page_ord", F.floor(F.col("page_ord") / run).alias("_run"), page.alias("_p")).groupBy("article_id", "_run").agg(_join(["page_ord"], "_p").alias("_p"))
+    return runs.groupBy("article_id").agg(_join(["_run"], "_p").alias("body"))
 
 
 def html_block(linked: Column | None = None, targets: Column | None = None) -> Column:

@@ -245,7 +245,9 @@ _MD = "CASE type WHEN 'section-header' THEN concat('#### ', text, chr(10), chr(1
 
 @query("article_body_md", P.SQL + f", pg AS (SELECT vol, page_num, concat('### Page ', page_num, chr(10), chr(10), regexp_replace(string_agg({_MD}, '' ORDER BY reading_pos), '([\\p{{L}}\\p{{Nd}}_])-\\n\\n([a-zäöüß])', '\\1\\2', 'g')) AS t FROM o GROUP BY vol, page_num) SELECT printf('vol-%03d-2000-art01', vol) AS article_id, md5(string_agg(t, '' ORDER BY page_num)) AS body_md5 FROM pg GROUP BY vol")
 def _(spark, sf):
-    return render.article_markdown(_rows(spark, sf)).select("article_id", F.md5(F.col("body").cast("binary")).alias("body_md5"))
+    pages = layout.ordered_pages(layout.detect_columns(P.pages(spark, sf)), ("block_id", "type", "text", "html", "description"))
+    pages = pages.select(F.concat("volume_slug", F.lit("-art01")).alias("article_id"), "page_num", F.col("page_num").alias("page_ord"), "blocks")
+    return render.pages_markdown(pages).select("article_id", F.md5(F.col("body").cast("binary")).alias("body_md5"))
 
 
 _ESC = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
