@@ -1,8 +1,12 @@
-"""Renderings as fragments of blocks and ordered joins of them: PageXML, TEI, HTML, Markdown. Column expressions only."""
+"""Renderings as fragments of blocks and ordered joins of them: PageXML, TEI, HTML, Markdown. Column expressions, but for the joining of TEI lines to whole volumes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -21,7 +25,8 @@ def _lines(c: Column) -> Column:
 
 
 def points(b: Column | None = None) -> Column:
-    return F.format_string("%d,%d %d,%d %d,%d %d,%d", "x1", "y1", "x2", "y1", "x2", "y2", "x1", "y2")
+    c = lambda name: F.col(name) if b is None else b[name]
+    return F.format_string("%d,%d %d,%d %d,%d %d,%d", *[c(x) for x in ("x1", "y1", "x2", "y1", "x2", "y2", "x1", "y2")])
 
 
 def pagexml_region(types: dict[str, tuple[str, str | None]] = PAGEXML_TYPES) -> Column:
@@ -48,20 +53,21 @@ def pagexml(ordered: DataFrame, as_of: str, creator: str = "quire") -> DataFrame
     return body.select("volume_slug", "page_num", F.concat(F.lit(head), page, F.col("b"), F.lit("\n</Page>\n</PcGts>")).alias("xml"))
 
 
-def tei_fragment(note_no: Column) -> Column:
-    """One block as TEI by its type; note_no numbers the notes of an article."""
-    t, kind = T.html_escape(F.col("text"), False), F.col("type")
-    facs = F.concat(F.lit("#z_"), T.html_escape(F.col("block_id")))
+def tei_fragment(note_no: Column, b: Column | None = None) -> Column:
+    """One block (a struct, or else the row) as TEI by its type; note_no numbers the notes of an article."""
+    c = lambda name: F.col(name) if b is None else b[name]
+    t, kind = T.html_escape(c("text"), False), c("type")
+    facs = F.concat(F.lit("#z_"), T.html_escape(c("block_id")))
     el = lambda name, attrs, body: F.concat(F.lit(f"<{name}"), *attrs, F.lit(' facs="'), facs, F.lit('">'), body, F.lit(f"</{name}>"))
     attr = lambda k, v: [F.lit(f' {k}="'), v if isinstance(v, Column) else F.lit(v), F.lit('"')]
-    items = lambda tag: F.array_join(F.transform(_lines(F.col("text")), lambda x: F.concat(F.lit(f"<{tag}>"), T.html_escape(x, False), F.lit(f"</{tag}>"))), "")
+    items = lambda tag: F.array_join(F.transform(_lines(c("text")), lambda x: F.concat(F.lit(f"<{tag}>"), T.html_escape(x, False), F.lit(f"</{tag}>"))), "")
     desc = F.concat(F.lit("<figDesc>"), t, F.lit("</figDesc>"))
     return (
         F.when(kind == "section-header", el("head", [], t))
         .when(kind.isin("page-header", "page-footer"), el("fw", attr("type", kind), t))
-        .when(kind == "footnote", el("note", attr("place", "foot") + attr("n", note_no.cast("string")) + attr("xml:id", F.concat(F.lit("fn_"), "block_id")), t))
+        .when(kind == "footnote", el("note", attr("place", "foot") + attr("n", note_no.cast("string")) + attr("xml:id", F.concat(F.lit("fn_"), c("block_id"))), t))
         .when(kind == "caption", el("figure", [], desc))
-        .when(kind.isin(*VISUAL), el("figure", attr("type", kind), F.concat(F.lit('<graphic url="'), facs, F.lit('"/>'), F.when(F.col("text") != "", desc).otherwise(""))))
+        .when(kind.isin(*VISUAL), el("figure", attr("type", kind), F.concat(F.lit('<graphic url="'), facs, F.lit('"/>'), F.when(c("text") != "", desc).otherwise(""))))
         .when(kind == "table", el("table", [], F.concat(F.lit("<row><cell>"), t, F.lit("</cell></row>"))))
         .when(kind == "bibliography", el("listBibl", [], items("bibl")))
         .when(kind == "table-of-contents", el("list", attr("type", "contents"), items("item")))
@@ -71,41 +77,88 @@ def tei_fragment(note_no: Column) -> Column:
     )
 
 
+#: What TEI is made from of a block.
+TEI_FIELDS = ("block_id", "type", "text", "x1", "y1", "x2", "y2")
+
+
 def tei(rows: DataFrame, volumes: DataFrame) -> DataFrame:
     """volume_slug, xml: header, facsimile and body of each volume. rows: volume_slug, article_id, num, title, page_ord and ordered blocks."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("article_id", F.col("type") == "footnote").orderBy("page_ord", "reading_pos")
-    rows = rows.withColumn("_f", tei_fragment(F.row_number().over(w)))
-    repeats = (F.col("type") == "section-header") & F.startswith("text", F.substring("title", 1, 30)) & (F.col("page_ord") == 0)
-    rows = rows.withColumn("_f", F.when(~repeats, F.col("_f")))
-    # a document is the lines of one aggregate, which is its only whole copy beside its parts
-    line = lambda df, section, at, text: df.select("volume_slug", F.lit(section).alias("_s"), *[F.coalesce(c, F.lit(z)).alias(f"_o{i}") for i, (c, z) in enumerate(zip(at, (0, "", 0, 0, 0)))], text.alias("_line"))
-    zero, empty = F.lit(0), F.lit("")
-    pages = rows.where("title is not null").groupBy("volume_slug", "article_id", "num", "page_ord", "page_num").agg(_join(["reading_pos"], "_f", "\n").alias("_p"))
-    page = F.concat(F.format_string('<pb n="%d" facs="#page_%04d"/>\n', "page_num", "page_num"), "_p")
-    divs = rows.where("title is not null").select("volume_slug", "article_id", "num", "title").distinct()
-    begin = F.concat(F.lit('<div type="article" xml:id="'), "article_id", F.lit('"><head>'), T.html_escape(F.col("title"), False), F.lit("</head>"))
-    zone = F.concat(F.lit('<zone xml:id="z_'), "block_id", F.lit('" points="'), points(), F.lit('"/>'))
-    zones = rows.dropDuplicates(["volume_slug", "block_id"]).withColumn("_z", zone).groupBy("volume_slug", "page_num").agg(_join(["reading_pos"], "_z").alias("_z"))
-    surface = F.concat(F.format_string('<surface xml:id="page_%04d">', "page_num"), "_z", F.lit("</surface>"))
+    blocks = F.sort_array(F.collect_list(F.struct("reading_pos", *TEI_FIELDS)))
+    pages = rows.where("title is not null").groupBy("volume_slug", "article_id", "num", "title", "page_ord", "page_num").agg(blocks.alias("blocks"))
+    once = rows.dropDuplicates(["volume_slug", "block_id"]).groupBy("volume_slug", "page_num").agg(blocks.alias("blocks"))
+    return _volumes(_divisions(pages).select("volume_slug", F.inline(F.array(_body_line()))).unionByName(once.select("volume_slug", F.inline(F.array(_surface_line())))), volumes)
+
+
+def pages_tei(pages: DataFrame, volumes: DataFrame) -> DataFrame:
+    """volume_slug, xml, as `tei`, of pages with their blocks in reading order (`layout.ordered_pages`): no row for each block.
+
+    pages: volume_slug, article_id, num, title, page_ord, page_num, blocks; a page that several articles have holds the same blocks in each.
+    """
+    lines = F.filter(F.array(_surface_line(), _body_line()), lambda x: x["_line"].isNotNull())
+    return _volumes(_divisions(pages.where(F.size("blocks") > 0)).select("volume_slug", F.inline(lines)), volumes)
+
+
+def _line(section: int, text: Column, num: Column | str = "0", article: Column | str = "''", page_ord: Column | str = "0", page_num: Column | str = "0") -> Column:
+    """A line of a volume's document, with its place."""
+    at = [F.expr(c) if isinstance(c, str) else c for c in (num, article, page_ord, page_num)]
+    return F.struct(F.lit(section).alias("_s"), *[F.coalesce(c.cast(t), F.lit(z).cast(t)).alias(f"_o{i}") for i, (c, t, z) in enumerate(zip(at, ("bigint", "string", "bigint", "bigint"), (0, "", 0, 0)))], text.alias("_line"))
+
+
+def _surface_line() -> Column:
+    zone = lambda b: F.concat(F.lit('<zone xml:id="z_'), b["block_id"], F.lit('" points="'), points(b), F.lit('"/>'))
+    return _line(1, F.concat(F.format_string('<surface xml:id="page_%04d">', "page_num"), F.array_join(F.transform("blocks", zone), ""), F.lit("</surface>")), page_num=F.col("page_num"))
+
+
+def _divisions(pages: DataFrame) -> DataFrame:
+    """Pages with what their text needs from their article: where its notes stand and how many come before, whether it is the first or last one."""
+    w = Window.partitionBy("article_id").orderBy("page_ord", "page_num")
+    notes = F.filter(F.transform("blocks", lambda b, i: F.when(b["type"] == "footnote", i)), lambda i: i.isNotNull())
+    pages = pages.select("volume_slug", "article_id", "num", "title", "page_ord", "page_num", "blocks", notes.alias("_notes"))
+    before = F.coalesce(F.sum(F.size("_notes")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return pages.select("*", before.alias("_before"), (F.row_number().over(w) == 1).alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+
+
+def _body_line() -> Column:
+    """The text of a page of `_divisions`, its article's head before the first and its end after the last; null without a title."""
+    repeats = lambda b: (b["type"] == "section-header") & F.startswith(b["text"], F.substring("title", 1, 30)) & (F.col("page_ord") == 0)
+    made = F.array_join(F.transform("blocks", lambda b, i: F.when(~repeats(b), tei_fragment(F.col("_before") + F.array_position("_notes", i), b))), "\n")
+    begin = F.concat(F.lit('<div type="article" xml:id="'), "article_id", F.lit('"><head>'), T.html_escape(F.col("title"), False), F.lit("</head>\n"))
+    text = F.concat(F.when(F.col("_first"), begin).otherwise(""), F.format_string('<pb n="%d" facs="#page_%04d"/>\n', "page_num", "page_num"), made, F.when(F.col("_last"), "\n</div>").otherwise(""))
+    return _line(3, F.when(F.col("title").isNotNull(), text), F.col("num"), F.col("article_id"), F.col("page_ord"), F.col("page_num"))
+
+
+def _volumes(lines: DataFrame, volumes: DataFrame) -> DataFrame:
+    """volume_slug, xml of volumes that are known and have text: lines are sorted outside memory and streamed, so that a task holds one document at a time."""
     head = F.concat(F.lit("<teiHeader><fileDesc><titleStmt><title>"), T.html_escape(F.col("volume_title"), False), F.lit("</title></titleStmt><publicationStmt><publisher>"), T.html_escape(F.col("publisher"), False), F.lit("</publisher><date>"), F.col("volume_year").cast("string"), F.lit("</date></publicationStmt></fileDesc></teiHeader>"))
     top = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<TEI xmlns="http://www.tei-c.org/ns/1.0">\n'), head, F.lit("\n<facsimile>"))
-    parts = [
-        line(volumes, 0, (zero, empty, zero, zero, zero), top),
-        line(zones, 1, (zero, empty, zero, zero, F.col("page_num")), surface),
-        line(volumes, 2, (zero, empty, zero, zero, zero), F.lit("</facsimile>\n<text><body>")),
-        line(divs, 3, (F.col("num"), F.col("article_id"), F.lit(0), zero, zero), begin),
-        line(pages, 3, (F.col("num"), F.col("article_id"), F.lit(1), F.col("page_ord"), F.col("page_num")), page),
-        line(divs, 3, (F.col("num"), F.col("article_id"), F.lit(2), zero, zero), F.lit("</div>")),
-        line(volumes, 4, (zero, empty, zero, zero, zero), F.lit("</body></text></TEI>")),
-    ]
-    lines = parts[0]
-    for part in parts[1:]:
-        lines = lines.unionByName(part)
-    whole = F.expr("listagg(_line, '\n') WITHIN GROUP (ORDER BY _s, _o0, _o1, _o2, _o3, _o4)")
-    out = lines.groupBy("volume_slug").agg(whole.alias("xml"), F.count_if(F.col("_s") == 0).alias("_known"), F.count_if((F.col("_s") == 0) & F.col("_line").isNull()).alias("_bare"), F.count_if(F.col("_s") == 3).alias("_parts"))
-    return out.where("_known > 0 and _parts > 0").select("volume_slug", F.when(F.col("_bare") == 0, F.col("xml")).alias("xml"))
+    frame = F.array(_line(0, top), _line(2, F.lit("</facsimile>\n<text><body>")), _line(4, F.lit("</body></text></TEI>")))
+    lines = volumes.select("volume_slug", F.inline(frame)).unionByName(lines)
+    lines = lines.repartition("volume_slug").sortWithinPartitions("volume_slug", "_s", "_o0", "_o1", "_o2", "_o3")
+    return lines.select("volume_slug", "_s", "_line").mapInArrow(_documents, "volume_slug string, xml string")
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each volume that has a frame (section 0) and text (3), of lines in order. Of repeated surfaces (1) the first stays; no xml where the head is null."""
+    slug, out, seen, bare, last = None, bytearray(), set(), False, None
+
+    def made() -> Iterator[pa.RecordBatch]:
+        if {0, 3} <= seen:
+            # the document is handed over where it lies, without the last line's break
+            xml = pa.nulls(1, pa.string()) if bare else pa.StringArray.from_buffers(1, pa.py_buffer(np.array([0, len(out) - 1], np.int32)), pa.py_buffer(out))
+            yield pa.RecordBatch.from_arrays([pa.array([slug], pa.string()), xml], ["volume_slug", "xml"])
+
+    for batch in batches:
+        for name, section, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist()):
+            if name != slug:
+                yield from made()
+                slug, out, seen, bare, last = name, bytearray(), set(), False, None
+            seen.add(section)
+            bare = bare or section == 0 and line is None
+            if line is not None and not (section == 1 and line == last):
+                out += line
+                out += b"\n"
+            last = line
+    yield from made()
 
 
 def markdown_fragment(b: Column | None = None) -> Column:

@@ -502,9 +502,11 @@ tp AS (SELECT vol, page_num, concat(printf('<pb n="%d" facs="#page_%04d"/>', pag
 SELECT {_SLUG} AS volume_slug, concat('<?xml version="1.0" encoding="UTF-8"?>', chr(10), '<TEI xmlns="http://www.tei-c.org/ns/1.0">', chr(10), '<teiHeader><fileDesc><titleStmt><title>', {_SLUG}, '</title></titleStmt><publicationStmt><publisher>P</publisher><date>2000</date></publicationStmt></fileDesc></teiHeader>', chr(10),
 '<facsimile>', chr(10), string_agg(z, chr(10) ORDER BY page_num), chr(10), '</facsimile>', chr(10), '<text><body>', chr(10), '<div type="article" xml:id="', {_SLUG}, '-art01"><head>Whole volume</head>', chr(10), string_agg(x, chr(10) ORDER BY page_num), chr(10), '</div>', chr(10), '</body></text></TEI>') AS xml FROM tp GROUP BY vol""")
 def _(spark, sf):
-    rows = _rows(spark, sf).withColumn("num", F.lit(1)).withColumn("title", F.lit("Whole volume"))
-    volumes = rows.select("volume_slug").distinct().select("volume_slug", F.col("volume_slug").alias("volume_title"), F.lit("P").alias("publisher"), F.lit(2000).alias("volume_year"))
-    return render.tei(rows, volumes)
+    pages = layout.ordered_pages(layout.detect_columns(P.pages(spark, sf)), render.TEI_FIELDS)
+    pages = pages.select("volume_slug", F.concat("volume_slug", F.lit("-art01")).alias("article_id"), F.lit(1).alias("num"), F.lit("Whole volume").alias("title"), F.col("page_num").alias("page_ord"), "page_num", "blocks")
+    slugs = P.read(spark, sf, "lineitem").select(F.format_string("vol-%03d-2000", F.col("l_orderkey") % 50).alias("volume_slug")).distinct()
+    volumes = slugs.select("volume_slug", F.col("volume_slug").alias("volume_title"), F.lit("P").alias("publisher"), F.lit(2000).alias("volume_year"))
+    return render.pages_tei(pages, volumes)
 
 
 def _said(**members: str) -> str:
